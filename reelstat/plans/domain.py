@@ -171,3 +171,14 @@ class Domain:
         return self.table("embeddings").select(
             F.col("vec_id").alias("mid"), F.col("embedding").cast("array<double>").alias("vector")
         )
+
+
+class StreamedDomain(Domain):
+    """The same tables, with the events arriving as a stream of files."""
+
+    def table(self, name: str) -> DataFrame:
+        stored = super().table(name)
+        if name != "events":
+            return stored
+        reader = self.spark.readStream.schema(stored.schema)
+        return reader.option("pathGlobFilter", f"{name}.parquet").parquet(self.folder)

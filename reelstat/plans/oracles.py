@@ -335,6 +335,14 @@ warning AS (
   FROM following WHERE failed AND next_failed AND next_time - timestamp < 21600000)"""
 
 
+# Streams report what lies behind their watermark.
+UV_CLOSED = f"""
+{UV_EXACT} WHERE (hour + 1) * 3600000 <= (SELECT max(timestamp) FROM log) - 120000"""
+
+HOT_CLOSED = f"""
+{HOT_WINDOW} AND start + 3600000 <= (SELECT max(timestamp) FROM log WHERE event = 'play') - 30000"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "movie_activity_counts": f"""
@@ -431,6 +439,11 @@ FROM best JOIN nation ON cityId = n_nationkey JOIN part ON movieId = p_partkey W
         "uv_exact": UV_EXACT,
         "uv_bitmap": UV_BITMAP,
         "hot_movies_window": HOT_WINDOW,
+        "uv_stream": UV_CLOSED,
+        "uv_stream_bitmap": UV_BITMAP,
+        "hot_movies_stream": HOT_CLOSED,
+        "login_fail_stream": f"WITH {WARN} SELECT * FROM warning",
+        "recommend_stream": RECOMMEND,
         "login_fail_detect": f"WITH {WARN} SELECT * FROM warning",
         "current_locks": f"""
 WITH {WARN} SELECT uid, max(no_login_time) AS no_login_time FROM warning GROUP BY 1""",

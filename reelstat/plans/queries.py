@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from reelstat.operators import (
     area,
@@ -20,8 +21,17 @@ from reelstat.operators import (
     visitors,
 )
 from reelstat.plans import domain
-from reelstat.plans.domain import AS_OF, Domain
-from reelstat.sources import lines
+from reelstat.plans.domain import AS_OF, Domain, StreamedDomain
+from reelstat.session import scratch_path
+from reelstat.sinks.tables import write_batch
+from reelstat.sources import lines, streams
+from reelstat.streaming import (
+    hot_movies as stream_hot,
+    logins as stream_logins,
+    recommend as stream_recommend,
+    run,
+    visitors as stream_visitors,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -259,9 +269,86 @@ _BATCH = (
 )
 
 
+def _streamed(spark: SparkSession, name: str, start: Callable[[str, str], StreamingQuery]) -> DataFrame:
+    """Run a stream over everything available and return the table it wrote."""
+    place = scratch_path(spark, name)
+    table = f"{place}/table"
+    start(table, f"{place}/checkpoint").awaitTermination()
+    return spark.read.parquet(table)
+
+
+def uv_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact visitors of the closed hours."""
+    events = streams.event_time(StreamedDomain(spark, folder).log_events, stream_visitors.WATERMARK)
+    counts = stream_visitors.uv_closed(events)
+    return _streamed(spark, "uv", lambda table, state: run.to_table(counts, table, state))
+
+
+def uv_stream_bitmap(spark: SparkSession, folder: str) -> DataFrame:
+    """Bitmap count of every hour from the running block reports."""
+    events = streams.event_time(StreamedDomain(spark, folder).log_events, stream_visitors.WATERMARK)
+    blocks = stream_visitors.uv_bitmap_blocks(events)
+    reported = _streamed(
+        spark,
+        "uv-bitmap",
+        lambda table, state: run.to_batches(
+            blocks, lambda batch, number: write_batch(batch, number, table), state, mode="update"
+        ),
+    )
+    return stream_visitors.uv_of_blocks(reported)
+
+
+def hot_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Rankings of the closed windows."""
+    plays = StreamedDomain(spark, folder).log_events.where(F.col("event") == "play")
+    events = streams.event_time(plays, stream_hot.WATERMARK)
+    ranked = _streamed(
+        spark, "hot", lambda table, state: stream_hot.start_hot_movies(events, table, state)
+    )
+    return ranked.drop("batch_id")
+
+
+def login_fail_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Warnings up to the newest event."""
+    events = streams.event_time(StreamedDomain(spark, folder).logins, stream_logins.WATERMARK)
+    warnings = stream_logins.login_fail_stream(events, LOGIN_GAP_MS)
+    return _streamed(spark, "logins", lambda table, state: run.to_table(warnings, table, state))
+
+
+def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Recommendations for the newest rating of each user, arriving as text lines."""
+    d = Domain(spark, folder)
+    arrived = scratch_path(spark, "rating-lines")
+    fields = [F.col("uid").cast("string"), F.col("mid").cast("string"), F.lit("80"), F.lit(AS_OF)]
+    newest_ratings(d).select(F.concat_ws("|", *fields).alias("value")).write.text(arrived)
+    similar = scratch_path(spark, "pairs")
+    similarity.similarity_matrix(d.vectors).write.parquet(similar)
+    events = lines.parse_ratings(streams.file_lines(spark, arrived))
+    found = _streamed(
+        spark,
+        "recommend",
+        lambda table, state: stream_recommend.start_recommendations(
+            events,
+            lambda: d.ratings,
+            lambda: spark.read.parquet(similar),
+            lambda: d.movies,
+            table,
+            state,
+            AS_OF,
+            interval=None,
+            tie=Domain.RATING_TIE,
+        ),
+    )
+    return found.drop("batch_id").withColumn("score", F.round("score", 4))
+
+
+_STREAMS = (uv_stream, uv_stream_bitmap, hot_movies_stream, login_fail_stream, recommend_stream)
+
+
 def _bound(job: Callable[[Domain], DataFrame]) -> Query:
     return lambda spark, folder: job(Domain(spark, folder))
 
 
 def queries() -> dict[str, Query]:
-    return {job.__name__: _bound(job) for job in _BATCH}
+    batch = {job.__name__: _bound(job) for job in _BATCH}
+    return batch | {job.__name__: job for job in _STREAMS}
