@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from reelstat.functions import ranking, scores, times
 from reelstat.operators.similarity import DECIMALS
+from reelstat.session import broadcast_if_small, saved
 
 # Candidate lists are joined in slices of this many places.
 SLICE = 64
@@ -78,11 +79,14 @@ def realtime_recommend(
     ``pairs`` is the similarity table (mid, mid2, score); ``tie`` orders ratings of the same
     date. Equal events are computed once and reported as often as they came. Everything is an
     equi-join on user or movie ids; the ratings and pairs are first cut to the users and movies
-    of the events.
+    of the events. The events and the ratings of their users are used several times, so they are
+    saved once instead of reading the whole rating table again.
     """
-    requests = events.groupBy("uid", "mid").agg(F.count("*").alias("copies"))
-    users = requests.select("uid").distinct()
-    history = ratings.join(users, "uid", "left_semi").select("uid", "mid", "rating", "date", *_extra(tie))
+    requests = saved(events.groupBy("uid", "mid").agg(F.count("*").alias("copies")))
+    users = broadcast_if_small(requests).select("uid")
+    history = saved(
+        ratings.join(users, "uid", "left_semi").select("uid", "mid", "rating", "date", *_extra(tie))
+    )
     latest = recent_ratings(history, recent, tie)
     rated = history.select("uid", "mid").distinct()
     similar = pairs.select("mid", "mid2", "score")

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelstat.functions import buckets as B, ranking, scores, text, times
-from reelstat.session import broadcast_if_small
+from reelstat.session import broadcast_if_small, saved
 
 CATEGORY_KINDS = ("click", "collect", "rating", "comment")
 DETAIL = (
@@ -197,7 +197,7 @@ def session_details(actions: DataFrame, top_sessions: DataFrame, as_of: dt.date
     The session ids are saved and counted first: a short list is broadcast and the actions are
     only scanned; a longer one is joined by shuffle.
     """
-    wanted = broadcast_if_small(top_sessions.select("sessionId").distinct())
+    wanted = broadcast_if_small(saved(top_sessions.select("sessionId").distinct()))
     return (
         actions.join(wanted, "sessionId", "left_semi")
         .withColumnRenamed("date", "actionTime")

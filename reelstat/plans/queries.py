@@ -141,11 +141,18 @@ def newest_ratings(d: Domain) -> DataFrame:
     return ratings.groupBy("uid").agg(F.max_by("mid", position).alias("mid"))
 
 
+def _stored_pairs(d: Domain) -> DataFrame:
+    """The similarity table, written once as the recommendation jobs expect it."""
+    path = scratch_path(d.spark, "pairs")
+    similarity.similarity_matrix(d.vectors).write.parquet(path)
+    return d.spark.read.parquet(path)
+
+
 def realtime_recommend(d: Domain) -> DataFrame:
     found = recommend.realtime_recommend(
         newest_ratings(d),
         d.ratings,
-        similarity.similarity_matrix(d.vectors),
+        _stored_pairs(d),
         d.movies,
         AS_OF,
         tie=Domain.RATING_TIE,
@@ -321,8 +328,7 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
     arrived = scratch_path(spark, "rating-lines")
     fields = [F.col("uid").cast("string"), F.col("mid").cast("string"), F.lit("80"), F.lit(AS_OF)]
     newest_ratings(d).select(F.concat_ws("|", *fields).alias("value")).write.text(arrived)
-    similar = scratch_path(spark, "pairs")
-    similarity.similarity_matrix(d.vectors).write.parquet(similar)
+    similar = _stored_pairs(d)
     events = lines.parse_ratings(streams.file_lines(spark, arrived))
     found = _streamed(
         spark,
@@ -330,7 +336,7 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
         lambda table, state: stream_recommend.start_recommendations(
             events,
             lambda: d.ratings,
-            lambda: spark.read.parquet(similar),
+            lambda: similar,
             lambda: d.movies,
             table,
             state,

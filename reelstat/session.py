@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -45,11 +46,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(frame: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Save a derived frame, count what was saved, and hint a broadcast only within ``max_rows``.
+def saved(frame: DataFrame) -> DataFrame:
+    """Compute a frame once and keep it in the shared folder, where a lost executor cannot hurt it."""
+    shared_dir(frame.sparkSession)
+    return frame.checkpoint(eager=True)
+
 
-    Beyond that the saved frame is returned without a hint and the join shuffles.
+def broadcast_if_small(kept: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Hint a broadcast of a saved frame when it was counted to hold at most ``max_rows``.
+
+    Beyond that the frame is returned without a hint and the join shuffles.
     """
-    shared_dir(frame.sparkSession)
-    saved = frame.checkpoint(eager=True)
-    return F.broadcast(saved) if saved.count() <= max_rows else saved
+    return F.broadcast(kept) if kept.count() <= max_rows else kept
