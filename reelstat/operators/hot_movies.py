@@ -15,37 +15,33 @@ def window_viewers(
 ) -> DataFrame:
     """Distinct viewers of every movie in every sliding window, as (mid, windowEnd, count).
 
-    Rows are never copied into the windows that cover them. Plays are reduced to the slide
-    steps in which a user watched a movie (one shuffle, combined on the map side; the list is
-    bounded by the calendar). The windows that contain a user form ranges of steps; overlapping
-    ones merge, and only the range borders travel on as +1 and -1. A running sum per movie over
-    these borders gives the count of each window.
+    Rows are never copied into the windows that cover them. Plays are reduced to the distinct
+    slide steps in which a user watched a movie, spread over (mid, uid, step). The windows in
+    which a step is the user's first one form a range: it starts after the previous step of the
+    same user, or where the step first comes into reach. Only the two borders of each range
+    travel on, as +1 and -1, combined on the map side. A running sum per movie over its borders,
+    whose number is bounded by the calendar, gives the count of each window.
     """
     if size_ms % slide_ms:
         raise ValueError("the window size must be a multiple of the slide")
     reach = size_ms // slide_ms - 1
-    plays = events.where((F.col("event") == "play") & F.col("mid").isNotNull())
     steps = (
-        plays.groupBy("mid", "uid")
-        .agg(F.array_sort(F.collect_set(F.floor(F.col("timestamp") / slide_ms))).alias("step"))
+        events.where((F.col("event") == "play") & F.col("mid").isNotNull())
+        .select("mid", "uid", F.floor(F.col("timestamp") / slide_ms).alias("step"))
+        .distinct()
     )
-    # A step s is covered by the windows that start at s - reach .. s. A border opens at a step
-    # whose predecessor does not reach it and closes at one whose successor does not.
-    size = F.size("step")
-    opens = F.filter(
-        "step",
-        lambda s, i: (i == 0) | (s - F.get("step", F.greatest(i - 1, F.lit(0))) > reach + 1),
-    )
-    closes = F.filter(
-        "step",
-        lambda s, i: (i == size - 1) | (F.get("step", i + 1) - s > reach + 1),
+    of_user = Window.partitionBy("mid", "uid").orderBy("step")
+    ranges = steps.select(
+        "mid",
+        F.greatest(F.col("step") - reach, F.lag("step").over(of_user) + 1).alias("opens"),
+        (F.col("step") + 1).alias("closes"),
     )
-    borders = F.concat(
-        F.transform(opens, lambda s: F.struct((s - reach).alias("first"), F.lit(1).alias("change"))),
-        F.transform(closes, lambda s: F.struct((s + 1).alias("first"), F.lit(-1).alias("change"))),
+    borders = F.array(
+        F.struct(F.col("opens").alias("first"), F.lit(1).alias("change")),
+        F.struct(F.col("closes").alias("first"), F.lit(-1).alias("change")),
     )
     changes = (
-        steps.select("mid", F.inline(borders))
+        ranges.select("mid", F.inline(borders))
         .groupBy("mid", "first")
         .agg(F.sum("change").alias("change"))
     )

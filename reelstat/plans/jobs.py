@@ -80,17 +80,16 @@ def run_sessions(
 ) -> None:
     """Filter sessions; append their length statistics, top categories, top sessions, details."""
     chosen = _chosen(actions, params)
-    kept = _stored(
-        sessions.session_filter(
-            sessions.session_aggregate(chosen, users),
-            params.age,
-            params.cities,
-            params.professions,
-            params.sex,
-            params.categories,
-        ),
-        "sessions",
+    matching = sessions.session_filter(
+        sessions.session_aggregate(chosen, users),
+        params.age,
+        params.cities,
+        params.professions,
+        params.sex,
+        params.categories,
     )
+    # Without the keyword lists, which nothing below needs, sessions are plain counters.
+    kept = _stored(matching.select("sessionId", "visitLength", "stepLength"), "sessions")
     stats = sessions.session_length_stats(kept, as_of, params.visit_buckets, params.step_buckets)
     append_table(sessions.stats_document(stats), f"{out}/session_stats")
 

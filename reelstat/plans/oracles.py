@@ -438,6 +438,9 @@ FROM best JOIN nation ON cityId = n_nationkey JOIN part ON movieId = p_partkey W
         "parsed_log_events": f"WITH {LOG} SELECT uid, ip, mid, event, timestamp FROM log",
         "uv_exact": UV_EXACT,
         "uv_bitmap": UV_BITMAP,
+        "late_rows": f"""
+WITH {LOG} SELECT uid, ip, mid, event, timestamp FROM log
+WHERE (timestamp // 3600000 + 1) * 3600000 <= (SELECT max(timestamp) FROM log) - 120000""",
         "hot_movies_window": HOT_WINDOW,
         "uv_stream": UV_CLOSED,
         "uv_stream_bitmap": UV_BITMAP,

@@ -27,6 +27,7 @@ from reelstat.sinks.tables import write_batch
 from reelstat.sources import lines, streams
 from reelstat.streaming import (
     hot_movies as stream_hot,
+    late as stream_late,
     logins as stream_logins,
     recommend as stream_recommend,
     run,
@@ -227,6 +228,13 @@ def uv_approx(d: Domain) -> DataFrame:
     return visitors.uv_count(d.log_events, "approx")
 
 
+def late_rows(d: Domain) -> DataFrame:
+    """Rows that would be late after the newest event has been seen."""
+    events = d.log_events
+    newest = events.agg(F.max("timestamp")).first()[0]
+    return stream_late.split_late(events, newest)[1]
+
+
 def hot_movies_window(d: Domain) -> DataFrame:
     return hot_movies.hot_movies_window(d.log_events)
 
@@ -270,6 +278,7 @@ _BATCH = (
     uv_exact,
     uv_bitmap,
     uv_approx,
+    late_rows,
     hot_movies_window,
     login_fail_detect,
     current_locks,
