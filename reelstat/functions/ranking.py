@@ -28,10 +28,19 @@ def top_n_per_group(
     return frame.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 
 
+# Names of the movie fields inside result documents.
+DOCUMENT_NAMES = {
+    "movie_name": "movieName",
+    "hot_degree": "hotDegree",
+    "img_urls": "imgUrls",
+    "rating_num": "ratingNum",
+}
+
+
 def nest(
     frame: DataFrame, keys: Sequence[str], fields: Sequence[str], name: str, rank: str = "rank"
 ) -> DataFrame:
     """Fold ranked rows into one list per key, in rank order. Only for ranked, bounded groups."""
-    entries = F.array_sort(F.collect_list(F.struct(F.col(rank).alias("_rank"), *fields)))
-    plain = F.transform(entries, lambda e: F.struct(*[e[f].alias(f) for f in fields]))
-    return frame.groupBy(*keys).agg(plain.alias(name))
+    named = [F.col(f).alias(DOCUMENT_NAMES.get(f, f)) for f in fields]
+    entries = F.array_sort(F.collect_list(F.struct(F.col(rank), F.struct(*named).alias("entry"))))
+    return frame.groupBy(*keys).agg(F.transform(entries, lambda e: e["entry"]).alias(name))

@@ -32,13 +32,16 @@ def candidates(requests: DataFrame, rated: DataFrame, pairs: DataFrame, n: int)
     spread over the slices of its list.
     """
     counts = rated.groupBy("uid").agg(F.count("*").alias("known"))
+    # No request looks further than this, which bounds the lists before their shuffle.
+    deepest = n + (counts.agg(F.max("known")).first()[0] or 0)
     asked = requests.select("mid").distinct()
-    place = Window.partitionBy("mid").orderBy(F.desc("score"), F.asc("mid2"))
-    lists = (
-        pairs.join(asked, "mid", "left_semi")
-        .select("mid", "mid2", "score", F.row_number().over(place).alias("place"))
-        .withColumn("slice", F.floor((F.col("place") - 1) / SLICE))
-    )
+    lists = ranking.top_n_per_group(
+        pairs.join(asked, "mid", "left_semi"),
+        ["mid"],
+        [F.desc("score"), F.asc("mid2")],
+        deepest,
+        rank="place",
+    ).withColumn("slice", F.floor((F.col("place") - 1) / SLICE))
     asks = (
         requests.join(counts, "uid", "left")
         .withColumn("depth", n + F.coalesce("known", F.lit(0)))
@@ -84,9 +87,9 @@ def realtime_recommend(
     """
     requests = saved(events.groupBy("uid", "mid").agg(F.count("*").alias("copies")))
     users = broadcast_if_small(requests).select("uid")
-    history = saved(
-        ratings.join(users, "uid", "left_semi").select("uid", "mid", "rating", "date", *_extra(tie))
-    )
+    history = ratings.join(users, "uid", "left_semi").select("uid", "mid", "rating", "date", *_extra(tie))
+    # Spread over (uid, mid), as the distinct and the anti join need it; a busy user stays spread.
+    history = saved(history.repartition("uid", "mid"))
     latest = recent_ratings(history, recent, tie)
     rated = history.select("uid", "mid").distinct()
     similar = pairs.select("mid", "mid2", "score")

@@ -11,9 +11,12 @@ def append_table(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ("
     frame.write.mode("append").partitionBy(*keys).parquet(path)
 
 
-def write_batch(frame: DataFrame, batch_id: int, path: str) -> None:
+def write_batch(
+    frame: DataFrame, batch_id: int, path: str, partition_by: tuple[str, ...] = ()
+) -> None:
     """Write the rows of one micro-batch to its own partition.
 
     A batch that runs again after a failure replaces its partition, so rows arrive exactly once.
     """
-    frame.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    target = f"{path.rstrip('/')}/batch_id={batch_id}"
+    frame.write.mode("overwrite").partitionBy(*partition_by).parquet(target)

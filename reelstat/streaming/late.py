@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reelstat.operators.visitors import HOUR_MS, hour_start
+from reelstat.operators.visitors import HOUR_MS, hour_start, uv_count
 from reelstat.sinks.tables import write_batch
 from reelstat.streaming.run import to_batches
 
@@ -32,6 +32,18 @@ def split_late(
     return rows.where(~closed), rows.where(closed)
 
 
+def recount(
+    on_time: DataFrame, since: int | None = None, until: int | None = None, method: str = "exact"
+) -> DataFrame:
+    """Visitors of the hours that start in a range, from the stored on-time rows."""
+    chosen = on_time
+    if since is not None:
+        chosen = chosen.where(F.col("hour") >= since)
+    if until is not None:
+        chosen = chosen.where(F.col("hour") < until)
+    return uv_count(chosen.drop("hour"), method)
+
+
 class NewestSeen:
     """Newest event time up to each batch, kept in two alternating slots.
 
@@ -72,7 +84,10 @@ def start_late_split(
     lateness_ms: int = LATENESS_MS,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Write on-time and late rows of every micro-batch to two tables."""
+    """Write on-time and late rows of every micro-batch to two tables.
+
+    On-time rows are partitioned by ``hour``, so :func:`recount` reads only the hours it needs.
+    """
     seen = NewestSeen(events.sparkSession, state_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -80,7 +95,8 @@ def start_late_split(
         try:
             before = seen.before(batch_id)
             on_time, late = split_late(batch, before, delay_ms, lateness_ms)
-            write_batch(on_time, batch_id, on_time_path)
+            hourly = on_time.withColumn("hour", hour_start(F.col("timestamp")))
+            write_batch(hourly, batch_id, on_time_path, ("hour",))
             write_batch(late, batch_id, late_path)
             seen.after(batch_id, before, batch)
         finally:

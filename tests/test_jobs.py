@@ -28,7 +28,7 @@ def test_leaderboards(spark, domain, tmp_path):
     [first, second] = ranking.where("category = 'good_ranking'").collect()
     assert first.movieList == second.movieList and len(first.movieList) == 10
     best = spark.read.parquet(f"{out}/top_movies").first().movieList
-    degrees = [m.hot_degree for m in best]
+    degrees = [m.hotDegree for m in best]
     assert degrees == sorted(degrees, reverse=True)
     assert spark.read.parquet(f"{out}/top_movies_of_category").select("category").distinct().count() > 10
     for name in ("top_movies_of_month", "top_movies_of_week"):
@@ -38,7 +38,7 @@ def test_leaderboards(spark, domain, tmp_path):
 def test_similarity(spark, domain, tmp_path):
     jobs.run_similarity(domain.movies, AS_OF, str(tmp_path), n=5)
     documents = spark.read.parquet(f"{tmp_path}/similar_movies").collect()
-    assert documents and all(len(d.similarMovies) <= 5 for d in documents)
+    assert documents and all(len(d.simliarMovies) <= 5 for d in documents)
     assert spark.read.parquet(f"{tmp_path}/mid2_similar_score").select("mid").distinct().count() == 200
 
 

@@ -88,7 +88,7 @@ def test_similar_movies_from_pairs(table):
     )
     found = similarity.similar_movies(pairs, info(table, 1, 2, 3, 4, 5), AS_OF, n=2)
     assert rows(found, "mid", "rank", "mid2", "hot_degree") == [(1, 1, 2, 0.0), (1, 2, 3, 0.0), (2, 1, 1, 0.0)]
-    documents = {r.mid: r.similarMovies for r in similarity.as_document(found).collect()}
+    documents = {r.mid: r.simliarMovies for r in similarity.as_document(found).collect()}
     assert [m.mid for m in documents[1]] == [2, 3]
     assert documents[1][0].categories == "a|b|c"
 

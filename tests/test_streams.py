@@ -64,6 +64,14 @@ def test_late_rows_go_to_their_own_table(spark, feed, tmp_path, batches, on_time
     assert [r.uid for r in spark.read.parquet(paths[0]).orderBy("uid").collect()] == on_time
     assert [r.uid for r in spark.read.parquet(paths[1]).orderBy("uid").collect()] == late_ones
 
+    stored = spark.read.parquet(paths[0])
+    counts = late.recount(stored, since=ms("01:00:00"))
+    hours = [time[:2] for batch in batches for uid, time in batch if uid in on_time]
+    expected = {h: hours.count(h) for h in set(hours) if h >= "01"}
+    assert {r.startTime[-2:]: r["count"] for r in counts.collect()} == expected
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(hour" in plan
+
     # A later run continues from the stored event time.
     feed.add((9, "ip", 7, "play", ms("00:30:00")))
     finish(late.start_late_split(events, *paths))
