@@ -75,6 +75,14 @@ def test_nearest_equals_ranked_pairs(vectors, block_rows):
     assert sorted(tuple(r) for r in found.select("mid", "rank", "mid2").collect()) == expected
 
 
+def test_wide_vectors_get_smaller_blocks(vectors, monkeypatch):
+    monkeypatch.setattr(similarity, "_CELLS", 12 * 50)
+    values = crowd(count=400)
+    found = {(r.mid, r.mid2): r.score for r in similarity.similarity_matrix(vectors(values), 0.3).collect()}
+    expected = {pair: score for pair, score in brute(values).items() if score > 0.3}
+    assert found == pytest.approx(expected, abs=1e-9)
+
+
 def info(table, *mids, off=()):
     return table(
         [(m, f"m{m}", f"i{m}", 7.0, "a b|c", int(m in off)) for m in mids],
