@@ -10,26 +10,29 @@ SIZE_MS = 3_600_000
 SLIDE_MS = 300_000
 
 
-def window_viewers(
-    events: DataFrame, size_ms: int = SIZE_MS, slide_ms: int = SLIDE_MS
+def watch_steps(events: DataFrame, slide_ms: int = SLIDE_MS) -> DataFrame:
+    """Distinct slide steps in which a user watched a movie, spread over (mid, uid, step)."""
+    return (
+        events.where((F.col("event") == "play") & F.col("mid").isNotNull())
+        .select("mid", "uid", F.floor(F.col("timestamp") / slide_ms).alias("step"))
+        .distinct()
+    )
+
+
+def step_viewers(
+    steps: DataFrame, size_ms: int = SIZE_MS, slide_ms: int = SLIDE_MS
 ) -> DataFrame:
     """Distinct viewers of every movie in every sliding window, as (mid, windowEnd, count).
 
-    Rows are never copied into the windows that cover them. Plays are reduced to the distinct
-    slide steps in which a user watched a movie, spread over (mid, uid, step). The windows in
-    which a step is the user's first one form a range: it starts after the previous step of the
-    same user, or where the step first comes into reach. Only the two borders of each range
-    travel on, as +1 and -1, combined on the map side. A running sum per movie over its borders,
-    whose number is bounded by the calendar, gives the count of each window.
+    Steps are never copied into the windows that cover them. The windows in which a step is the
+    user's first one form a range: it starts after the previous step of the same user, or where
+    the step first comes into reach. Only the two borders of each range travel on, as +1 and -1,
+    combined on the map side. A running sum per movie over its borders, whose number is bounded
+    by the calendar, gives the count of each window.
     """
     if size_ms % slide_ms:
         raise ValueError("the window size must be a multiple of the slide")
     reach = size_ms // slide_ms - 1
-    steps = (
-        events.where((F.col("event") == "play") & F.col("mid").isNotNull())
-        .select("mid", "uid", F.floor(F.col("timestamp") / slide_ms).alias("step"))
-        .distinct()
-    )
     of_user = Window.partitionBy("mid", "uid").orderBy("step")
     ranges = steps.select(
         "mid",
@@ -60,16 +63,23 @@ def window_viewers(
     )
 
 
-def hot_movies_window(
-    events: DataFrame, size_ms: int = SIZE_MS, slide_ms: int = SLIDE_MS, n: int = 10
+def window_viewers(
+    events: DataFrame, size_ms: int = SIZE_MS, slide_ms: int = SLIDE_MS
 ) -> DataFrame:
-    """The ``n`` movies of every window with the most distinct viewers."""
-    best = ranking.top_n_per_group(
-        window_viewers(events, size_ms, slide_ms),
-        ["windowEnd"],
-        [F.desc("count"), F.asc("mid")],
-        n,
-    )
+    """:func:`step_viewers` of raw events."""
+    return step_viewers(watch_steps(events, slide_ms), size_ms, slide_ms)
+
+
+def rank_windows(viewers: DataFrame, size_ms: int = SIZE_MS, n: int = 10) -> DataFrame:
+    """The ``n`` movies of every window with the most viewers."""
+    best = ranking.top_n_per_group(viewers, ["windowEnd"], [F.desc("count"), F.asc("mid")], n)
     return best.select(
         (F.col("windowEnd") - size_ms).alias("windowStart"), "windowEnd", "mid", "count", "rank"
     )
+
+
+def hot_movies_window(
+    events: DataFrame, size_ms: int = SIZE_MS, slide_ms: int = SLIDE_MS, n: int = 10
+) -> DataFrame:
+    """The ``n`` movies of every window with the most distinct viewers."""
+    return rank_windows(window_viewers(events, size_ms, slide_ms), size_ms, n)

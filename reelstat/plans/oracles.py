@@ -340,7 +340,9 @@ UV_CLOSED = f"""
 {UV_EXACT} WHERE (hour + 1) * 3600000 <= (SELECT max(timestamp) FROM log) - 120000"""
 
 HOT_CLOSED = f"""
-{HOT_WINDOW} AND start + 3600000 <= (SELECT max(timestamp) FROM log WHERE event = 'play') - 30000"""
+{HOT_WINDOW} AND start + 3600000 <= (
+  SELECT max(timestamp // 300000 + 1) * 300000 FROM log WHERE event = 'play'
+    AND (timestamp // 300000 + 1) * 300000 <= (SELECT max(timestamp) FROM log WHERE event = 'play') - 30000)"""
 
 
 def oracle_sql() -> dict[str, str]:

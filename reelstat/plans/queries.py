@@ -318,8 +318,11 @@ def hot_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Rankings of the closed windows."""
     plays = StreamedDomain(spark, folder).log_events.where(F.col("event") == "play")
     events = streams.event_time(plays, stream_hot.WATERMARK)
+    steps, progress = scratch_path(spark, "hot-steps"), scratch_path(spark, "hot-progress")
     ranked = _streamed(
-        spark, "hot", lambda table, state: stream_hot.start_hot_movies(events, table, state)
+        spark,
+        "hot",
+        lambda table, state: stream_hot.start_hot_movies(events, table, steps, progress, state),
     )
     return ranked.drop("batch_id")
 

@@ -1,49 +1,87 @@
-"""Most watched movies of an event stream in sliding windows."""
+"""Most watched movies of an event stream in sliding windows.
+
+The stream state holds a play once, and only until its slide step closes. Closed steps go to a
+table, and the windows that end with them are ranked from its last hour, so no play is kept in
+every window that covers it.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reelstat.functions import ranking
+from reelstat.operators.hot_movies import SIZE_MS, SLIDE_MS, rank_windows, step_viewers
+from reelstat.operators.visitors import hour_start
 from reelstat.sinks.tables import write_batch
+from reelstat.streaming.progress import Progress, larger
 from reelstat.streaming.run import to_batches
 
 WATERMARK = "30 seconds"
 
 
-def window_viewers(events: DataFrame, size: str = "1 hour", slide: str = "5 minutes") -> DataFrame:
-    """Distinct viewers of every movie in every closed window; for append mode."""
+def closed_steps(events: DataFrame, slide_ms: int = SLIDE_MS) -> DataFrame:
+    """Distinct (mid, uid, step) of every slide step once it is closed; for append mode."""
     plays = events.where((F.col("event") == "play") & F.col("mid").isNotNull())
-    viewers = plays.groupBy(F.window("ts", size, slide), "mid", "uid").agg(F.count("*").alias("hits"))
-    return (
-        viewers.groupBy("window", "mid")
-        .agg(F.count("*").alias("count"))
-        .select(
-            F.unix_millis("window.start").alias("windowStart"),
-            F.unix_millis("window.end").alias("windowEnd"),
-            "mid",
-            "count",
-        )
+    step = F.window("ts", f"{slide_ms} milliseconds")
+    unique = plays.groupBy(step, "mid", "uid").agg(F.count("*").alias("plays"))
+    return unique.select(
+        "mid", "uid", F.floor(F.unix_millis("window.start") / slide_ms).alias("step")
     )
 
 
-def rank_windows(counts: DataFrame, n: int = 10) -> DataFrame:
-    """Best ``n`` movies of each window of a batch frame."""
-    order = [F.desc("count"), F.asc("mid")]
-    return ranking.top_n_per_group(counts, ["windowStart", "windowEnd"], order, n)
+def newly_closed(
+    steps: DataFrame,
+    done: int | None,
+    newest: int,
+    size_ms: int = SIZE_MS,
+    slide_ms: int = SLIDE_MS,
+    n: int = 10,
+) -> DataFrame:
+    """Rankings of the windows that end after step ``done`` and not after step ``newest``.
+
+    ``steps`` carries the ``hour`` of each step, by which the stored table is pruned.
+    """
+    wanted = F.col("windowEnd") <= (newest + 1) * slide_ms
+    if done is not None:
+        first = done + 1 - size_ms // slide_ms
+        reach = hour_start(F.lit(first * slide_ms))
+        steps = steps.where((F.col("hour") >= reach) & (F.col("step") >= first))
+        wanted &= F.col("windowEnd") > (done + 1) * slide_ms
+    viewers = step_viewers(steps.select("mid", "uid", "step"), size_ms, slide_ms)
+    return rank_windows(viewers.where(wanted), size_ms, n)
 
 
 def start_hot_movies(
-    events: DataFrame, path: str, checkpoint: str, n: int = 10, interval: str | None = None
+    events: DataFrame,
+    path: str,
+    steps_path: str,
+    state_path: str,
+    checkpoint: str,
+    size_ms: int = SIZE_MS,
+    slide_ms: int = SLIDE_MS,
+    n: int = 10,
+    interval: str | None = None,
 ) -> StreamingQuery:
-    """Write the ranking of every window when it closes.
+    """Write the ranking of every window when a step at or after its end has closed.
 
-    All movies of a window leave the state in the same micro-batch, so each batch ranks whole
-    windows with an ordinary bounded top-n.
+    ``steps_path`` keeps the closed steps by hour; hours older than a window may be dropped.
     """
+    spark = events.sparkSession
+    ranked = Progress(spark, state_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(rank_windows(batch, n), batch_id, path)
+        batch.persist()
+        try:
+            done = ranked.before(batch_id)
+            newest = larger(done, batch.agg(F.max("step")).first()[0])
+            hourly = batch.withColumn("hour", hour_start(F.col("step") * slide_ms))
+            write_batch(hourly, batch_id, steps_path, ("hour",))
+            if newest is not None and newest != done:
+                stored = spark.read.parquet(steps_path)
+                found = newly_closed(stored, done, newest, size_ms, slide_ms, n)
+                write_batch(found, batch_id, path)
+            ranked.after(batch_id, newest)
+        finally:
+            batch.unpersist()
 
-    return to_batches(window_viewers(events), write, checkpoint, interval=interval)
+    return to_batches(closed_steps(events, slide_ms), write, checkpoint, interval=interval)

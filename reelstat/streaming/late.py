@@ -7,11 +7,12 @@ for the newest event of all earlier micro-batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from reelstat.operators.visitors import HOUR_MS, hour_start, uv_count
 from reelstat.sinks.tables import write_batch
+from reelstat.streaming.progress import Progress, larger
 from reelstat.streaming.run import to_batches
 
 DELAY_MS = 60_000
@@ -44,36 +45,6 @@ def recount(
     return uv_count(chosen.drop("hour"), method)
 
 
-class NewestSeen:
-    """Newest event time up to each batch, kept in two alternating slots.
-
-    Batch ``n`` reads the slot of batch ``n - 1`` and writes the other one, so a repeated batch
-    finds its input unchanged and the storage stays constant.
-    """
-
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.folder = folder.rstrip("/")
-
-    def _slot(self, batch_id: int) -> str:
-        return f"{self.folder}/slot={batch_id % 2}"
-
-    def before(self, batch_id: int) -> int | None:
-        if batch_id == 0:
-            return None
-        row = self.spark.read.schema("batch long, newest long").parquet(self._slot(batch_id - 1)).first()
-        if row is None or row.batch != batch_id - 1:
-            raise RuntimeError(f"no event time kept for batch {batch_id - 1}")
-        return row.newest
-
-    def after(self, batch_id: int, before: int | None, batch: DataFrame) -> None:
-        newest = F.max("timestamp").cast("long")
-        if before is not None:
-            newest = F.greatest(newest, F.lit(before))
-        kept = batch.agg(newest.alias("newest")).select(F.lit(batch_id).cast("long").alias("batch"), "newest")
-        kept.coalesce(1).write.mode("overwrite").parquet(self._slot(batch_id))
-
-
 def start_late_split(
     events: DataFrame,
     on_time_path: str,
@@ -88,7 +59,7 @@ def start_late_split(
 
     On-time rows are partitioned by ``hour``, so :func:`recount` reads only the hours it needs.
     """
-    seen = NewestSeen(events.sparkSession, state_path)
+    seen = Progress(events.sparkSession, state_path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -98,7 +69,8 @@ def start_late_split(
             hourly = on_time.withColumn("hour", hour_start(F.col("timestamp")))
             write_batch(hourly, batch_id, on_time_path, ("hour",))
             write_batch(late, batch_id, late_path)
-            seen.after(batch_id, before, batch)
+            newest = batch.agg(F.max("timestamp")).first()[0]
+            seen.after(batch_id, larger(before, newest))
         finally:
             batch.unpersist()
 

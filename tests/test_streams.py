@@ -121,15 +121,26 @@ def test_running_counts_grow_to_the_batch_count(spark, feed, tmp_path):
 
 
 def test_hot_movies_equal_the_batch_ranking(spark, feed, tmp_path):
-    for minute in range(0, 60, 15):
-        feed.add(*[(n % 6, "ip", n % 4 or "", "play" if n % 5 else "fav", ms(f"12:{minute + n % 15:02d}:0{n % 9}")) for n in range(40)])
-    feed.add((1, "ip", 1, "play", ms("15:00:00")))
+    for start in ("12:00", "12:15", "12:30", "13:40", "16:20"):
+        hour, minute = map(int, start.split(":"))
+        feed.add(
+            *[
+                (n % 6, "ip", n % 4 or "", "play" if n % 5 else "fav", ms(f"{hour}:{minute + n % 15:02d}:0{n % 9}"))
+                for n in range(40)
+            ]
+        )
+    feed.add((1, "ip", 1, "play", ms("18:00:00")))
+    feed.add((1, "ip", 1, "play", ms("18:10:00")), (2, "ip", 1, "play", ms("12:00:00")))
     events = streams.event_time(lines.parse_plays(feed.lines()), hot_movies.WATERMARK)
-    finish(hot_movies.start_hot_movies(events, str(tmp_path / "o"), str(tmp_path / "c"), n=3))
-    end = ms("15:00:00") - 30_000
-    expected = batch_hot.hot_movies_window(lines.parse_plays(feed.stored()), n=3).where(f"windowEnd <= {end}")
+    paths = [str(tmp_path / name) for name in ("ranked", "steps", "state", "check")]
+    finish(hot_movies.start_hot_movies(events, *paths, n=3))
+    # The late play of 12:00 is dropped; the step of 18:00 is the last one that closed.
+    in_time = lines.parse_plays(feed.stored()).where(f"not (uid = 2 and timestamp = {ms('12:00:00')} and mid = 1)")
+    expected = batch_hot.hot_movies_window(in_time, n=3).where(f"windowEnd <= {ms('18:05:00')}")
     columns = ("windowStart", "windowEnd", "mid", "count", "rank")
-    assert rows(spark.read.parquet(str(tmp_path / "o")), *columns) == rows(expected, *columns)
+    found = spark.read.parquet(paths[0])
+    assert rows(found, *columns) == rows(expected, *columns)
+    assert found.select("batch_id").distinct().count() > 2
 
 
 def test_login_stream_equals_the_batch(spark, feed, tmp_path):
