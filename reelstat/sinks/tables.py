@@ -12,11 +12,19 @@ def append_table(frame: DataFrame, path: str, partition_by: tuple[str, ...] = ("
 
 
 def write_batch(
-    frame: DataFrame, batch_id: int, path: str, partition_by: tuple[str, ...] = ()
+    frame: DataFrame,
+    batch_id: int,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    cluster_by: tuple[str, ...] = (),
 ) -> None:
     """Write the rows of one micro-batch to its own partition.
 
     A batch that runs again after a failure replaces its partition, so rows arrive exactly once.
+    Rows in the order of ``cluster_by`` keep a task within few partitions, and a crowded
+    partition is still split between tasks, where one task per partition would not be.
     """
+    if cluster_by:
+        frame = frame.repartitionByRange(*cluster_by)
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     frame.write.mode("overwrite").partitionBy(*partition_by).parquet(target)

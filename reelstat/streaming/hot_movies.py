@@ -75,7 +75,7 @@ def start_hot_movies(
             done = ranked.before(batch_id)
             newest = larger(done, batch.agg(F.max("step")).first()[0])
             hourly = batch.withColumn("hour", hour_start(F.col("step") * slide_ms))
-            write_batch(hourly, batch_id, steps_path, ("hour",))
+            write_batch(hourly, batch_id, steps_path, ("hour",), ("step", "mid", "uid"))
             if newest is not None and newest != done:
                 stored = spark.read.parquet(steps_path)
                 found = newly_closed(stored, done, newest, size_ms, slide_ms, n)

@@ -67,7 +67,7 @@ def start_late_split(
             before = seen.before(batch_id)
             on_time, late = split_late(batch, before, delay_ms, lateness_ms)
             hourly = on_time.withColumn("hour", hour_start(F.col("timestamp")))
-            write_batch(hourly, batch_id, on_time_path, ("hour",))
+            write_batch(hourly, batch_id, on_time_path, ("hour",), ("timestamp", "uid", "ip"))
             write_batch(late, batch_id, late_path)
             newest = batch.agg(F.max("timestamp")).first()[0]
             seen.after(batch_id, larger(before, newest))
