@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import packing
+from reelstat.llm import mixing, packing, rules, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1_packing,
+        "op3_mixing": mixing.op3_mixing,
+        "op5_sharding": sharding.op5_sharding,
+        "op7_quality_rules": rules.op7_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.OP3_SQL}
