@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import mixing, packing, rules, sharding
+from reelstat.llm import mixing, neardup, packing, rules, sharding
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_packing": packing.op1_packing,
         "op3_mixing": mixing.op3_mixing,
         "op5_sharding": sharding.op5_sharding,
+        "op6_minhash": neardup.op6_minhash,
         "op7_quality_rules": rules.op7_quality_rules,
     }
 
