@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import mixing, neardup, packing, rules, sharding
+from reelstat.llm import mixing, neardup, packing, rules, sharding, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1_packing,
         "op3_mixing": mixing.op3_mixing,
+        "op4_suffix_array": substrings.op4_suffix_array,
         "op5_sharding": sharding.op5_sharding,
         "op6_minhash": neardup.op6_minhash,
         "op7_quality_rules": rules.op7_quality_rules,
