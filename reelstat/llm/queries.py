@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import mixing, neardup, packing, rules, sharding, substrings
+from reelstat.llm import mixing, neardup, packing, pages, rules, sharding, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1_packing,
+        "op2_html": pages.op2_html,
         "op3_mixing": mixing.op3_mixing,
         "op4_suffix_array": substrings.op4_suffix_array,
         "op5_sharding": sharding.op5_sharding,
