@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import mixing, neardup, packing, pages, rules, sharding, substrings
+from reelstat.llm import mixing, neardup, neighbours, packing, pages, rules, sharding, substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,8 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sharding": sharding.op5_sharding,
         "op6_minhash": neardup.op6_minhash,
         "op7_quality_rules": rules.op7_quality_rules,
+        "op9_rotated_codes": neighbours.op9_rotated_codes,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.OP3_SQL}
+    return {"op3_mixing": mixing.OP3_SQL, "op9_rotated_codes": neighbours.OP9_SQL}
