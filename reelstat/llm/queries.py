@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import mixing, neardup, neighbours, packing, pages, rules, sharding, substrings
+from reelstat.llm import mixing, neardup, neighbours, packing, pages, quality, rules, sharding, substrings, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,7 +18,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sharding": sharding.op5_sharding,
         "op6_minhash": neardup.op6_minhash,
         "op7_quality_rules": rules.op7_quality_rules,
+        "op8_quality": quality.op8_quality,
         "op9_rotated_codes": neighbours.op9_rotated_codes,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
