@@ -127,6 +127,37 @@ def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
     )
 
 
+def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pipeline stage: the mix itself. A document stands in it as often as its source's epochs take it.
+
+    The document at the end of a source's budget adds the words the budget still has room for.
+    """
+    taken = mix(docs).filter("taken > 0").select(
+        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("taken").alias("_taken")
+    )
+    # Rows of equal id, source and size are alike to the mix; each is matched once.
+    order = Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.desc("_taken"))
+    taken = taken.withColumn("_mix_place", F.row_number().over(order))
+    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    own = Window.partitionBy("doc_id", "source", "_own_size").orderBy(F.md5("text"))
+    placed = docs.withColumn("_own_size", size).withColumn("_own_place", F.row_number().over(own))
+    both = placed.join(
+        taken,
+        placed["doc_id"].eqNullSafe(taken._mix_id)
+        & placed["source"].eqNullSafe(taken._mix_source)
+        & (F.col("_own_size") == F.col("_mix_size"))
+        & (F.col("_own_place") == F.col("_mix_place")),
+    )
+    whole = F.floor(F.col("_taken") / F.col("_mix_size")).cast("int")
+    part = (F.col("_taken") % F.col("_mix_size")).cast("int")
+    times = F.sequence(F.lit(1), whole + F.when(part > 0, 1).otherwise(0))
+    repeated = both.withColumn("_mix_time", F.explode(times))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), part), " ")
+    text = F.when(F.col("_mix_time") > whole, cut).otherwise(F.col("text"))
+    columns = {"text": text, "n_chars": F.length(text).cast("long")}
+    return repeated.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How many words of every document the mix takes."""
     return mix(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -271,3 +271,8 @@ def op1_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pipeline stage: the pieces of the packed documents, with their ids."""
+    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))

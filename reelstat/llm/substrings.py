@@ -414,3 +414,42 @@ def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
         F.size("_runs").cast("long").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
     )
+
+
+def _text_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Text without the removed runs (runs, text, others...); a run is narrowed to whole characters."""
+    for batch in batches:
+        texts = batch.column(1).to_pylist()
+        out = []
+        for runs, text in zip(batch.column(0).to_pylist(), texts):
+            if not runs:
+                out.append(text)
+                continue
+            data, rest, last = text.encode(), [], 0
+            for r in runs:
+                a, b = r["start"], r["end"]
+                while a < b and a < len(data) and data[a] & 0xC0 == 0x80:
+                    a += 1
+                while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+                    b -= 1
+                rest.append(data[last:a])
+                last = b
+            rest.append(data[last:])
+            out.append(b"".join(rest).decode())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(out, pa.string()), *batch.columns[2:]], names=["_text", *batch.schema.names[2:]]
+        )
+
+
+def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pipeline stage: every document without the strings that repeat, and with its new length.
+
+    Runs are narrowed to whole characters, so that what is left is text. A document of which nothing is left stays, empty.
+    """
+    rows = remove_repeats(docs)
+    others = [f for f in docs.schema.fields if f.name != "text"]
+    schema = ", ".join(["_text string", *(f"`{f.name}` {f.dataType.simpleString()}" for f in others)])
+    left = rows.select("_runs", "text", *[F.col(f"`{f.name}`") for f in others]).mapInArrow(_text_left, schema)
+    length = F.length("_text").cast("long")
+    columns = {"text": F.col("_text"), "n_chars": length}
+    return left.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
