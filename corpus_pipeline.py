@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelstat.llm import mixing, neardup, packing, rules, substrings
 from reelstat.llm.common import stored, table
 
 # (name, function of (spark, docs, folder)); each reads all that the stage before it kept.
-STAGES = []
+STAGES = [
+    ("quality_rules", rules.stage),
+    ("near_duplicates", neardup.stage),
+    ("repeated_passages", substrings.stage),
+    ("source_mix", mixing.stage),
+    ("packing", packing.stage),
+]
 
 # Quantile sketches, signatures and tokenizers have no SQL form; the tests hold the stages to brute force.
 ORACLE_SQL = None
