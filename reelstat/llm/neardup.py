@@ -146,19 +146,22 @@ def least_matches() -> tuple[int, ...]:
     return tuple(out)
 
 
+def _bands(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values (rows, BANDS, ROWS) and bucket names (rows, BANDS) of signatures."""
+    values = signatures[:, : BANDS * ROWS].reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), values.shape[:2]) + np.uint64(1)
+    for k in range(ROWS):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[:, :, k])
+    return values, h.view(np.int64)
+
+
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
         raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, HASHES)
-        values = raw[:, : BANDS * ROWS].reshape(batch.num_rows, BANDS, ROWS).astype(np.uint64)
-        h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), values.shape[:2]) + np.uint64(1)
-        for k in range(ROWS):
-            h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[:, :, k])
         doc = np.repeat(batch.column(0).to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(h.ravel().view(np.int64)), pa.array(doc)], names=["bucket", "doc_id"]
-        )
+        yield pa.RecordBatch.from_arrays([pa.array(_bands(raw)[1].ravel()), pa.array(doc)], names=["bucket", "doc_id"])
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,13 +198,18 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _block_pairs(table_: pa.Table) -> pa.Table:
-    """Pairs of one block of a bucket that differ in component and that the signatures do not rule out."""
+    """Pairs of one block of a bucket that differ in component and that the signatures do not rule out.
+
+    A pair that shares several buckets is left to that of the first band.
+    """
     least = least_matches()
     low, high = table_.column("low")[0].as_py(), table_.column("high")[0].as_py()
     chunk = table_.column("chunk").to_numpy()
     doc, root = table_.column("doc_id").to_numpy(), table_.column("root").to_numpy()
     size = table_.column("n_shingles").to_numpy()
     signs = np.frombuffer(b"".join(table_.column("signature").to_pylist()), np.uint32).reshape(len(doc), HASHES)
+    band = int(np.flatnonzero(_bands(signs[:1])[1][0] == table_.column("bucket")[0].as_py())[0])
+    before = signs[:, : band * ROWS].reshape(len(doc), band, ROWS)
     rows, others = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
     left, right = [], []
     for i in rows:
@@ -215,6 +223,7 @@ def _block_pairs(table_: pa.Table) -> pa.Table:
             j, matches = j[matches >= m], matches[matches >= m]
             if not len(j):
                 break
+        j = j[~(before[j] == before[i]).all(axis=2).any(axis=1)]
         left.append(np.full(len(j), doc[i]))
         right.append(doc[j])
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
@@ -290,7 +299,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
             "chunk", "doc_id", "root", "n_shingles", "signature",
         )
     )
-    rest = chunked.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long").distinct()
+    rest = chunked.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
     more = stored(_verified(rest, texts), "block-links")
     found = components(links.unionAll(more))
     named = classes.join(found, classes.rep == found.node, "left").select(
