@@ -7,11 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 
-def pipe_list(column: Column) -> Column:
-    """Split a ``a|b`` string into a list."""
-    return F.split(column, "[|]")
-
-
 def category_list(column: Column) -> Column:
     """Categories are separated by ``|`` or ``,``."""
     return F.split(column, "[|,]")

@@ -46,11 +46,8 @@ def week_of(as_of: dt.date | str) -> tuple[dt.date, dt.date]:
     return monday, monday + dt.timedelta(days=6)
 
 
-def text_millis(column: Column) -> Column:
-    """``yyyy-MM-dd HH:mm:ss`` text as epoch milliseconds, null when it does not parse."""
-    return F.unix_millis(F.try_to_timestamp(column, F.lit("yyyy-MM-dd HH:mm:ss")))
-
-
-def hour_label(column: Column) -> Column:
-    """``yyyy-MM-dd-HH`` label of a timestamp."""
-    return F.date_format(column, "yyyy-MM-dd-HH")
+def hour_label(millis: Column) -> Column:
+    """``yyyy-MM-dd-HH`` label in UTC of an epoch-millisecond value, whatever the session's time zone."""
+    hours = F.floor(millis / 3_600_000)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(hours / 24).cast("int"))
+    return F.concat_ws("-", day.cast("string"), F.lpad(F.pmod(hours, F.lit(24)).cast("string"), 2, "0"))

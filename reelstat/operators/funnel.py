@@ -35,7 +35,7 @@ def _totals(actions: DataFrame, tie: Sequence[str], piece_ms: int) -> DataFrame:
         .where(F.col("kind").isNotNull())
         .withColumn("piece", F.floor(F.col("date") / piece_ms))
     )
-    order = ["date", *tie]
+    order = ["date", *tie, "kind"]
     inside = known.withColumn(
         "next", F.lead("kind").over(Window.partitionBy("sessionId", "piece").orderBy(*order))
     )

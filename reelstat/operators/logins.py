@@ -31,6 +31,8 @@ def login_fail_detect(
 ) -> DataFrame:
     """A warning for every failure whose very next event of the same user fails in time.
 
+    Events of one millisecond follow ``tie`` and then their kind, a failure before a success.
+
     The events of a user are cut into time pieces, so an account under attack spreads over
     tasks. A piece also receives the first ``within_ms`` of the next one: a later event cannot
     complete a match, so this one shuffle sees everything it needs.
@@ -42,7 +44,7 @@ def login_fail_detect(
     spread = logins.select("uid", "eventType", "timestamp", *tie).withColumn(
         "home", F.explode(homes)
     )
-    order = Window.partitionBy("uid", "home").orderBy("timestamp", *tie)
+    order = Window.partitionBy("uid", "home").orderBy("timestamp", *tie, "eventType")
     following = spread.select(
         "uid",
         "timestamp",

@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelstat.functions import ranking, scores, times
+from reelstat.operators import similarity
 from reelstat.operators.similarity import DECIMALS
 from reelstat.session import broadcast_if_small, saved
 
@@ -24,36 +25,19 @@ def recent_ratings(history: DataFrame, recent: int, tie: Sequence[str]) -> DataF
     return newest.where(F.col("place") > 1).select("uid", F.col("mid").alias("seen"), "rating")
 
 
-def candidates(requests: DataFrame, rated: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
+def candidates(requests: DataFrame, rated: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
     """The ``n`` nearest movies of each rated movie that its user has not rated.
 
-    A user who rated r movies finds them within the first n + r places of the similarity list,
-    so only that much of the list is joined, in slices. This is exact, and a popular movie is
+    A user who rated r movies finds them within the first n + r places of the similarity list, so a list is computed
+    just as deep as the users that ask for it need, and is joined in slices. This is exact, and a popular movie is
     spread over the slices of its list.
     """
     counts = rated.groupBy("uid").agg(F.count("*").alias("known"))
-    # No request looks further than this, which bounds the lists before their shuffle.
-    deepest = n + (counts.agg(F.max("known")).first()[0] or 0)
-    asked = requests.select("mid").distinct()
-    lists = ranking.top_n_per_group(
-        pairs.join(asked, "mid", "left_semi"),
-        ["mid"],
-        [F.desc("score"), F.asc("mid2")],
-        deepest,
-        rank="place",
-    ).withColumn("slice", F.floor((F.col("place") - 1) / SLICE))
-    asks = (
-        requests.join(counts, "uid", "left")
-        .withColumn("depth", n + F.coalesce("known", F.lit(0)))
-        .select(
-            "uid",
-            "mid",
-            "depth",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("depth") - 1) / SLICE))).alias(
-                "slice"
-            ),
-        )
-    )
+    deep = requests.join(counts, "uid", "left").withColumn("depth", n + F.coalesce("known", F.lit(0)))
+    asked = saved(deep.groupBy("mid").agg(F.max("depth").alias("depth")))
+    lists = similarity.nearest_of(vectors, asked).withColumn("slice", F.floor((F.col("place") - 1) / SLICE))
+    slices = F.sequence(F.lit(0).cast("long"), F.floor((F.col("depth") - 1) / SLICE))
+    asks = deep.select("uid", "mid", "depth", F.explode(slices).alias("slice"))
     near = (
         asks.join(lists, ["mid", "slice"])
         .where(F.col("place") <= F.col("depth"))
@@ -65,10 +49,14 @@ def candidates(requests: DataFrame, rated: DataFrame, pairs: DataFrame, n: int)
     return best.select("uid", "mid", F.col("mid2").alias("candidate"))
 
 
+def _dot(one: Column, two: Column) -> Column:
+    return F.aggregate(F.zip_with(one, two, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+
+
 def realtime_recommend(
     events: DataFrame,
     ratings: DataFrame,
-    pairs: DataFrame,
+    vectors: DataFrame,
     movies: DataFrame,
     as_of: dt.date | str,
     n: int = 30,
@@ -79,11 +67,10 @@ def realtime_recommend(
 ) -> DataFrame:
     """Ranked recommendations for every rating event (uid, mid).
 
-    ``pairs`` is the similarity table (mid, mid2, score); ``tie`` orders ratings of the same
-    date. Equal events are computed once and reported as often as they came. Everything is an
-    equi-join on user or movie ids; the ratings and pairs are first cut to the users and movies
-    of the events. The events and the ratings of their users are used several times, so they are
-    saved once instead of reading the whole rating table again.
+    ``vectors`` are the features of the movies (mid, vector); similarities are computed for the asked movies only and no
+    table of pairs is kept. ``tie`` orders ratings of the same date. Equal events are computed once and reported as
+    often as they came. The events and the ratings of their users are used several times, so they are saved once
+    instead of reading the whole rating table again.
     """
     requests = saved(events.groupBy("uid", "mid").agg(F.count("*").alias("copies")))
     users = broadcast_if_small(requests).select("uid")
@@ -92,15 +79,17 @@ def realtime_recommend(
     history = saved(history.repartition("uid", "mid"))
     latest = recent_ratings(history, recent, tie)
     rated = history.select("uid", "mid").distinct()
-    similar = pairs.select("mid", "mid2", "score")
 
-    picked = candidates(requests, rated, similar, n)
-    compared = picked.join(latest, "uid").join(
-        similar.select(F.col("mid").alias("candidate"), F.col("mid2").alias("seen"), "score"),
-        ["candidate", "seen"],
-        "left",
-    )
-    likeness = F.coalesce("score", F.lit(0.0))
+    picked = candidates(requests, rated, vectors, n)
+    # Directions of the candidates and of the few recent movies of a user meet by user.
+    vector = F.col("vector").cast("array<double>")
+    sized = vectors.select("mid", vector.alias("vector"), F.sqrt(_dot(vector, vector)).alias("length"))
+    # A vector of zeros has no direction and is like nothing.
+    unit = sized.where(F.col("length") > 0).select("mid", F.transform("vector", lambda x: x / F.col("length")).alias("unit"))
+    mine = picked.join(unit.withColumnRenamed("mid", "candidate"), "candidate")
+    seen = latest.join(unit.withColumnRenamed("mid", "seen").withColumnRenamed("unit", "seen_unit"), "seen", "left")
+    compared = mine.join(seen, "uid")
+    likeness = F.coalesce(F.round(_dot(F.col("unit"), F.col("seen_unit")), DECIMALS), F.lit(0.0))
     high = F.count_if(F.col("rating") > hi)
     low = F.count_if(~(F.col("rating") > hi))
     level = (

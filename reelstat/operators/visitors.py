@@ -25,11 +25,8 @@ def visitor_bit(uid: Column, ip: Column) -> Column:
 
 def labelled(counts: DataFrame) -> DataFrame:
     """Replace the hour by its start and end labels."""
-    start = F.timestamp_millis(F.col("hour"))
-    end = F.timestamp_millis(F.col("hour") + HOUR_MS)
-    return counts.select(
-        times.hour_label(start).alias("startTime"), times.hour_label(end).alias("endTime"), "count"
-    )
+    start, end = times.hour_label(F.col("hour")), times.hour_label(F.col("hour") + HOUR_MS)
+    return counts.select(start.alias("startTime"), end.alias("endTime"), "count")
 
 
 def uv_count(events: DataFrame, method: str = "exact", rsd: float = 0.01) -> DataFrame:

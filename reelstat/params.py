@@ -39,7 +39,6 @@ class JobParams:
     visit_buckets: tuple[Bucket, ...] = VISIT_BUCKETS
     step_buckets: tuple[Bucket, ...] = STEP_BUCKETS
     top_movies: int = 10
-    kafka_servers: str | None = None
 
     @classmethod
     def from_properties(cls, entries: Mapping[str, str]) -> JobParams:
@@ -59,5 +58,4 @@ class JobParams:
             visit_buckets=parse_buckets(visit) if visit else VISIT_BUCKETS,
             step_buckets=parse_buckets(steps) if steps else STEP_BUCKETS,
             top_movies=int(entries.get("top.movies.count", 10)),
-            kafka_servers=entries.get("kafka.broker.servers"),
         )

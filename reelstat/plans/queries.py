@@ -142,18 +142,11 @@ def newest_ratings(d: Domain) -> DataFrame:
     return ratings.groupBy("uid").agg(F.max_by("mid", position).alias("mid"))
 
 
-def _stored_pairs(d: Domain) -> DataFrame:
-    """The similarity table, written once as the recommendation jobs expect it."""
-    path = scratch_path(d.spark, "pairs")
-    similarity.similarity_matrix(d.vectors).write.parquet(path)
-    return d.spark.read.parquet(path)
-
-
 def realtime_recommend(d: Domain) -> DataFrame:
     found = recommend.realtime_recommend(
         newest_ratings(d),
         d.ratings,
-        _stored_pairs(d),
+        d.vectors,
         d.movies,
         AS_OF,
         tie=Domain.RATING_TIE,
@@ -316,8 +309,7 @@ def uv_stream_bitmap(spark: SparkSession, folder: str) -> DataFrame:
 
 def hot_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Rankings of the closed windows."""
-    plays = StreamedDomain(spark, folder).log_events.where(F.col("event") == "play")
-    events = streams.event_time(plays, stream_hot.WATERMARK)
+    events = StreamedDomain(spark, folder).log_events
     steps, progress = scratch_path(spark, "hot-steps"), scratch_path(spark, "hot-progress")
     ranked = _streamed(
         spark,
@@ -340,7 +332,6 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
     arrived = scratch_path(spark, "rating-lines")
     fields = [F.col("uid").cast("string"), F.col("mid").cast("string"), F.lit("80"), F.lit(AS_OF)]
     newest_ratings(d).select(F.concat_ws("|", *fields).alias("value")).write.text(arrived)
-    similar = _stored_pairs(d)
     events = lines.parse_ratings(streams.file_lines(spark, arrived))
     found = _streamed(
         spark,
@@ -348,7 +339,7 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
         lambda table, state: stream_recommend.start_recommendations(
             events,
             lambda: d.ratings,
-            lambda: similar,
+            lambda: d.vectors,
             lambda: d.movies,
             table,
             state,

@@ -31,9 +31,14 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in tests."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one on a local master.
+
+    On a cluster a folder of one machine would lose data, so there the setting is required.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder and not (context.master == "local" or context.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not folder:
         folder = tempfile.mkdtemp(prefix="reelstat-")
     if not context.getCheckpointDir():

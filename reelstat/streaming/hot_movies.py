@@ -1,8 +1,8 @@
 """Most watched movies of an event stream in sliding windows.
 
-The stream state holds a play once, and only until its slide step closes. Closed steps go to a
-table, and the windows that end with them are ranked from its last hour, so no play is kept in
-every window that covers it.
+Every window is ranked once, when the newest play of the stream has passed its end by the allowed delay, whether or not
+a later play falls near it. Plays are reduced to distinct (movie, user, slide step) rows and kept as long as a window
+that is still open covers them.
 """
 
 from __future__ import annotations
@@ -10,44 +10,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from reelstat.operators.hot_movies import SIZE_MS, SLIDE_MS, rank_windows, step_viewers
-from reelstat.operators.visitors import hour_start
+from reelstat.operators.hot_movies import SIZE_MS, SLIDE_MS, rank_windows, step_viewers, watch_steps
 from reelstat.sinks.tables import write_batch
 from reelstat.streaming.progress import Progress, larger
 from reelstat.streaming.run import to_batches
 
-WATERMARK = "30 seconds"
+DELAY_MS = 30_000
 
 
-def closed_steps(events: DataFrame, slide_ms: int = SLIDE_MS) -> DataFrame:
-    """Distinct (mid, uid, step) of every slide step once it is closed; for append mode."""
-    plays = events.where((F.col("event") == "play") & F.col("mid").isNotNull())
-    step = F.window("ts", f"{slide_ms} milliseconds")
-    unique = plays.groupBy(step, "mid", "uid").agg(F.count("*").alias("plays"))
-    return unique.select(
-        "mid", "uid", F.floor(F.unix_millis("window.start") / slide_ms).alias("step")
-    )
+def closed_until(newest: int | None, delay_ms: int = DELAY_MS, slide_ms: int = SLIDE_MS) -> int | None:
+    """End of the last window that is closed once ``newest`` has been seen."""
+    return None if newest is None else (newest - delay_ms) // slide_ms * slide_ms
 
 
 def newly_closed(
     steps: DataFrame,
     done: int | None,
-    newest: int,
+    closed: int,
     size_ms: int = SIZE_MS,
     slide_ms: int = SLIDE_MS,
     n: int = 10,
 ) -> DataFrame:
-    """Rankings of the windows that end after step ``done`` and not after step ``newest``.
-
-    ``steps`` carries the ``hour`` of each step, by which the stored table is pruned.
-    """
-    wanted = F.col("windowEnd") <= (newest + 1) * slide_ms
+    """Rankings of the windows that end after ``done`` and not after ``closed``."""
+    wanted = F.col("windowEnd") <= closed
     if done is not None:
-        first = done + 1 - size_ms // slide_ms
-        reach = hour_start(F.lit(first * slide_ms))
-        steps = steps.where((F.col("hour") >= reach) & (F.col("step") >= first))
-        wanted &= F.col("windowEnd") > (done + 1) * slide_ms
-    viewers = step_viewers(steps.select("mid", "uid", "step"), size_ms, slide_ms)
+        wanted &= F.col("windowEnd") > done
+    viewers = step_viewers(steps.select("mid", "uid", "step").distinct(), size_ms, slide_ms)
     return rank_windows(viewers.where(wanted), size_ms, n)
 
 
@@ -60,28 +48,40 @@ def start_hot_movies(
     size_ms: int = SIZE_MS,
     slide_ms: int = SLIDE_MS,
     n: int = 10,
+    delay_ms: int = DELAY_MS,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Write the ranking of every window when a step at or after its end has closed.
+    """Write the ranking of every window of (uid, mid, event, timestamp) rows once it is closed.
 
-    ``steps_path`` keeps the closed steps by hour; hours older than a window may be dropped.
+    A play counts in those of its windows that are still open when it comes. The steps that open windows need lie in one
+    of two folders of ``steps_path``. When windows close, what later ones need is carried to the other folder,
+    which replaces what it held, so storage stays within the plays of one window.
     """
     spark = events.sparkSession
-    ranked = Progress(spark, state_path)
+    seen, rounds = Progress(spark, f"{state_path}/newest"), Progress(spark, f"{state_path}/rounds")
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            done = ranked.before(batch_id)
-            newest = larger(done, batch.agg(F.max("step")).first()[0])
-            hourly = batch.withColumn("hour", hour_start(F.col("step") * slide_ms))
-            write_batch(hourly, batch_id, steps_path, ("hour",), ("step", "mid", "uid"))
-            if newest is not None and newest != done:
-                stored = spark.read.parquet(steps_path)
-                found = newly_closed(stored, done, newest, size_ms, slide_ms, n)
-                write_batch(found, batch_id, path)
-            ranked.after(batch_id, newest)
+            before, turn = seen.before(batch_id), rounds.before(batch_id) or 0
+            plays = batch.where((F.col("event") == "play") & F.col("mid").isNotNull())
+            newest = larger(before, plays.agg(F.max("timestamp")).first()[0])
+            done, closed = closed_until(before, delay_ms, slide_ms), closed_until(newest, delay_ms, slide_ms)
+            held = f"{steps_path}/turn={turn % 2}"
+            write_batch(watch_steps(plays, slide_ms), batch_id, held)
+            if closed is not None and closed != done:
+                stored = spark.read.schema("mid long, uid long, step long").parquet(held)
+                write_batch(newly_closed(stored, done, closed, size_ms, slide_ms, n), batch_id, path)
+                # The next window to close starts one slide later.
+                kept = stored.where((F.col("step") + 1) * slide_ms > closed + slide_ms - size_ms).distinct()
+                other = kept.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                other.option("partitionOverwriteMode", "static").partitionBy("batch_id").parquet(
+                    f"{steps_path}/turn={(turn + 1) % 2}"
+                )
+                turn += 1
+            seen.after(batch_id, newest)
+            rounds.after(batch_id, turn)
         finally:
             batch.unpersist()
 
-    return to_batches(closed_steps(events, slide_ms), write, checkpoint, interval=interval)
+    return to_batches(events, write, checkpoint, interval=interval)

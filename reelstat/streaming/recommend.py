@@ -20,7 +20,7 @@ Reader = Callable[[], DataFrame]
 def start_recommendations(
     events: DataFrame,
     ratings: Reader,
-    pairs: Reader,
+    vectors: Reader,
     movies: Reader,
     path: str,
     checkpoint: str,
@@ -36,7 +36,7 @@ def start_recommendations(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         day = as_of or dt.date.today()
-        found = realtime_recommend(batch, ratings(), pairs(), movies(), day, **options)
+        found = realtime_recommend(batch, ratings(), vectors(), movies(), day, **options)
         write_batch(found, batch_id, path)
 
     return to_batches(events, write, checkpoint, interval=interval)

@@ -4,17 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-# Keeps large state on local disk with changes in the checkpoint instead of on the heap.
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-}
+# Keeps large state on local disk, with its changes in the checkpoint, instead of on the heap.
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_CHANGES = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+
+
+def use_state_store(spark: SparkSession) -> None:
+    """Choose the state store of queries started from now on."""
+    spark.conf.set(_PROVIDER, _STORE)
+    spark.conf.set(_CHANGES, "true")
 
 
 def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWriter:
@@ -28,6 +31,7 @@ def to_table(
     frame: DataFrame, path: str, checkpoint: str, interval: str | None = None
 ) -> StreamingQuery:
     """Append final rows to a parquet table, exactly once."""
+    use_state_store(frame.sparkSession)
     writer = frame.writeStream.format("parquet").outputMode("append")
     writer = writer.option("path", path).option("checkpointLocation", checkpoint)
     return _triggered(writer, interval).start()
@@ -41,6 +45,7 @@ def to_batches(
     interval: str | None = None,
 ) -> StreamingQuery:
     """Hand every micro-batch to ``write``, which must be idempotent on the batch id."""
+    use_state_store(frame.sparkSession)
     writer = frame.writeStream.foreachBatch(write).outputMode(mode)
     return _triggered(writer.option("checkpointLocation", checkpoint), interval).start()
 
@@ -49,5 +54,6 @@ def to_console(
     frame: DataFrame, checkpoint: str, mode: str = "update", interval: str | None = None
 ) -> StreamingQuery:
     """Print every micro-batch."""
+    use_state_store(frame.sparkSession)
     writer = frame.writeStream.format("console").outputMode(mode).option("truncate", "false")
     return _triggered(writer.option("checkpointLocation", checkpoint), interval).start()

@@ -16,8 +16,8 @@ WATERMARK = "2 minutes"
 
 def _labels(frame: DataFrame) -> DataFrame:
     return frame.select(
-        times.hour_label(F.col("window.start")).alias("startTime"),
-        times.hour_label(F.col("window.end")).alias("endTime"),
+        times.hour_label(F.unix_millis("window.start")).alias("startTime"),
+        times.hour_label(F.unix_millis("window.end")).alias("endTime"),
         "count",
     )
 

@@ -139,8 +139,3 @@ def test_period_filter_reaches_the_scan(spark, table, tmp_path):
 def test_dates():
     assert times.week_of("2001-07-31") == (dt.date(2001, 7, 30), dt.date(2001, 8, 5))
     assert times.epoch_ms("1970-01-02") == 86_400_000
-
-
-def test_text_millis(spark):
-    frame = spark.createDataFrame([("1970-01-01 00:00:01",), ("junk",)], "t string")
-    assert rows(frame.select(times.text_millis(F.col("t")))) == [(1000,), (None,)]

@@ -156,12 +156,38 @@ def recommended(events, history, pairs, on_shelf, n=30, recent=10):
     return out
 
 
+def directions(pick, movies):
+    """Random vectors (mid, vector) and the rounded cosines of all pairs of them that are not 0."""
+    vectors = [(m, [pick.choice((0.0, pick.uniform(-0.4, 1))) for _ in range(5)]) for m in movies]
+    length = {m: math.sqrt(sum(x * x for x in v)) for m, v in vectors}
+    pairs = {
+        (a, b): round(sum(x * y for x, y in zip(v, w)) / length[a] / length[b], similarity.DECIMALS)
+        for a, v in vectors for b, w in vectors if a != b and length[a] and length[b]
+    }
+    return vectors, {k: s for k, s in pairs.items() if s}
+
+
+def test_a_user_of_very_many_ratings_finds_the_deep_places(table):
+    pick = random.Random(2)
+    movies = range(1, 1400)
+    vectors = [(m, [1.0, m / 1400]) for m in movies]
+    history = [(1, m, float(pick.randrange(2, 101)), f"2020-01-{1 + m % 28:02d}") for m in range(1, 1350)]
+    frame = recommend.realtime_recommend(
+        table([(1, 5), (2, 5)], "uid long, mid long"),
+        table(history + [(2, 3, 50.0, "2020-01-01"), (2, 4, 50.0, "2020-01-02")], "uid long, mid long, rating double, date string"),
+        table(vectors, "mid long, vector array<double>"),
+        info(table, *movies),
+        AS_OF,
+    )
+    found = rows(frame, "uid", "mid")
+    assert {m for u, m in found if u == 1} == set(range(1350, 1380))
+    assert {m for u, m in found if u == 2} == {1, 2, *range(6, 34)}
+
+
 def test_recommendations_follow_the_specification(table):
     pick = random.Random(11)
     movies = range(1, 120)
-    pairs = {
-        (a, b): round(pick.uniform(-0.3, 1), 3) for a in movies for b in movies if a != b and pick.random() < 0.8
-    }
+    vectors, pairs = directions(pick, movies)
     # User 0 holds a third of all ratings; movie 5 gets a third of all events.
     history = [
         (0 if pick.random() < 0.33 else pick.randrange(1, 9), pick.choice(movies), float(pick.randrange(2, 101)), f"2020-01-{pick.randrange(1, 29):02d}")
@@ -173,7 +199,7 @@ def test_recommendations_follow_the_specification(table):
     frame = recommend.realtime_recommend(
         table(events, "uid long, mid long"),
         table(history, "uid long, mid long, rating double, date string"),
-        table([(a, b, s) for (a, b), s in pairs.items()], schemas.SIMILARITY),
+        table(vectors, "mid long, vector array<double>"),
         info(table, *movies, off=off),
         AS_OF,
     )
@@ -184,12 +210,19 @@ def test_recommendations_follow_the_specification(table):
 
 
 def test_recommendations_need_history_and_repeat_with_the_event(table):
-    pairs = table([(1, 2, 0.5), (1, 3, 0.4), (2, 8, 0.6)], schemas.SIMILARITY)
+    # Cosines: 1 and 2 0.5, 1 and 3 0.4, 2 and 8 0.6.
+    vectors = table(
+        [
+            (1, [1.0, 0.0, 0.0, 0.0, 0.0]), (2, [0.5, 0.6, 0.39**0.5, 0.0, 0.0]), (3, [0.4, 0.0, 0.0, 0.84**0.5, 0.0]),
+            (8, [0.0, 1.0, 0.0, 0.0, 0.0]), (9, [0.0, 0.0, 0.0, 0.0, 1.0]),
+        ],
+        "mid long, vector array<double>",
+    )
     history = [(10, 9, 80.0, "2020-01-01")] + [(20, m, 90.0, f"2020-01-{m:02d}") for m in (8, 9)]
     frame = recommend.realtime_recommend(
         table([(10, 1), (20, 1), (20, 1), (30, 1), (20, 77)], "uid long, mid long"),
         table(history, "uid long, mid long, rating double, date string"),
-        pairs,
+        vectors,
         info(table, 1, 2, 3, off=(3,)),
         AS_OF,
     )

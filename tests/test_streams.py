@@ -131,18 +131,31 @@ def test_hot_movies_equal_the_batch_ranking(spark, feed, tmp_path):
         )
     feed.add((1, "ip", 1, "play", ms("18:00:00")))
     feed.add((1, "ip", 1, "play", ms("18:10:00")), (2, "ip", 1, "play", ms("12:00:00")))
-    events = streams.event_time(lines.parse_plays(feed.lines()), hot_movies.WATERMARK)
     paths = [str(tmp_path / name) for name in ("ranked", "steps", "state", "check")]
-    finish(hot_movies.start_hot_movies(events, *paths, n=3))
-    # The late play of 12:00 is dropped; the step of 18:00 is the last one that closed.
+    finish(hot_movies.start_hot_movies(lines.parse_plays(feed.lines()), *paths, n=3))
+    # The late play of 12:00 comes after its windows; the newest play of 18:10 closes what ends half a minute before.
     in_time = lines.parse_plays(feed.stored()).where(f"not (uid = 2 and timestamp = {ms('12:00:00')} and mid = 1)")
-    expected = batch_hot.hot_movies_window(in_time, n=3).where(f"windowEnd <= {ms('18:05:00')}")
+    expected = batch_hot.hot_movies_window(in_time, n=3).where(f"windowEnd <= {ms('18:09:30')}")
     columns = ("windowStart", "windowEnd", "mid", "count", "rank")
     found = spark.read.parquet(paths[0])
     assert rows(found, *columns) == rows(expected, *columns)
     assert found.select("batch_id").distinct().count() > 2
 
 
+def test_all_windows_of_a_play_come_out_over_a_gap_of_hours(spark, feed, tmp_path):
+    feed.add((1, "ip", 7, "play", ms("10:02:00")))
+    feed.add((2, "ip", 8, "play", ms("15:00:00")))
+    feed.add((2, "ip", 8, "play", ms("15:00:10")))
+    paths = [str(tmp_path / name) for name in ("ranked", "steps", "state", "check")]
+    finish(hot_movies.start_hot_movies(lines.parse_plays(feed.lines()), *paths))
+    found = spark.read.parquet(paths[0]).where("mid = 7")
+    ends = [(ms("10:05:00") + k * hot_movies.SLIDE_MS,) for k in range(12)]
+    assert rows(found, "windowEnd") == ends
+    # What is kept for open windows does not grow with the stream.
+    kept = spark.read.parquet(f"{paths[1]}/turn=0")
+    assert rows(kept.select("mid").distinct()) == [(8,)]
+
+
 def test_login_stream_equals_the_batch(spark, feed, tmp_path):
     feed.add((1, "ip", "fail", 2000), (1, "ip", "fail", 1000), (2, "ip", "fail", 1500))
     feed.add((1, "ip", "fail", 2500), (2, "ip", "success", 2600), (2, "ip", "fail", 2700), (3, "ip", "fail", 2800))
@@ -167,7 +180,11 @@ def test_recommendation_stream(spark, feed, table, tmp_path):
     history = table(
         [(20, m, 90.0, f"2020-01-{m:02d}") for m in (8, 9)], "uid long, mid long, rating double, date string"
     )
-    pairs = table([(1, 3, 0.4), (3, 8, 0.6), (2, 3, 0.1)], schemas.SIMILARITY)
+    # Cosines: 1 and 3 0.4, 3 and 8 0.6, 2 and 3 0.1.
+    vectors = table(
+        [(1, [1.0, 0.0, 0.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, [0.4, 0.1, 0.6, 0.47**0.5]), (8, [0.0, 0.0, 1.0, 0.0])],
+        "mid long, vector array<double>",
+    )
     movies = table(
         [(3, "m", "i", 1.0, "c", 0)],
         "mid long, movie_name string, img_urls string, rating_num double, categories string, off_shelf int",
@@ -176,7 +193,7 @@ def test_recommendation_stream(spark, feed, table, tmp_path):
         recommend.start_recommendations(
             lines.parse_ratings(feed.lines()),
             lambda: history,
-            lambda: pairs,
+            lambda: vectors,
             lambda: movies,
             str(tmp_path / "o"),
             str(tmp_path / "c"),
