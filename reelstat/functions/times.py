@@ -46,6 +46,21 @@ def week_of(as_of: dt.date | str) -> tuple[dt.date, dt.date]:
     return monday, monday + dt.timedelta(days=6)
 
 
+def period_bounds(as_of: dt.date | str, period: str) -> tuple[dt.datetime, dt.datetime]:
+    """First moment of the month or week of a day, and the moment before which it ends.
+
+    A week ends on Sunday at 23:59:59.
+    """
+    day = as_date(as_of)
+    if period == "month":
+        following = (day.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+        return dt.datetime.combine(day.replace(day=1), dt.time()), dt.datetime.combine(following, dt.time())
+    if period == "week":
+        monday, sunday = week_of(day)
+        return dt.datetime.combine(monday, dt.time()), dt.datetime.combine(sunday, dt.time(23, 59, 59))
+    raise ValueError(f"unknown period: {period!r}")
+
+
 def hour_label(millis: Column) -> Column:
     """``yyyy-MM-dd-HH`` label in UTC of an epoch-millisecond value, whatever the session's time zone."""
     hours = F.floor(millis / 3_600_000)

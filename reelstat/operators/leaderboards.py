@@ -81,18 +81,21 @@ def good_ranking(movies: DataFrame, as_of: dt.date | str, n: int = 10) -> DataFr
     return _dated(ranking.top_n(rated, order, n), as_of, F.lit("good_ranking").alias("category"))
 
 
-def in_period(date: Column, as_of: dt.date | str, period: str) -> Column:
-    """Whether a date string lies in the month or the Monday-to-Sunday week of ``as_of``.
+def in_period(date: Column, as_of: dt.date | str, period: str, kind: str = "string") -> Column:
+    """Whether a date lies in the month or the Monday-to-Sunday week of ``as_of``.
 
-    Plain string ranges, so that the filter reaches the scan. ``yyyy-MM-dd`` and
-    ``yyyy-MM-dd HH:mm:ss`` values both sort correctly.
+    ``kind`` is the type of the column: ``string``, ``date`` or a timestamp. All become plain ranges of literals, so that
+    the filter reaches the scan. ``yyyy-MM-dd`` and ``yyyy-MM-dd HH:mm:ss`` strings both sort correctly.
     """
-    if period == "month":
-        return date.startswith(times.as_text(as_of)[:7])
-    if period == "week":
-        monday, sunday = times.week_of(as_of)
-        return (date >= monday.isoformat()) & (date < f"{sunday.isoformat()} 23:59:59")
-    raise ValueError(f"unknown period: {period!r}")
+    start, end = times.period_bounds(as_of, period)
+    if kind == "string":
+        if period == "month":
+            return date.startswith(f"{start:%Y-%m}")
+        return (date >= f"{start:%Y-%m-%d}") & (date < f"{end:%Y-%m-%d %H:%M:%S}")
+    if kind == "date":
+        last = F.lit((end - dt.timedelta(seconds=1)).date())
+        return (date >= F.lit(start.date())) & (date <= last)
+    return (date >= F.lit(f"{start}").cast(kind)) & (date < F.lit(f"{end}").cast(kind))
 
 
 def top_movies_of_period(
@@ -104,7 +107,7 @@ def top_movies_of_period(
     take part.
     """
     counted = (
-        ratings.where(in_period(F.col("date"), as_of, period))
+        ratings.where(in_period(F.col("date"), as_of, period, dict(ratings.dtypes)["date"]))
         .groupBy("mid")
         .agg(F.count("*").alias("rating_count"))
     )

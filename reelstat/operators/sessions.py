@@ -71,16 +71,15 @@ def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
     )
 
 
-def session_filter(
-    sessions: DataFrame,
+def matching_users(
+    users: DataFrame,
     age: tuple[int, int] | None = None,
     cities: Sequence[str] | None = None,
     professions: Sequence[str] | None = None,
     sex: int | None = None,
-    categories: Sequence[int] | None = None,
 ) -> DataFrame:
-    """Sessions that meet every given condition; an omitted one lets everything through."""
-    kept = sessions
+    """Rows with a user profile that meet every given condition; an omitted one lets everything through."""
+    kept = users
     if age is not None:
         kept = kept.where(F.col("age").between(*age))
     if cities is not None:
@@ -89,12 +88,43 @@ def session_filter(
         kept = kept.where(F.col("professional").isin(list(professions)))
     if sex is not None:
         kept = kept.where(F.col("sex") == sex)
+    return kept
+
+
+def session_filter(
+    sessions: DataFrame,
+    age: tuple[int, int] | None = None,
+    cities: Sequence[str] | None = None,
+    professions: Sequence[str] | None = None,
+    sex: int | None = None,
+    categories: Sequence[int] | None = None,
+) -> DataFrame:
+    """Sessions that meet every given condition; an omitted one lets everything through."""
+    kept = matching_users(sessions, age, cities, professions, sex)
     if categories is not None:
         wanted = F.array(*[F.lit(c).cast("long") for c in categories])
         kept = kept.where(F.arrays_overlap("categories", wanted))
     return kept
 
 
+def filtered_sessions(
+    actions: DataFrame,
+    users: DataFrame,
+    age: tuple[int, int] | None = None,
+    cities: Sequence[str] | None = None,
+    professions: Sequence[str] | None = None,
+    sex: int | None = None,
+    categories: Sequence[int] | None = None,
+) -> DataFrame:
+    """:func:`session_filter` of :func:`session_aggregate`, with the conditions on users applied first.
+
+    A session belongs to one user, so the actions of all other users are dropped before sessions are shuffled.
+    """
+    chosen = matching_users(users, age, cities, professions, sex)
+    own = actions.join(chosen.select("userId"), "userId", "left_semi")
+    return session_filter(session_aggregate(own, chosen), categories=categories)
+
+
 def actions_of_sessions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Actions of the given sessions."""
     return actions.join(sessions.select("sessionId"), "sessionId", "left_semi")

@@ -59,11 +59,8 @@ class Domain:
 
     @property
     def movie_ratings(self) -> DataFrame:
-        """Ratings without the user, for jobs that count per movie."""
-        return self.table("lineitem").select(
-            F.col("l_partkey").alias("mid"),
-            F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
-        )
+        """Ratings without the user, for jobs that count per movie; the date keeps its type, so filters prune."""
+        return self.table("lineitem").select(F.col("l_partkey").alias("mid"), F.col("l_shipdate").alias("date"))
 
     def _activity(self, kept: Column) -> DataFrame:
         return self.table("lineitem").where(kept).select(F.col("l_partkey").alias("mid"))
@@ -141,8 +138,12 @@ class Domain:
 
     @property
     def log_events(self) -> DataFrame:
+        return self._logged()
+
+    def _logged(self, *more: str) -> DataFrame:
         kind = F.col("event_type")
         return self._events().select(
+            *more,
             F.col("user_id").alias("uid"),
             F.concat(F.lit("10.0.0."), (F.col("user_id") % 256).cast("string")).alias("ip"),
             F.col("k").alias("mid"),
@@ -156,6 +157,24 @@ class Domain:
         fields = [F.col(c).cast("string") for c in ("uid", "ip", "mid", "event", "timestamp")]
         return self.log_events.select(F.concat_ws("|", *fields).alias("value"))
 
+    def arriving_log_events(self, parts: int) -> DataFrame:
+        """Log events with the number of the arrival that brings them: equal stretches of time, and every 97th last."""
+        logged = self._logged("event_id")
+        ends = logged.agg(F.min("timestamp").alias("_from"), F.max("timestamp").alias("_to"))
+        part = F.floor((F.col("timestamp") - F.col("_from")) * parts / (F.col("_to") - F.col("_from") + 1))
+        arrival = F.when(F.col("event_id") % 97 == 0, F.lit(parts - 1)).otherwise(part).cast("int")
+        return logged.crossJoin(F.broadcast(ends)).withColumn("arrival", arrival).drop("event_id", "_from", "_to")
+
+    @property
+    def raw_log_lines(self) -> DataFrame:
+        """The log lines as they might arrive: every seventh lacks a field, every eleventh has a broken number."""
+        fields = [F.col(c).cast("string") for c in ("uid", "ip", "mid", "event", "timestamp")]
+        event = F.col("event_id")
+        broken = F.when(event % 7 == 0, F.concat_ws("|", *fields[:4])).when(
+            event % 11 == 0, F.concat_ws("|", *fields[:4], F.lit("soon"))
+        )
+        return self._logged("event_id").select(F.coalesce(broken, F.concat_ws("|", *fields)).alias("value"))
+
     @property
     def logins(self) -> DataFrame:
         outcome = F.when(F.col("event_type") == "error", "fail").otherwise("success")

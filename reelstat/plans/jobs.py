@@ -80,8 +80,9 @@ def run_sessions(
 ) -> None:
     """Filter sessions; append their length statistics, top categories, top sessions, details."""
     chosen = _chosen(actions, params)
-    matching = sessions.session_filter(
-        sessions.session_aggregate(chosen, users),
+    matching = sessions.filtered_sessions(
+        chosen,
+        users,
         params.age,
         params.cities,
         params.professions,

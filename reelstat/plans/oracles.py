@@ -343,6 +343,28 @@ HOT_CLOSED = f"""
 {HOT_WINDOW} AND start + 3600000 <= (SELECT max(timestamp) FROM log WHERE event = 'play') - 30000"""
 
 
+MIXED = """
+line AS (
+  SELECT *, event_id % 7 = 0 AS short, event_id % 7 <> 0 AND event_id % 11 = 0 AS broken
+  FROM (SELECT user_id AS uid, '10.0.0.' || (user_id % 256) AS ip, k AS mid,
+          CASE event_type WHEN 'purchase' THEN 'play' ELSE event_type END AS event,
+          epoch_us(ts) // 1000 AS timestamp, event_id FROM event))"""
+
+# Rows arrive in four stretches of time, every 97th in the last; late ones come after their hour has closed.
+ARRIVED = EVENT + """,
+part AS (
+  SELECT user_id AS uid, '10.0.0.' || (user_id % 256) AS ip, k AS mid,
+         CASE event_type WHEN 'purchase' THEN 'play' ELSE event_type END AS event,
+         epoch_us(ts) // 1000 AS timestamp, event_id FROM event),
+numbered AS (
+  SELECT *, CASE WHEN event_id % 97 = 0 THEN 3 ELSE CAST(floor((timestamp - lo) * 4 / (hi - lo + 1)) AS INTEGER) END AS arrival
+  FROM part, (SELECT min(timestamp) AS lo, max(timestamp) AS hi FROM part)),
+newest AS (SELECT arrival, max(timestamp) AS t FROM numbered GROUP BY 1),
+judged AS (
+  SELECT n.*, coalesce((timestamp // 3600000 + 1) * 3600000 <= (SELECT max(t) FROM newest w WHERE w.arrival < n.arrival) - 120000, false) AS late
+  FROM numbered n)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "movie_activity_counts": f"""
@@ -436,6 +458,23 @@ best AS (
 SELECT '{AS_OF}' AS date, cityId, n_name AS "cityName", movieId, p_name AS "movieName", count, rank
 FROM best JOIN nation ON cityId = n_nationkey JOIN part ON movieId = p_partkey WHERE rank <= 10""",
         "parsed_log_events": f"WITH {LOG} SELECT uid, ip, mid, event, timestamp FROM log",
+        "mixed_log_events": f"""
+WITH {EVENT}, {MIXED} SELECT uid, ip, mid, event, timestamp FROM line WHERE NOT short AND NOT broken""",
+        "rejected_log_lines": f"""
+WITH {EVENT}, {MIXED} SELECT concat_ws('|', uid, ip, mid, event, CASE WHEN broken THEN 'soon' END) AS value
+FROM line WHERE short OR broken""",
+        "actions_in_range": f"""
+WITH {ACTION} SELECT event_id, date * 1000 AS date, userId, sessionId, pageId FROM action
+WHERE date * 1000 BETWEEN epoch_ms(TIMESTAMP '2024-01-05') AND epoch_ms(TIMESTAMP '2024-01-12')""",
+        "uv_approx": f"""
+WITH {LOG}, total AS (SELECT DISTINCT timestamp // 3600000 AS hour FROM log)
+SELECT "startTime", "endTime", true AS close FROM (SELECT * FROM ({HOUR_COUNT.replace(', count', '')} FROM total))""",
+        "uv_on_time_stream": f"""
+WITH {ARRIVED},
+visit AS (SELECT DISTINCT timestamp // 3600000 AS hour, uid, ip FROM judged WHERE NOT late),
+total AS (SELECT hour, count(*) AS count FROM visit GROUP BY 1)
+{HOUR_COUNT} FROM total""",
+        "uv_late_stream": f"WITH {ARRIVED} SELECT uid, ip, mid, event, timestamp FROM judged WHERE late",
         "uv_exact": UV_EXACT,
         "uv_bitmap": UV_BITMAP,
         "late_rows": f"""

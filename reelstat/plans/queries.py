@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from reelstat import schemas
 from reelstat.operators import (
     area,
     content,
@@ -171,10 +172,23 @@ CATEGORIES = (1, 3, 5, 7, 9)
 
 
 def session_filter(d: Domain) -> DataFrame:
-    kept = sessions.session_filter(_sessions(d), AGE, CITIES, PROFESSIONS, SEX, CATEGORIES)
+    kept = sessions.filtered_sessions(d.actions, d.users, AGE, CITIES, PROFESSIONS, SEX, CATEGORIES)
     return kept.drop("categories")
 
 
+# Dates of the range query.
+RANGE = ("2024-01-05", "2024-01-12")
+
+
+def actions_in_range(d: Domain) -> DataFrame:
+    """Actions of a date range, from a stored action table in which the range prunes row groups."""
+    path = scratch_path(d.spark, "actions")
+    timed = d.actions.withColumn("date", F.col("date") * 1000)
+    timed.sortWithinPartitions("date").write.parquet(path)
+    stored = d.spark.read.parquet(path)
+    return sessions.actions_between(stored, *RANGE).select("event_id", "date", "userId", "sessionId", "pageId")
+
+
 def session_length_stats(d: Domain) -> DataFrame:
     stats = sessions.session_length_stats(_sessions(d), AS_OF)
     return stats.select("date", "key", shown("value"))
@@ -209,6 +223,15 @@ def parsed_log_events(d: Domain) -> DataFrame:
     return lines.parse_log_events(d.log_lines)
 
 
+def mixed_log_events(d: Domain) -> DataFrame:
+    """The good ones of lines of which some lack a field or have a broken number."""
+    return lines.parse_log_events(d.raw_log_lines)
+
+
+def rejected_log_lines(d: Domain) -> DataFrame:
+    return lines.rejected_lines(d.raw_log_lines, schemas.LOG_LINE)
+
+
 def uv_exact(d: Domain) -> DataFrame:
     return visitors.uv_count(d.log_events, "exact")
 
@@ -218,7 +241,12 @@ def uv_bitmap(d: Domain) -> DataFrame:
 
 
 def uv_approx(d: Domain) -> DataFrame:
-    return visitors.uv_count(d.log_events, "approx")
+    """Whether the estimate of each hour lies within one visitor or five hundredths of the exact count."""
+    hour = ["startTime", "endTime"]
+    estimate = visitors.uv_count(d.log_events, "approx").withColumnRenamed("count", "estimate")
+    both = visitors.uv_count(d.log_events, "exact").join(estimate, hour)
+    off = F.abs(F.col("estimate") - F.col("count"))
+    return both.select(*hour, (off <= F.greatest(F.lit(1.0), 0.05 * F.col("count"))).alias("close"))
 
 
 def late_rows(d: Domain) -> DataFrame:
@@ -260,6 +288,7 @@ _BATCH = (
     realtime_recommend,
     session_aggregate,
     session_filter,
+    actions_in_range,
     session_length_stats,
     top10_categories,
     top_sessions_of_category,
@@ -268,6 +297,8 @@ _BATCH = (
     page_convert_rate,
     top_movies_of_area,
     parsed_log_events,
+    mixed_log_events,
+    rejected_log_lines,
     uv_exact,
     uv_bitmap,
     uv_approx,
@@ -351,7 +382,37 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("batch_id").withColumn("score", F.round("score", 4))
 
 
-_STREAMS = (uv_stream, uv_stream_bitmap, hot_movies_stream, login_fail_stream, recommend_stream)
+# Arrivals of the late-row streams.
+ARRIVALS = 4
+
+
+def _split_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """On-time and late rows of log events that arrive in four quarters of time.
+
+    Every 97th row is held back until the last quarter, so that it comes late.
+    """
+    logged = Domain(spark, folder).arriving_log_events(ARRIVALS)
+    place = scratch_path(spark, "uv-split")
+    for number in range(ARRIVALS):
+        part = logged.where(F.col("arrival") == number).drop("arrival")
+        part.write.mode("append").parquet(f"{place}/arrived")
+        events = spark.readStream.schema(part.schema).parquet(f"{place}/arrived")
+        paths = [f"{place}/{name}" for name in ("on-time", "late", "state", "checkpoint")]
+        stream_late.start_late_split(events, *paths).awaitTermination()
+    return spark.read.parquet(f"{place}/on-time"), spark.read.parquet(f"{place}/late")
+
+
+def uv_on_time_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact visitors of every hour from the rows that came in time."""
+    return stream_late.recount(_split_stream(spark, folder)[0].drop("batch_id"))
+
+
+def uv_late_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that came after their hour had closed."""
+    return _split_stream(spark, folder)[1].select("uid", "ip", "mid", "event", "timestamp")
+
+
+_STREAMS = (uv_on_time_stream, uv_late_stream, uv_stream, uv_stream_bitmap, hot_movies_stream, login_fail_stream, recommend_stream)
 
 
 def _bound(job: Callable[[Domain], DataFrame]) -> Query:
