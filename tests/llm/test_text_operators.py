@@ -159,7 +159,7 @@ def test_suffix_order_and_shared_prefixes():
     order = substrings.suffix_order(text)
     suffixes = [tuple(text[k:]) for k in range(len(text))]
     assert order.tolist() == sorted(range(len(text)), key=lambda k: suffixes[k])
-    for least in (1, 4, 30):
+    for least in (1, 4, 28, 30, 50, 60):
         same = substrings.shared_prefixes(text, order, least)
         wanted = [False] + [suffixes[a][:least] == suffixes[b][:least] for a, b in zip(order, order[1:])]
         assert same.tolist() == wanted
