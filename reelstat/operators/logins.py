@@ -22,20 +22,17 @@ def warning_columns(lock_minutes: int = LOCK_MINUTES) -> list[Column]:
     ]
 
 
-def login_fail_detect(
+def failure_pairs(
     logins: DataFrame,
     within_ms: int = WITHIN_MS,
-    lock_minutes: int = LOCK_MINUTES,
     tie: Sequence[str] = (),
     piece_ms: int = 600_000,
 ) -> DataFrame:
-    """A warning for every failure whose very next event of the same user fails in time.
-
-    Events of one millisecond follow ``tie`` and then their kind, a failure before a success.
+    """Every failure whose very next event of the same user fails in time: uid, timestamp and next_time.
 
-    The events of a user are cut into time pieces, so an account under attack spreads over
-    tasks. A piece also receives the first ``within_ms`` of the next one: a later event cannot
-    complete a match, so this one shuffle sees everything it needs.
+    Events of one millisecond follow ``tie`` and then their kind, a failure before a success. The events of a user are
+    cut into time pieces, so an account under attack spreads over tasks. A piece also receives the first
+    ``within_ms`` of the next one: a later event cannot complete a match, so this one shuffle sees everything it needs.
     """
     span = max(piece_ms, within_ms)
     piece = F.floor(F.col("timestamp") / span)
@@ -59,7 +56,18 @@ def login_fail_detect(
         & (F.col("next_type") == "fail")
         & (F.col("next_time") - F.col("timestamp") < within_ms)
     )
-    return matched.select(*warning_columns(lock_minutes))
+    return matched.select("uid", "timestamp", "next_time")
+
+
+def login_fail_detect(
+    logins: DataFrame,
+    within_ms: int = WITHIN_MS,
+    lock_minutes: int = LOCK_MINUTES,
+    tie: Sequence[str] = (),
+    piece_ms: int = 600_000,
+) -> DataFrame:
+    """A warning for every pair of :func:`failure_pairs`."""
+    return failure_pairs(logins, within_ms, tie, piece_ms).select(*warning_columns(lock_minutes))
 
 
 def current_locks(warnings: DataFrame) -> DataFrame:

@@ -487,6 +487,8 @@ WHERE (timestamp // 3600000 + 1) * 3600000 <= (SELECT max(timestamp) FROM log) -
         "login_fail_stream": f"WITH {WARN} SELECT * FROM warning",
         "recommend_stream": RECOMMEND,
         "login_fail_detect": f"WITH {WARN} SELECT * FROM warning",
+        "lock_table_stream": f"""
+WITH {WARN} SELECT uid, max(no_login_time) AS no_login_time FROM warning GROUP BY 1""",
         "current_locks": f"""
 WITH {WARN} SELECT uid, max(no_login_time) AS no_login_time FROM warning GROUP BY 1""",
     }

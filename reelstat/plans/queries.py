@@ -352,9 +352,30 @@ def hot_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 def login_fail_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Warnings up to the newest event."""
-    events = streams.event_time(StreamedDomain(spark, folder).logins, stream_logins.WATERMARK)
-    warnings = stream_logins.login_fail_stream(events, LOGIN_GAP_MS)
-    return _streamed(spark, "logins", lambda table, state: run.to_table(warnings, table, state))
+    events = StreamedDomain(spark, folder).logins
+    places = [scratch_path(spark, f"logins-{name}") for name in ("late", "events", "state")]
+    warnings = _streamed(
+        spark,
+        "logins",
+        lambda table, state: stream_logins.start_login_fails(
+            events, table, *places, state, LOGIN_GAP_MS, tie=("event_id",)
+        ),
+    )
+    return warnings.drop("batch_id")
+
+
+def lock_table_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The current lock of every user, kept by a stream of warnings that arrive in two files or more."""
+    arrived = scratch_path(spark, "warnings")
+    login_fail_detect(Domain(spark, folder)).repartition(2).write.parquet(arrived)
+    stored = spark.read.parquet(arrived)
+    reader = spark.readStream.schema(stored.schema).option("maxFilesPerTrigger", 1)
+    locks = _streamed(
+        spark,
+        "locks",
+        lambda table, state: stream_logins.start_lock_table(reader.parquet(arrived), table, state),
+    )
+    return locks.drop("part")
 
 
 def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -412,7 +433,7 @@ def uv_late_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _split_stream(spark, folder)[1].select("uid", "ip", "mid", "event", "timestamp")
 
 
-_STREAMS = (uv_on_time_stream, uv_late_stream, uv_stream, uv_stream_bitmap, hot_movies_stream, login_fail_stream, recommend_stream)
+_STREAMS = (uv_on_time_stream, uv_late_stream, uv_stream, uv_stream_bitmap, hot_movies_stream, login_fail_stream, lock_table_stream, recommend_stream)
 
 
 def _bound(job: Callable[[Domain], DataFrame]) -> Query:

@@ -160,18 +160,27 @@ def test_login_stream_equals_the_batch(spark, feed, tmp_path):
     feed.add((1, "ip", "fail", 2000), (1, "ip", "fail", 1000), (2, "ip", "fail", 1500))
     feed.add((1, "ip", "fail", 2500), (2, "ip", "success", 2600), (2, "ip", "fail", 2700), (3, "ip", "fail", 2800))
     feed.add((3, "ip", "fail", 4000), (1, "ip", "success", 4100), (2, "ip", "fail", 4600), (4, "ip", "success", 9000))
-    events = streams.event_time(lines.parse_logins(feed.lines()), logins.WATERMARK)
-    finish(run.to_table(logins.login_fail_stream(events), str(tmp_path / "o"), str(tmp_path / "c")))
-    found = spark.read.parquet(str(tmp_path / "o"))
-    expected = batch_logins.login_fail_detect(lines.parse_logins(feed.stored()))
-    assert rows(found) == rows(expected)
+    feed.add((3, "ip", "fail", 4100), (5, "ip", "fail", 9500))
+    # A success in the millisecond of a failure comes after it.
+    feed.add((6, "ip", "success", 9600), (6, "ip", "fail", 9600), (6, "ip", "fail", 9700))
+    paths = [str(tmp_path / name) for name in ("warnings", "late", "events", "state", "check")]
+    finish(logins.start_login_fails(lines.parse_logins(feed.lines()), *paths))
+    found = spark.read.parquet(paths[0]).drop("batch_id")
+    in_time = lines.parse_logins(feed.stored()).where("not (uid = 3 and timestamp = 4100)")
+    assert rows(found) == rows(batch_logins.login_fail_detect(in_time))
     assert rows(found, "uid", "time") == [(1, "1000"), (1, "2000"), (2, "2700"), (3, "2800")]
-    assert rows(batch_logins.current_locks(found), "uid") == [(1,), (2,), (3,)]
-
-
-def test_succession_ignores_events_before_the_last_one():
-    found, last = logins.failures_followed([(5, True), (6, True)], (6, True), 10)
-    assert found == [6] and last == (6, True)
+    assert rows(spark.read.parquet(paths[1]), "uid", "timestamp") == [(3, 4100)]
+    assert spark.read.parquet(f"{paths[2]}/turn=1").count() == 5
+
+
+def test_lock_table_keeps_the_latest_lock(spark, table, tmp_path):
+    path, schema = str(tmp_path / "locks"), "uid long, no_login_time long"
+    logins.merge_locks(table([(1, 10), (1, 30), (2, 20)], schema), path)
+    logins.merge_locks(table([(1, 25), (3, 40)], schema), path)
+    logins.merge_locks(table([(1, 25), (3, 40)], schema), path)
+    logins.merge_locks(table([], schema), path)
+    logins.merge_locks(table([(2, 50)], schema), path)
+    assert rows(spark.read.parquet(path), *schema.replace(" long", "").split(", ")) == [(1, 30), (2, 50), (3, 40)]
 
 
 def test_recommendation_stream(spark, feed, table, tmp_path):
