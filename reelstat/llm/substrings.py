@@ -1,14 +1,18 @@
 """Remove long byte strings that occur more than once in a corpus.
 
-Every 400-byte window of every text is judged against all others, in three steps.
+Every 400-byte window of every text is judged against all others, in four steps.
 
 1. Windows are dealt out by content: the least hash of the 32-byte strings in a window is its key, and neighbouring
    windows of the same key form one stretch. Equal windows have equal keys, and a window lies in one stretch only.
 2. Equal stretches collapse: where one occurs at two places, all its windows are repeated.
    A key with a single stretch needs no more work.
-3. Of the keys with several different stretches the bytes are gathered in buckets of bounded size. In each the suffixes
-   are sorted, and breadth-first backward extension on the Burrows-Wheeler transform finds the common prefixes of
-   neighbouring suffixes by increasing length. It stops below 400: what is not reached by then shares 400 bytes or more.
+3. Stretches of keys that hold several different ones are cut into parts of at most 32 windows, by the place of the key's
+   string in a window. All windows of a part share a core of 369 bytes: where no other part has the same core, none of its
+   windows is repeated, and where another part is the same as a whole, all are.
+4. What is left are parts at the borders of repeats, and stretches that hold their key's string more than once. Their
+   bytes are gathered in buckets of bounded size. In each the suffixes are sorted, and breadth-first backward extension
+   on the Burrows-Wheeler transform finds the common prefixes of neighbouring suffixes by increasing length. It stops
+   below 400: what is not reached by then shares 400 bytes or more.
 
 A passage copied into very many different texts makes some keys hot. The windows of such keys are dealt out anew with
 rare strings before frequent ones, by a mergeable count sketch: then a window that holds anything of its own
@@ -17,22 +21,23 @@ goes to a key of its own, and windows inside the passage collapse.
 
 from __future__ import annotations
 
-import functools
-import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.window import Window
 
-from reelstat.llm.common import mix, powers, prefix_hashes, sized_slices, span_hashes, stored, table, text_bytes
+from reelstat.llm.common import mix, prefix_hashes, shuffle_width, sized_slices, span_hashes, stored, table, text_bytes
 
 LENGTH = 400
 GRAM = 32
 # Bytes of stretches that one task compares, and beyond which a single key counts as hot.
-BUCKET_BYTES = 2 << 20
+BUCKET_BYTES = 1 << 20
 HOT_BYTES = 1 << 18
+# Windows of a part.
+PART = 32
 # Counters of the sketch, and how many of them travel in one row.
 COUNTERS, CHUNK = 1 << 20, 1 << 14
 # Bytes of text of which the windows are keyed at once.
@@ -139,60 +144,147 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of the listed stretches of each text, keyed by key, place of the key's string and core."""
+    for batch in sized_slices(batches, 2, rows=256):
+        rows, pieces, size = [], [], 0
+        texts = batch.column(2).cast(pa.binary())
+        for t1, t2, text, places in zip(*(c.to_pylist() for c in (batch.column(0), batch.column(1), texts, batch.column(3)))):
+            for p in places:
+                piece = text[p["start"] : p["start"] + p["n"] + LENGTH - 1]
+                rows.append((t1, t2, p["start"], p["n"], p["key"]))
+                pieces.append(piece)
+                size += len(piece)
+                if size > SLICE:
+                    yield _part_rows(rows, pieces)
+                    rows, pieces, size = [], [], 0
+        if rows:
+            yield _part_rows(rows, pieces)
+
+
+def _part_rows(rows: list[tuple], pieces: list[bytes]) -> pa.RecordBatch:
+    t1, t2, start, n, key = (np.array(c, np.int64) for c in zip(*rows))
+    data = np.frombuffer(b"".join(pieces), np.uint8)
+    begin = np.cumsum([0, *map(len, pieces)])[:-1]
+    prefix = prefix_hashes(data)
+    at = np.arange(len(data) - GRAM + 1)
+    h = span_hashes(prefix, at, at + GRAM)
+    grams = (n + LENGTH - GRAM).tolist()
+    anchor = np.array([a + int(np.argmin(h[a : a + g])) for a, g in zip(begin.tolist(), grams)], np.int64)
+    # How far before its key's string a window starts, in the first and last window of the stretch.
+    far, near = anchor - begin, anchor - (begin + n - 1)
+    low, count = near // PART, far // PART - near // PART + 1
+    row = np.repeat(np.arange(len(rows)), count)
+    number = low[row] + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+    most, least = np.minimum(number * PART + PART - 1, far[row]), np.maximum(number * PART, near[row])
+    first, windows = anchor[row] - most, most - least + 1
+    core = span_hashes(prefix, anchor[row] - number * PART, anchor[row] - number * PART - PART + 1 + LENGTH)
+    whole = span_hashes(prefix, first, first + windows + LENGTH - 1)
+    group = mix(mix(core + number.astype(np.uint64)) ^ key[row].view(np.uint64))
+    columns = [t1[row], t2[row], start[row] + first - begin[row], windows, group.view(np.int64), whole.view(np.int64)]
+    arrays = [pa.array(c) for c in columns] + [pa.array(np.zeros(len(row), bool))]
+    return pa.RecordBatch.from_arrays(arrays, schema=_STRETCH)
+
+
+# Symbols that fit one 64-bit number, nine bits each.
+PACK = 7
+# Borders with more suffixes than this up to the next border are extended symbol by symbol, others suffix by suffix.
+WIDE = 64
+
+
+def _packed(text: np.ndarray) -> np.ndarray:
+    """The PACK symbols from each place on as one number; there are zeros after the end."""
+    padded = np.concatenate([text.astype(np.uint64), np.zeros(PACK, np.uint64)])
+    key = np.zeros(len(text), np.uint64)
+    for k in range(PACK):
+        key = (key << np.uint64(9)) | padded[k : k + len(text)]
+    return key
+
+
 def suffix_order(text: np.ndarray) -> np.ndarray:
-    """Starts of all suffixes in order, by doubling the length that is compared. Symbols are below 512."""
+    """Starts of all suffixes in order, by doubling the length that is compared. Symbols are below 512.
+
+    The last symbol must occur nowhere else. Suffixes that already differ from all others are not sorted again.
+    """
     n = len(text)
-    padded = np.concatenate([text.astype(np.uint64), np.zeros(6, np.uint64)])
-    key = np.zeros(n, np.uint64)
-    for k in range(6):
-        key = (key << np.uint64(9)) | padded[k : k + n]
-    depth = 6
+    key = _packed(text)
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.ones(n, bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    depth = PACK
+    rank = np.empty(n, np.int64)  # the first place of the suffixes that share the length compared so far
     while True:
-        order = np.argsort(key, kind="stable")
-        ordered = key[order]
-        new = np.ones(n, np.int64)
-        new[1:] = ordered[1:] != ordered[:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
-        if rank[order[-1]] == n:
+        first = np.flatnonzero(new)
+        rank[order] = np.repeat(first, np.diff(np.append(first, n)))
+        open_ = np.flatnonzero(~(new & np.append(new[1:], True)))  # places that share their rank
+        if not len(open_):
             return order
-        follow = np.zeros(n, np.int64)
-        if depth < n:
-            follow[:-depth] = rank[depth:]
-        key = (rank.astype(np.uint64) << np.uint64(32)) | follow.astype(np.uint64)
+        own = order[open_]
+        follow = np.where(own + depth < n, rank[np.minimum(own + depth, n - 1)], -1) + 1
+        key = (rank[own].astype(np.uint64) << np.uint64(32)) | follow.astype(np.uint64)
+        by = np.argsort(key)
+        order[open_] = own[by]
+        key = key[by]
+        new[open_[1:]] |= key[1:] != key[:-1]
         depth *= 2
 
 
 def shared_prefixes(text: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
     """For each place in the suffix order: whether it shares at least ``least`` symbols with the place before.
 
-    Level by level, a border between two suffixes that share ``l`` symbols is extended backwards by every symbol:
-    the next occurrence of the symbol in the transform leads to a border of ``l + 1``, unless a smaller
-    one was found there before.
+    Prefixes of a few symbols are read off the packed symbols. From there on, level by level, a border between two
+    suffixes that share ``l`` symbols is extended backwards by every symbol: the next occurrence of the symbol in
+    the transform leads to a border of ``l + 1``, unless a smaller one was found there before. What follows the next
+    border that is known already needs no look: it is extended from there.
     """
     n = len(text)
-    transform = text[order - 1]  # the symbol before each suffix; the end mark comes before the first
-    ordered = text[order]
-    found = np.zeros(n, bool)
-    found[0] = True
-    found[1:] = ordered[1:] != ordered[:-1]
-    symbols = np.unique(text)
-    first = np.searchsorted(ordered, symbols)
-    places = {int(s): np.flatnonzero(transform == s) for s in symbols}
-    border = np.flatnonzero(found)
-    for _ in range(least - 1):
+    # Shared symbols of neighbours up to a depth of ``start``.
+    packed, start = _packed(text), min(4 * PACK, least)
+    shared = np.zeros(n, np.int64)
+    equal = np.ones(n, bool)
+    equal[0] = False
+    for at in range(0, 4 * PACK, PACK):
+        place = np.minimum(order + at, n - 1)
+        differ = packed[place][1:] ^ packed[place][:-1]
+        alike = np.zeros(n, np.int64)
+        high = np.frexp(differ.astype(np.float64))[1]  # bits, perhaps one too many after rounding up
+        high -= (differ >> np.uint64(1) < np.uint64(1) << np.maximum(high - 2, 0).astype(np.uint64)) & (high > 1)
+        alike[1:] = np.where(differ == 0, PACK, PACK - 1 - (np.maximum(high, 1) - 1) // 9)
+        shared += np.where(equal, alike, 0)
+        equal[1:] &= differ == 0
+    shared = np.minimum(shared, start)
+    found = shared < start
+    if start == least:
+        return ~found
+    # The transform: the symbol before each suffix, and the place of the suffix that starts with it.
+    transform = text[order - 1]
+    place_of = np.empty(n, np.int64)
+    place_of[order] = np.arange(n)
+    before = place_of[order - 1]
+    by_symbol = np.argsort(transform, kind="stable")
+    last = np.full(n, -1, np.int64)  # the last place before with the same symbol
+    same = transform[by_symbol[1:]] == transform[by_symbol[:-1]]
+    last[by_symbol[1:][same]] = by_symbol[:-1][same]
+    symbols, firsts = np.unique(transform[by_symbol], return_index=True)
+    places = np.split(by_symbol, firsts[1:])
+    border = np.flatnonzero(shared == start - 1)
+    for _ in range(least - start):
         if not len(border):
             break
-        fresh = []
-        for s, base in zip(symbols.tolist(), first.tolist()):
-            own = places[s]
-            at = np.searchsorted(own, border)
-            to = base + at[at < len(own)]
-            to = to[~found[to]]
-            if len(to):
-                found[to] = True
-                fresh.append(to)
-        border = np.unique(np.concatenate(fresh)) if fresh else np.zeros(0, np.int64)
+        known = np.flatnonzero(found)
+        width = np.append(known, n)[np.searchsorted(known, border, side="right")] - border
+        narrow = width <= WIDE
+        near, size = border[narrow], width[narrow]
+        at = np.repeat(near, size)
+        look = at + np.arange(len(at)) - np.repeat(np.cumsum(size) - size, size)
+        fresh = [before[look[last[look] < at]]]
+        for own in places if not narrow.all() else []:
+            to = np.searchsorted(own, border[~narrow])
+            fresh.append(before[own[to[to < len(own)]]])
+        border = np.unique(np.concatenate(fresh))
+        border = border[~found[border]]
+        found[border] = True
     return ~found
 
 
@@ -280,7 +372,7 @@ def _open_keys(classes: DataFrame) -> DataFrame:
         classes.groupBy("key")
         .agg(F.count("*").alias("contents"), F.sum(F.col("n") + LENGTH - 1).alias("key_bytes"), F.min("again").alias("all_again"), F.max("inner").alias("inner"))
         .filter("(contents > 1 or inner) and not all_again")
-        .select("key", "key_bytes")
+        .select("key", "key_bytes", F.col("inner").alias("inner_key"))
     )
 
 
@@ -296,16 +388,25 @@ def _compared(pieces: DataFrame) -> DataFrame:
     total = pieces.agg(F.sum(F.octet_length("bytes"))).first()[0] or 0
     buckets = max(1, math.ceil(total / BUCKET_BYTES))
     bucket = F.pmod(F.xxhash64("key"), F.lit(buckets))
-    return pieces.withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_compare, SPAN)
+    # Few bytes take long to compare, so buckets are not drawn together into fewer tasks.
+    spread = min(buckets, 4 * shuffle_width(pieces.sparkSession))
+    return pieces.withColumn("bucket", bucket).repartition(spread, "bucket").groupBy("bucket").applyInArrow(_compare, SPAN)
 
 
-def _bytes_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Pieces: the bytes of the wanted stretches (place, n, key, hot), each cut from one copy of its text."""
+def _listed(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One copy of each text (t1, t2, text) that holds wanted stretches (place, n, key, hot), with their list."""
     lists = wanted.groupBy(F.col("place.t1").alias("t1"), F.col("place.t2").alias("t2")).agg(
-        F.collect_list(F.struct(F.col("place.start").alias("start"), "n", "key", "hot")).alias("places")
+        F.collect_list(F.struct(F.col("place.start").alias("start"), "n", "key", "hot", "inner")).alias("places")
     )
     found = texts.join(lists, ["t1", "t2"]).dropDuplicates(["t1", "t2"])
-    return found.select("t1", "t2", "text", "places").mapInArrow(_cut, PIECE)
+    return found.select("t1", "t2", "text", "places")
+
+
+def _open(classes: DataFrame) -> DataFrame:
+    """Stretches of open keys: place, n, key, whether the key is hot and whether one of its stretches may repeat within."""
+    return classes.join(_open_keys(classes), "key").select(
+        "place", "n", "key", (F.col("key_bytes") > HOT_BYTES).alias("hot"), F.col("inner_key").alias("inner")
+    )
 
 
 def repeated_spans(documents: DataFrame) -> DataFrame:
@@ -318,12 +419,19 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
     )
     windows = stored(texts.mapInArrow(_windows, STRETCH), "stretches")
     classes = stored(_collapsed(windows), "stretch-classes")
-    keys = _open_keys(classes)
-    wanted = classes.join(keys, "key").select(
-        "place", "n", "key", (F.col("key_bytes") > HOT_BYTES).alias("hot")
+    # Only these texts are looked at again.
+    involved = stored(_listed(texts, _open(classes)), "involved")
+    plain = involved.withColumn("places", F.filter("places", lambda p: ~p["inner"])).filter(F.size("places") > 0)
+    inner = involved.withColumn("places", F.filter("places", lambda p: p["inner"])).filter(F.size("places") > 0)
+    parts = stored(plain.mapInArrow(_parts, STRETCH), "parts")
+    part_classes = stored(_collapsed(parts), "part-classes")
+    left = _listed(involved.select("t1", "t2", "text"), _open(part_classes))
+    pieces = stored(left.mapInArrow(_cut, PIECE).unionAll(inner.mapInArrow(_cut, PIECE)), "pieces")
+    spans = (
+        _whole(windows, classes)
+        .unionAll(_whole(parts, part_classes))
+        .unionAll(_compared(pieces.filter("not hot")))
     )
-    pieces = stored(_bytes_of(texts, wanted), "pieces")
-    spans = _whole(windows, classes).unionAll(_compared(pieces.filter("not hot")))
     hot = pieces.filter("hot")
     if hot.isEmpty():
         return spans
@@ -336,72 +444,72 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         hot.select("t1", "t2", "start", "bytes").mapInArrow(_rekey(counts.astype(np.float32)), STRETCH), "stretches"
     )
     finer = stored(_collapsed(again), "stretch-classes")
-    open_ = finer.join(_open_keys(finer), "key").select("place", "n", "key", F.lit(False).alias("hot"))
-    return spans.unionAll(_whole(again, finer)).unionAll(_compared(stored(_bytes_of(texts, open_), "pieces")))
-
-
-_CUT_SCHEMA = "n_removed long, n_spans long, kept binary"
-
-
-def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins the spans of each row and adds the number of bytes they cover, of runs, the runs and the bytes kept."""
-    for batch in batches:
-        at = {name: k for k, name in enumerate(batch.schema.names)}
-        texts = batch.column(at["_bytes"]).to_pylist()
-        whole = batch.column(at["_whole"]).to_pylist()
-        spans = batch.column(at["_spans"]).to_pylist()
-        removed, runs, kept = [], [], []
-        for text, gone, list_ in zip(texts, whole, spans):
-            joined: list[list[int]] = []
-            if gone:
-                joined = [[0, len(text)]]
-            else:
-                for s in sorted(list_ or [], key=lambda s: (s["start"], s["end"])):
-                    if joined and s["start"] <= joined[-1][1]:
-                        joined[-1][1] = max(joined[-1][1], s["end"])
-                    else:
-                        joined.append([s["start"], s["end"]])
-            rest, last = [], 0
-            for a, b in joined:
-                rest.append(text[last:a])
-                last = b
-            rest.append(text[last:])
-            kept.append(b"".join(rest))
-            removed.append(sum(b - a for a, b in joined))
-            runs.append([{"start": a, "end": b} for a, b in joined])
-        type_ = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        others = [k for name, k in at.items() if name not in ("_whole", "_spans", "_bytes")]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(k) for k in others] + [pa.array(removed, pa.int64()), pa.array(runs, type_), pa.array(kept, pa.binary())],
-            names=[batch.schema.names[k] for k in others] + ["_n_removed", "_runs", "_kept"],
-        )
+    rest = _listed(involved.select("t1", "t2", "text"), _open(finer))
+    return spans.unionAll(_whole(again, finer)).unionAll(_compared(stored(rest.mapInArrow(_cut, PIECE), "pieces")))
+
+
+def _runs(spans: DataFrame) -> DataFrame:
+    """Per text (t1, t2) the runs that its spans make when those that touch or overlap are joined, in order."""
+    order = Window.partitionBy("t1", "t2").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.when(reach.isNull() | (F.col("start") > reach), 1).otherwise(0)
+    numbered = spans.withColumn("opens", opens).withColumn("run", F.sum("opens").over(order))
+    joined = numbered.groupBy("t1", "t2", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return joined.groupBy("t1", "t2").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("runs"))
+
+
+def _inside_character(data: Column, place: Column) -> Column:
+    """Whether the byte at a place continues a UTF-8 character."""
+    return F.hex(F.substring(data, place + 1, F.lit(1))).between("80", "BF")
+
+
+def _whole_characters(data: Column, run: Column) -> Column:
+    """A run narrowed to whole characters, of which none has more than four bytes."""
+    start, end = run["start"], run["end"]
+    ahead = lambda k: _inside_character(data, start + k)
+    behind = lambda k: _inside_character(data, end - k)
+    first = F.when(~ahead(0), 0).when(~ahead(1), 1).when(~ahead(2), 2).otherwise(3)
+    last = F.when(~behind(0), 0).when(~behind(1), 1).when(~behind(2), 2).otherwise(3)
+    return F.struct((start + first).alias("start"), (end - last).alias("end"))
+
+
+def _kept(data: Column, size: Column, runs: Column) -> Column:
+    """The bytes between the runs, end to end."""
+    edge = lambda k: F.when(k > 0, F.get(runs, k - 1)["end"]).otherwise(0)
+    until = lambda k: F.when(k < F.size(runs), F.get(runs, k)["start"]).otherwise(size)
+    piece = lambda k: F.substring(data, (edge(k) + 1).cast("int"), (until(k) - edge(k)).cast("int"))
+    return F.aggregate(
+        F.sequence(F.lit(0), F.size(runs)), F.lit(b""), lambda kept, k: F.concat(kept, piece(k))
+    )
 
 
-def remove_repeats(documents: DataFrame) -> DataFrame:
-    """The given rows with ``_n_bytes``, ``_n_removed``, ``_runs`` (start, end of the removed runs) and ``_kept`` bytes.
+def remove_repeats(documents: DataFrame, as_text: bool = False) -> DataFrame:
+    """The given rows without text, with ``_n_bytes``, ``_n_removed``, ``_runs`` (start, end) and the ``_kept`` bytes.
 
     Needs text; a null text is empty. Every byte goes that lies in a 400-byte string which starts at another place too,
     of the same text or another; all are judged on the input. Rows that repeat a text of 400 bytes or more lose all of
-    it. Texts below 400 bytes stay. Other columns pass through; none may start with an underscore.
+    it. Texts below 400 bytes stay. With ``as_text`` runs are narrowed to whole characters, so that what is kept is
+    text. Other columns pass through; none may start with an underscore.
     """
     spans = repeated_spans(documents)
-    named = documents.select(*[F.col(f"`{c}`") for c in documents.columns], *[k.alias(f"_{n}") for k, n in zip(text_key(), ("t1", "t2"))])
-    copies = named.filter(F.octet_length(F.col("text").cast("string")) >= LENGTH).groupBy("_t1", "_t2").count().filter("count > 1")
-    lists = spans.groupBy(F.col("t1").alias("_t1"), F.col("t2").alias("_t2")).agg(
-        F.collect_list(F.struct("start", "end")).alias("_spans")
-    )
-    marks = copies.select("_t1", "_t2", F.lit(True).alias("_copied")).join(lists, ["_t1", "_t2"], "full")
-    text = F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")
-    ready = (
-        named.join(marks, ["_t1", "_t2"], "left")
-        .withColumn("_whole", F.coalesce("_copied", F.lit(False)))
-        .withColumn("_bytes", text)
-        .withColumn("_n_bytes", F.octet_length("_bytes").cast("long"))
-        .select(*[F.col(f"`{c}`") for c in documents.columns], "_n_bytes", "_whole", "_spans", "_bytes")
-    )
-    passed = [f for f in ready.schema.fields if f.name not in ("_whole", "_spans", "_bytes")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed)
-    return ready.mapInArrow(_remove, f"{schema}, _n_removed long, _runs array<struct<start: long, end: long>>, _kept binary")
+    others = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "text"]
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    named = documents.select(
+        *others, text.cast("binary").alias("_bytes"), *[k.alias(f"_{n}") for k, n in zip(text_key(), ("t1", "t2"))]
+    ).withColumn("_n_bytes", F.octet_length("_bytes").cast("long"))
+    copies = named.filter(F.col("_n_bytes") >= LENGTH).groupBy("_t1", "_t2").count().filter("count > 1")
+    runs = _runs(spans).toDF("_t1", "_t2", "_found")
+    marks = copies.select("_t1", "_t2", F.lit(True).alias("_copied")).join(runs, ["_t1", "_t2"], "full")
+    nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("_n_bytes").alias("end")))
+    found = F.when(F.col("_copied"), everything).otherwise(F.coalesce("_found", nothing))
+    marked = named.join(marks, ["_t1", "_t2"], "left").withColumn("_runs", found)
+    if as_text:
+        narrow = F.transform("_runs", lambda r: _whole_characters(F.col("_bytes"), r))
+        marked = marked.withColumn("_runs", F.filter(narrow, lambda r: r["start"] < r["end"]))
+    removed = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    kept = _kept(F.col("_bytes"), F.col("_n_bytes"), F.col("_runs"))
+    return marked.select(*others, "_n_bytes", removed.alias("_n_removed"), "_runs", kept.alias("_kept"))
 
 
 def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
@@ -416,40 +524,12 @@ def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _text_left(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Text without the removed runs (runs, text, others...); a run is narrowed to whole characters."""
-    for batch in batches:
-        texts = batch.column(1).to_pylist()
-        out = []
-        for runs, text in zip(batch.column(0).to_pylist(), texts):
-            if not runs:
-                out.append(text)
-                continue
-            data, rest, last = text.encode(), [], 0
-            for r in runs:
-                a, b = r["start"], r["end"]
-                while a < b and a < len(data) and data[a] & 0xC0 == 0x80:
-                    a += 1
-                while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
-                    b -= 1
-                rest.append(data[last:a])
-                last = b
-            rest.append(data[last:])
-            out.append(b"".join(rest).decode())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(out, pa.string()), *batch.columns[2:]], names=["_text", *batch.schema.names[2:]]
-        )
-
-
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pipeline stage: every document without the strings that repeat, and with its new length.
 
-    Runs are narrowed to whole characters, so that what is left is text. A document of which nothing is left stays, empty.
+    Runs are narrowed to whole characters, so that what is left is text. A document of which nothing is left stays, empty;
+    a null text becomes empty.
     """
-    rows = remove_repeats(docs)
-    others = [f for f in docs.schema.fields if f.name != "text"]
-    schema = ", ".join(["_text string", *(f"`{f.name}` {f.dataType.simpleString()}" for f in others)])
-    left = rows.select("_runs", "text", *[F.col(f"`{f.name}`") for f in others]).mapInArrow(_text_left, schema)
-    length = F.length("_text").cast("long")
-    columns = {"text": F.col("_text"), "n_chars": length}
+    left = remove_repeats(docs, as_text=True).withColumn("_text", F.decode("_kept", "UTF-8"))
+    columns = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
     return left.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

@@ -293,7 +293,7 @@ def test_substring_stage_leaves_text(spark):
         [(1, "aé" + shared + "xy", 3), (2, "bé" + shared + "z", 4), (3, None, 5)], "doc_id long, text string, n_chars long"
     )
     rows = {r.doc_id: r for r in substrings.stage(spark, frame, "").collect()}
-    assert (rows[1].text, rows[1].n_chars) == ("axy", 3) and rows[2].text == "bz" and rows[3].text is None
+    assert (rows[1].text, rows[1].n_chars) == ("axy", 3) and rows[2].text == "bz" and rows[3].text == ""
 
 
 def test_schema_has_clashing_columns(documents):
