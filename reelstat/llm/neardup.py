@@ -16,7 +16,6 @@ more similar texts are missed far more rarely.
 from __future__ import annotations
 
 import functools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,6 @@ from reelstat.llm.common import (
     lower_ascii,
     mix,
     prefix_hashes,
-    shuffle_width,
     sized_slices,
     span_hashes,
     stored,
@@ -49,9 +47,16 @@ MISS = 1e-5
 # Members of a bucket that meet in one block.
 BLOCK = 2048
 
-SIGNED = "doc_id long, n_shingles long, set_key binary, signature binary"
+# Of each value of a signature the lower 16 bits are kept to verify; bands are named by all bits.
+SIGNED = "doc_id long, n_shingles long, set_key binary, signature binary, bands binary"
 _SIGNED = pa.schema(
-    [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("signature", pa.binary())]
+    [
+        ("doc_id", pa.int64()),
+        ("n_shingles", pa.int64()),
+        ("set_key", pa.binary()),
+        ("signature", pa.binary()),
+        ("bands", pa.binary()),
+    ]
 )
 
 
@@ -109,20 +114,36 @@ def signature(h: np.ndarray) -> np.ndarray:
     return out
 
 
+def _bands(signatures: np.ndarray) -> np.ndarray:
+    """Bucket names (rows, BANDS) of signatures."""
+    values = signatures[:, : BANDS * ROWS].reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
+    h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), values.shape[:2]) + np.uint64(1)
+    for k in range(ROWS):
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[:, :, k])
+    return h.view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sized_slices(batches, 1):
         h, starts = shingle_sets(batch.column(1))
-        keys, signatures = [], []
-        for a, b in zip(starts[:-1], starts[1:]):
+        keys: list[bytes | None] = []
+        values = np.zeros((batch.num_rows, HASHES), np.uint32)
+        for row, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
+            own = h[a:b]
             if a == b:
                 keys.append(None)
-                signatures.append(None)
                 continue
-            own = h[a:b]
-            key = np.array([own.sum(), mix(own * np.uint64(3)).sum(), b - a], np.uint64)
-            keys.append(key.tobytes())
-            signatures.append(signature(own).tobytes())
-        columns = [batch.column(0), pa.array(np.diff(starts)), pa.array(keys, pa.binary()), pa.array(signatures, pa.binary())]
+            keys.append(np.array([own.sum(), mix(own * np.uint64(3)).sum(), b - a], np.uint64).tobytes())
+            values[row] = signature(own)
+        known = [k is not None for k in keys]
+        low, bands = values.astype(np.uint16), _bands(values)
+        columns = [
+            batch.column(0),
+            pa.array(np.diff(starts)),
+            pa.array(keys, pa.binary()),
+            pa.array([v.tobytes() if k else None for v, k in zip(low, known)], pa.binary()),
+            pa.array([v.tobytes() if k else None for v, k in zip(bands, known)], pa.binary()),
+        ]
         yield pa.RecordBatch.from_arrays(columns, schema=_SIGNED)
 
 
@@ -146,22 +167,16 @@ def least_matches() -> tuple[int, ...]:
     return tuple(out)
 
 
-def _bands(signatures: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Values (rows, BANDS, ROWS) and bucket names (rows, BANDS) of signatures."""
-    values = signatures[:, : BANDS * ROWS].reshape(len(signatures), BANDS, ROWS).astype(np.uint64)
-    h = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), values.shape[:2]) + np.uint64(1)
-    for k in range(ROWS):
-        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + values[:, :, k])
-    return values, h.view(np.int64)
+def _matrix(values: list[bytes], type_: type) -> np.ndarray:
+    return np.frombuffer(b"".join(values), type_).reshape(len(values), -1)
 
 
 def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        raw = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(batch.num_rows, HASHES)
-        doc = np.repeat(batch.column(0).to_numpy(), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(_bands(raw)[1].ravel()), pa.array(doc)], names=["bucket", "doc_id"])
+        if batch.num_rows:
+            buckets = _matrix(batch.column(1).to_pylist(), np.int64)
+            doc = np.repeat(batch.column(0).to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(doc)], names=["bucket", "doc_id"])
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,9 +186,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = batch.num_rows
         if not n:
             continue
-        one, two = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(n, HASHES) for c in (2, 3)
-        )
+        one, two = (_matrix(batch.column(c).to_pylist(), np.uint16) for c in (2, 3))
         alive, matches = np.arange(n), np.zeros(n, np.int64)
         for k, m in enumerate(least):
             part = slice(k * BATCH, (k + 1) * BATCH)
@@ -207,9 +220,9 @@ def _block_pairs(table_: pa.Table) -> pa.Table:
     chunk = table_.column("chunk").to_numpy()
     doc, root = table_.column("doc_id").to_numpy(), table_.column("root").to_numpy()
     size = table_.column("n_shingles").to_numpy()
-    signs = np.frombuffer(b"".join(table_.column("signature").to_pylist()), np.uint32).reshape(len(doc), HASHES)
-    band = int(np.flatnonzero(_bands(signs[:1])[1][0] == table_.column("bucket")[0].as_py())[0])
-    before = signs[:, : band * ROWS].reshape(len(doc), band, ROWS)
+    signs = _matrix(table_.column("signature").to_pylist(), np.uint16)
+    buckets = _matrix(table_.column("bands").to_pylist(), np.int64)
+    before = buckets[:, : int(np.flatnonzero(buckets[0] == table_.column("bucket")[0].as_py())[0])]
     rows, others = np.flatnonzero(chunk == low), np.flatnonzero(chunk == high)
     left, right = [], []
     for i in rows:
@@ -223,7 +236,7 @@ def _block_pairs(table_: pa.Table) -> pa.Table:
             j, matches = j[matches >= m], matches[matches >= m]
             if not len(j):
                 break
-        j = j[~(before[j] == before[i]).all(axis=2).any(axis=1)]
+        j = j[~(before[j] == before[i]).any(axis=1)]
         left.append(np.full(len(j), doc[i]))
         right.append(doc[j])
     a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right))
@@ -256,12 +269,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     reps = classes.select(F.col("rep").alias("doc_id"), "set_key")
     rep_signed = stored(
         sets.join(reps, ["doc_id", "set_key"]).dropDuplicates(["doc_id", "set_key"]).select(
-            "doc_id", "set_key", "n_shingles", "signature"
+            "doc_id", "set_key", "n_shingles", "signature", "bands"
         ),
         "representatives",
     )
     # Buckets with more than one representative, each with its smallest member.
-    banded = rep_signed.select("doc_id", "signature").mapInArrow(_band_rows, "bucket long, doc_id long")
+    banded = rep_signed.select("doc_id", "bands").mapInArrow(_band_rows, "bucket long, doc_id long")
     banded = stored(banded, "bands")
     shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("top"))
     members = stored(banded.join(shared.filter("center < top").drop("top"), "bucket"), "buckets")
@@ -293,10 +306,10 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         labelled.join(mixed, "bucket")
         .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .join(signs, "doc_id")
+        .join(rep_signed.select("doc_id", "n_shingles", "signature", "bands"), "doc_id")
         .select(
             "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-            "chunk", "doc_id", "root", "n_shingles", "signature",
+            "chunk", "doc_id", "root", "n_shingles", "signature", "bands",
         )
     )
     rest = chunked.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
