@@ -30,9 +30,9 @@ from reelstat.llm.common import prefix_hashes, sized_slices, span_hashes, table,
 CAPACITY = 2048
 END_ID = 1
 SENTENCE_PENALTY = 2
-ANYWHERE_PENALTY = 16
+ANYWHERE_PENALTY = 8
 # Where no sentence ends for so many tokens, a cut is allowed every so many tokens.
-LONG_SENTENCE = 32
+LONG_SENTENCE = 16
 # Tokens that one run of the dynamic program looks at; its last sequence is carried into the next run.
 STRETCH = 1 << 19
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -148,13 +148,15 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids, np.bincount(np.insert(rows, at, np.arange(n_rows)), lengths, n_rows).astype(np.int64)
 
 
-def cut(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY) -> list[int]:
+def cut(
+    places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY, free_end: bool = False
+) -> list[int]:
     """Indexes of the chosen places: the cheapest chain from the first to the last place.
 
-    Neighbouring places must be at most ``capacity`` apart.
+    Neighbouring places must be at most ``capacity`` apart. With ``free_end`` the last sequence pays for no padding.
     """
     price = (penalties + capacity).tolist()
-    back = [0]
+    back, totals = [0], [int(places[0])]
     value = int(places[0])  # best(i) + place(i) of the newest place
     queue, values, ends = [], [], []  # places that may start a sequence, their values, the last place they reach
     head = 0
@@ -166,6 +168,10 @@ def cut(places: np.ndarray, penalties: np.ndarray, capacity: int = CAPACITY) ->
             head += 1
         back.append(queue[head])
         value = values[head] + price[j]
+        totals.append(value)
+    if free_end and len(places) > 1:
+        low = int(np.searchsorted(places, places[-1] - capacity))
+        back[-1] = low + int(np.argmin(np.array(totals[low:-1]) - places[low:-1]))
     chain = [len(places) - 1]
     while chain[-1]:
         chain.append(back[chain[-1]])
@@ -210,7 +216,7 @@ def _packer(path: str, capacity: int):
             nonlocal names, nulls, placed, totals, sizes, ids, next_id
             doc_ends = np.cumsum(sizes)
             places, penalties = _places(ids, doc_ends, ends, capacity)
-            cuts = places[cut(places, penalties, capacity)]
+            cuts = places[cut(places, penalties, capacity, free_end=True)]
             if last:
                 cuts = np.array([*cuts[:-1], *_binary_cuts(int(cuts[-2]), int(cuts[-1]))])
             else:
