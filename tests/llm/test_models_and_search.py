@@ -163,6 +163,71 @@ def test_toxicity_scores_every_odd_text(spark, documents, nothing):
     assert {r.score for r in toxicity.score(documents, *toxicity.fit(documents, labels.limit(0))).collect()} == {0.5}
 
 
+def by_hand(texts, toxic):
+    """Different words before each word per class and over all texts."""
+    found = {0: {}, 1: {}, None: {}}
+    for text, k in zip(texts, toxic):
+        before = ""
+        for w in text.split():
+            for kind in {k, None}:
+                found[kind].setdefault(w, set()).add(before)
+            before = w
+    return {k: {w: len(s) for w, s in words.items()} for k, words in found.items()}
+
+
+def test_toxicity_counts_grow_with_the_vocabulary(spark, monkeypatch):
+    # "common" stands after more different words than a bitmap of a slot tells apart.
+    many = [" ".join(f"w{k}x{j} common" for j in range(40)) for k in range(30)] + ["copied passage here"] * 50
+    toxic = [int(k % 3 == 0) for k in range(80)]
+    frame = spark.createDataFrame([(k, t, 1) for k, t in enumerate(many)], "doc_id long, text string, toxic int")
+    hashed = lambda w: int(toxicity._tokens(pa.array([w]))[0].view(np.int64)[0])
+    wanted = by_hand(many, toxic)
+    pairs = frame.select("text").mapInArrow(toxicity._all_pairs, "word long, before long")
+    got = {r.word: r.n for r in toxicity.different(pairs).collect()}
+    assert got == {hashed(w): n for w, n in wanted[None].items()}
+    parts = frame.select("text", F.col("doc_id").cast("int").alias("toxic")).withColumn("toxic", (F.col("toxic") % 3 == 0).cast("int"))
+    pairs = parts.mapInArrow(toxicity._class_pairs, "word long, before long, toxic int")
+    got = {(r.toxic, r.word): r.n for r in toxicity.different(pairs, "toxic").collect()}
+    assert got == {(k, hashed(w)): n for k in (0, 1) for w, n in wanted[k].items()}
+
+
+def test_toxicity_by_join_and_held_words_agree(spark, documents, monkeypatch):
+    table = [(int(w), float(k % 5 - 2)) for k, w in enumerate(set(toxicity._tokens(pa.array([c[1] for c in corpus()]))[0].view(np.int64)))]
+    ratios = spark.createDataFrame(table, "word long, ratio double")
+    found = []
+    for held in (1 << 20, 0):
+        monkeypatch.setattr(toxicity, "HELD", held)
+        evidence = toxicity.Evidence(ratios)
+        assert (evidence.words is None) == (held == 0)
+        rows = evidence.compare(documents.select("doc_id", "text")).collect()
+        assert len(rows) == documents.count()
+        found.append(sorted((r.doc_id is None, r.doc_id or 0, round(r.value, 9)) for r in rows))
+    assert found[0] == found[1] and any(v[2] for v in found[0])
+
+
+def test_toxicity_learns_a_rare_class_and_its_share(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 40)
+    rng = random.Random(8)
+    texts = [prose(rng, 60, 500) for _ in range(1200)]
+    bad = {k for k in range(1200) if k % 150 == 7}
+    texts = [f"{t} filth {t[:9]} filth so filth {k} filth" if k in bad else t for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    # Labels of ids that no document has must not fill the sample.
+    labels = [(k, int(k in bad)) for k in range(1200)] + [(k, 0) for k in range(5000, 9000)]
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    found = {r.doc_id for r in toxicity.score(frame, *model).collect() if r.score >= 0.5}
+    assert found == bad
+
+
+def test_toxicity_weighs_ordinary_words_too(spark):
+    shared = spark.createDataFrame([(1, 100), (2, 100), (3, 800)], "word long, n long")
+    classes = spark.createDataFrame([(1, 1, 60), (0, 2, 60), (0, 3, 400), (1, 3, 400)], "toxic int, word long, n long")
+    ratios = {r.word: r.ratio for r in toxicity.log_ratios(shared, classes).collect()}
+    weights = {r.word: r.weight for r in toxicity.Evidence(toxicity.log_ratios(shared, classes)).table.collect()}
+    assert ratios[1] > toxicity.MARGIN and ratios[2] == -ratios[1] and abs(ratios[3]) < 0.01
+    assert weights == {1: ratios[1] - toxicity.MARGIN, 2: toxicity.MARGIN - ratios[1]}
+
+
 def test_tables_count_words_and_previous_words():
     words, before, rows, n = toxicity._tokens(pa.array(["A b, a", None, "b-a b"]))
     assert n == 3 and rows.tolist() == [0, 0, 0, 2, 2, 2]
