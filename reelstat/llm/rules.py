@@ -3,9 +3,13 @@
 Each document is measured in place with built-in functions. For every language and source a mergeable quantile sketch is
 kept of each measure; sketches of small groups give way to those of the language, and of small languages to
 the one of all documents, which are merged from the same sketches. A document is rejected where a measure
-lies beyond its group's upper (or lower) fence: a quartile moved outward by ``REACH`` times the distance
-of the quartiles. A measure that hardly varies in a group gets a least distance instead, so that clean documents in
-a uniform group do not fall.
+lies beyond its group's upper (or lower) fence: the median moved outward by half the distance of the quartiles and
+``REACH`` times that distance, where the quartile nearer to the median tells the distance, as junk on one side moves the
+other. A measure that hardly varies in a group gets a least distance instead, so that clean documents in a uniform group
+do not fall. A gap of the upper quantiles of symbols draws their fence in, down to half the reach.
+
+No group is judged more mildly than its language, nor, in the measures that mean the same in every language, than all
+documents: a source that is mostly junk does not set its own limit.
 """
 
 from __future__ import annotations
@@ -29,6 +33,11 @@ MEASURES = {
     "repeated_words": (False, True, 0.1),
     "word_length": (True, True, 1.0),
 }
+# Measures that depend on the language.
+OF_LANGUAGE = {"word_length"}
+# Measures whose gaps are looked for, and the upper ranks between which. Shares of few lines have gaps of themselves.
+GAPS = {"symbols_per_word"}
+UPPER_RANKS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.925, 0.95, 0.97, 0.98, 0.99, 0.995)
 
 
 def _words(text: Column) -> Column:
@@ -96,6 +105,23 @@ def measured(documents: DataFrame, name: str) -> DataFrame:
     return counted
 
 
+def _limits(sketch: Column, key: str) -> Column:
+    """Struct of the lower and upper fence that one sketch gives."""
+    least = MEASURES[key][2]
+    at = lambda q: F.kll_sketch_get_quantile_double(sketch, F.lit(q))
+    low, middle, high = at(0.25), at(0.5), at(0.75)
+    half = F.least(high - middle, middle - low)
+    reach = half + REACH * F.greatest(2 * half, F.lit(least))
+    upper = F.array(*map(at, UPPER_RANKS))
+    steps = F.zip_with(upper, F.slice(upper, 2, len(UPPER_RANKS) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    gap = F.get(F.filter(steps, lambda s: s["b"] - s["a"] >= 2 * least), F.lit(0))
+    drawn_in = F.when(gap.isNotNull(), F.greatest((gap["a"] + gap["b"]) / 2, middle + reach / 2))
+    if key not in GAPS:
+        drawn_in = F.lit(None).cast("double")
+    # Nulls do not count in least and greatest.
+    return F.struct((middle - reach).alias("low"), F.least(middle + reach, drawn_in).alias("high"))
+
+
 def thresholds(documents: DataFrame, name: str) -> DataFrame:
     """Fences per (lang, source) from mergeable sketches, as (fence_lang, fence_source, fences).
 
@@ -116,17 +142,22 @@ def thresholds(documents: DataFrame, name: str) -> DataFrame:
     joined = groups.join(langs, groups.fence_lang.eqNullSafe(langs.of_lang)).crossJoin(F.broadcast(everything))
 
     def fences(key: str) -> Column:
-        below, above, least = MEASURES[key]
-        chosen = (
-            F.when(F.col("n") >= LEAST_GROUP, F.col(key))
-            .when(F.col("lang_n") >= LEAST_GROUP, F.col(f"lang_{key}"))
-            .otherwise(F.col(f"all_{key}"))
-        )
-        low, high = (F.kll_sketch_get_quantile_double(chosen, F.lit(q)) for q in (0.25, 0.75))
-        reach = REACH * F.greatest(high - low, F.lit(least))
+        below, above, _ = MEASURES[key]
+        levels = {"n": key, "lang_n": f"lang_{key}", "all": f"all_{key}"}
+        limits = {n: _limits(F.col(c), key) for n, c in levels.items()}
+        wide = lambda n: F.lit(True) if n == "all" else F.col(n) >= LEAST_GROUP
+
+        def strictest(side: str) -> Column:
+            # The limits of the narrowest level with enough documents, bounded by those of the wider ones.
+            own = F.when(wide("n"), limits["n"][side]).when(wide("lang_n"), limits["lang_n"][side])
+            bounds = [own, F.when(wide("lang_n"), limits["lang_n"][side])]
+            every = limits["all"][side]
+            bounds.append(F.when(~wide("n") & ~wide("lang_n"), every) if key in OF_LANGUAGE else every)
+            return (F.greatest if side == "low" else F.least)(*bounds)
+
         return F.struct(
-            (low - reach if below else F.lit(float("-inf"))).alias("low"),
-            (high + reach if above else F.lit(float("inf"))).alias("high"),
+            (strictest("low") if below else F.lit(float("-inf"))).alias("low"),
+            (strictest("high") if above else F.lit(float("inf"))).alias("high"),
         ).alias(key)
 
     return joined.select("fence_lang", "fence_source", F.struct(*map(fences, MEASURES)).alias("fences"))

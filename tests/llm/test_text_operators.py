@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from reelstat.llm import mixing, neardup, packing, rules, sharding, substrings
+from reelstat.session import scratch_path
 from tests.llm.conftest import SCHEMA, corpus
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -269,6 +270,32 @@ def test_mix_stage_holds_what_is_taken(spark, documents):
     assert out.agg(F.sum(words)).first()[0] == wanted
 
 
+def kept_by_rules(spark, rows):
+    """Kept rows of (lang, source, symbols per word, repeated lines), other measures being clean."""
+    schema = "id long, lang string, source string, s double, l double"
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], schema)
+    fields = [("n_words", F.lit(100)), ("base_failed", F.lit(False)), ("symbols_per_word", F.col("s"))]
+    fields += [("repeated_lines", F.col("l")), ("repeated_words", F.lit(0.0)), ("word_length", F.lit(5.0))]
+    made = frame.withColumn("rules", F.struct(*[c.alias(n) for n, c in fields]))
+    made.write.mode("overwrite").parquet(path := scratch_path(spark, "rules-test"))
+    return {r.id for r in rules.judged(spark.read.parquet(path), "rules").filter("rules.kept").collect()}
+
+
+@pytest.mark.parametrize("share", [3, 4, 6])
+def test_junk_does_not_raise_the_limit_of_its_source(spark, share):
+    clean = [("en", f"s{k % 4}", 0.001 * (k % 20), 0.0) for k in range(2400)]
+    dirty = [("en", "bad", 2.5, 0.9) if k % 10 < share else ("en", "bad", 0.0, 0.0) for k in range(600)]
+    rows = clean + dirty
+    assert kept_by_rules(spark, rows) == {k for k, r in enumerate(rows) if r[2] < 1}
+
+
+def test_junk_of_a_whole_language_and_gaps_below_the_reach(spark):
+    rows = [("xx", "one", 2.5 if k % 10 < 4 else 0.002 * (k % 7), 0.0) for k in range(500)]
+    rows += [("en", "two", 0.18 if k % 10 < 3 else 0.0, 0.0) for k in range(500)]
+    rows += [("en", "three", 0.01 * (k % 10), 0.01 * (k % 5)) for k in range(500)]
+    assert kept_by_rules(spark, rows) == {k for k, r in enumerate(rows) if r[2] < 0.15}
+
+
 def test_empty_tables_give_no_rows(spark, nothing):
     assert packing.pack(nothing, PATH).count() == 0
     assert mixing.mix(nothing).count() == 0
