@@ -51,6 +51,22 @@ def test_shared_runs_leave_unmarked_pages(spark, monkeypatch):
     assert {r.page_id: r.text for r in pages.extract(frame).collect()} == found
 
 
+@pytest.mark.parametrize(
+    "html, wanted",
+    [
+        ("<div class='layout has-sidebar'><article><p>text</p></article></div>", (["text"], True)),
+        ("<div class='post no-comments'><article>text</article></div>", (["text"], True)),
+        ("<div class='search-page'><main>text</main></div>", (["text"], True)),
+        ("<div class='overlay'><article><header><h1>T</h1>x</header>text</article></div>", (["T", "text"], True)),
+        ("<article><h2 id='social-policy'>A</h2><h2 id='related-work'>B</h2><h2 id=related>C</h2>d</article>", (["A", "B", "C", "d"], True)),
+        ("<div class='related-posts'>x</div><div class='related'><article>other</article></div><p>text", (["text"], False)),
+        ("<article><div class='newsletter-signup'>n</div><div class='ad-box-2'>buy</div>text</article>", (["text"], True)),
+    ],
+)
+def test_names_in_layout_classes_and_slugs_lose_no_article(html, wanted):
+    assert pages.blocks(html) == wanted
+
+
 def test_copies_of_a_page_are_not_boilerplate():
     stream = ["one two three four five six seven eight nine ten", "and so on for some more words here"]
     assert pages.boilerplate([stream] * 5) == [[False, False]] * 5
