@@ -51,6 +51,17 @@ def test_shared_runs_leave_unmarked_pages(spark, monkeypatch):
     assert {r.page_id: r.text for r in pages.extract(frame).collect()} == found
 
 
+def test_rare_boilerplate_is_counted_over_all_groups(spark, monkeypatch):
+    monkeypatch.setattr(pages, "GROUP", 4)
+    rng = random.Random(4)
+    notice = "Our autumn campaign is open for all readers of this site until the end of may"
+    bodies = [prose(rng, 40, 9000) for _ in range(120)]
+    html = [f"<div>{b}</div>" + f"<div>{notice}</div>" * (k % 30 == 0) for k, b in enumerate(bodies)]
+    rows = [(k, f"http://host.example/{k}", h) for k, h in enumerate(html)]
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == dict(enumerate(bodies))
+
+
 @pytest.mark.parametrize(
     "html, wanted",
     [
