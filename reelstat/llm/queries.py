@@ -6,7 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import mixing, neardup, neighbours, packing, pages, quality, rules, sharding, substrings, toxicity
+from reelstat.llm import (
+    mixing,
+    neardup,
+    neighbours,
+    packing,
+    pages,
+    quality,
+    rules,
+    sharding,
+    substrings,
+    token_files,
+    toxicity,
+    whitening,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +34,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_rotated_codes": neighbours.op9_rotated_codes,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op12_token_files": token_files.op12_token_files,
+        "op13_whitening": whitening.op13_whitening,
     }
 
 
