@@ -12,6 +12,7 @@ from reelstat.llm import (
     neighbours,
     packing,
     pages,
+    periodic,
     quality,
     rules,
     sharding,
@@ -34,6 +35,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": quality.op8_quality,
         "op9_rotated_codes": neighbours.op9_rotated_codes,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_periodic": periodic.op11_periodic,
         "op12_token_files": token_files.op12_token_files,
         "op13_whitening": whitening.op13_whitening,
     }
