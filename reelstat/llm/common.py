@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import contextlib
+import sys
+import threading
+import types
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.session import scratch_path
 
+T = TypeVar("T")
+
 # A word of a text: a longest run without ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,14 +27,73 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(frame: DataFrame, name: str) -> DataFrame:
-    """Write a frame once to the shared folder and read it back; later stages survive a lost executor."""
+# Drops the shuffle files of a query when it ends; the written table holds all that is needed of them.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SCOPES = threading.local()
+
+
+def _scopes() -> list[list[str]]:
+    if not hasattr(_SCOPES, "open"):
+        _SCOPES.open = []
+    return _SCOPES.open
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop at the end what was stored inside, but for tables that outlive it."""
+    paths: list[str] = []
+    _scopes().append(paths)
+    try:
+        yield
+    finally:
+        _scopes().remove(paths)
+        for path in paths:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def stored(frame: DataFrame, name: str, outlives: bool = False) -> DataFrame:
+    """Write a frame once to the shared folder and read it back; later stages survive a lost executor.
+
+    Inside a :func:`scratch` block the table goes with the block. One that ``outlives`` it holds the block's result and
+    goes with the block around it, if there is one.
+    """
     spark = frame.sparkSession
     path = scratch_path(spark, name)
-    frame.write.parquet(path)
+    scopes = _scopes()[:-1] if outlives else _scopes()
+    if scopes:
+        scopes[-1].append(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """A column name that starts with ``name`` and that no column has or starts with, whatever its case."""
+    taken = [c.lower() for c in columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
+def kept_by_worker(name: str, make: Callable[[], T]) -> T:
+    """What ``make`` gives, made once in the life of a Python process and found again by its name.
+
+    The package travels to workers by value, so its own globals are new in every task.
+    """
+    home = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """The number of shuffle partitions the session asks for."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -17,6 +17,8 @@ vocabulary, so the ids of a text are those of its words.
 
 from __future__ import annotations
 
+import itertools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,15 +30,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from reelstat.llm.common import prefix_hashes, sized_slices, span_hashes, table, text_bytes, word_spans
+from reelstat.llm.common import kept_by_worker, prefix_hashes, sized_slices, span_hashes, table, text_bytes, word_spans
 from reelstat.session import scratch_path
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
 # Bytes of a stripe, rows of an index entry, and the share of absent ids that a Bloom filter lets through.
-STRIPE_BYTES, INDEX_ROWS, FALSE_HITS = 32 << 20, 1000, 0.01
-# Words a worker remembers, and words that are encoded as one text.
-REMEMBERED, TOGETHER = 1 << 20, 256
+STRIPE_BYTES, INDEX_ROWS, FALSE_HITS = 16 << 20, 1000, 0.01
+# Words a worker remembers, how many of them may have been met lately, and words that are encoded as one text.
+REMEMBERED, RECENT, TOGETHER = 1 << 21, 1 << 16, 2048
+# Bytes of text that are encoded at once.
+SLICE = 1 << 20
 
 ROW = "doc_id long, part int, before long, n_tokens long, ids array<int>"
 PART = "part int, n_rows long, n_tokens long"
@@ -51,6 +55,31 @@ _ROW = pa.schema(
 )
 
 
+class _Index:
+    """Hashes of words in order, where each word's ids start and how many there are, and which were asked for."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.first = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+        self.asked = np.zeros(0, bool)
+
+    def add(self, hashes: np.ndarray, first: np.ndarray, count: np.ndarray, asked: np.ndarray) -> None:
+        at = np.searchsorted(self.hashes, hashes)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.first = np.insert(self.first, at, first)
+        self.count = np.insert(self.count, at, count)
+        self.asked = np.insert(self.asked, at, asked)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are held, and the places of these."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool), np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        held = self.hashes[at] == hashes
+        return held, at[held]
+
+
 class Words:
     """The ids of words, encoded once each and found again by the 64-bit hash of their bytes."""
 
@@ -58,65 +87,85 @@ class Words:
     MARK = "\x00"
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         (self.mark,) = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
-        self._forget()
-
-    def _forget(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[number for token, number in vocabulary.items() if token.endswith("</w>")]] = True
+        # Words met lately are few, so that they are put in order quickly; they join the others by and by.
+        self.known, self.recent = _Index(), _Index()
         self.ids = np.zeros(0, np.int32)
 
-    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words end to end, and how many each has."""
-        plain = [k for k, w in enumerate(words) if self.MARK not in w]
-        odd = [k for k, w in enumerate(words) if self.MARK in w]
-        joint = f" {self.MARK} "
-        texts = [
-            joint.join([words[i] for i in plain[k : k + TOGETHER]]) + joint for k in range(0, len(plain), TOGETHER)
-        ]
+    def _joint(self, words: list[str], between: str) -> np.ndarray:
+        """The ids of many words that are encoded as a few long texts."""
+        texts = [between.join(words[k : k + TOGETHER]) + between for k in range(0, len(words), TOGETHER)]
         found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, sum(map(len, found)))
-        stops = np.flatnonzero(flat == self.mark)
+        return np.fromiter(itertools.chain.from_iterable(found), np.int32, sum(map(len, found)))
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words end to end, and how many each has.
+
+        A word of ASCII letters is one piece to the vocabulary, whose last id ends a piece. Others may be several, and are
+        set apart by marks; those that hold the mark are encoded one by one.
+        """
+        kind = np.array([0 if w.isascii() and w.isalpha() else 1 if self.MARK not in w else 2 for w in words], np.int8)
+        letters, marked, odd = (np.flatnonzero(kind == k) for k in range(3))
+        one = self._joint([words[k] for k in letters], " ")
+        ends = np.flatnonzero(self.closes[one])
+        two = self._joint([words[k] for k in marked], f" {self.MARK} ")
+        marks = np.flatnonzero(two == self.mark)
+        own = [self.tokenizer.encode(words[k], add_special_tokens=False).ids for k in odd]
         counts = np.zeros(len(words), np.int64)
-        counts[plain] = np.diff(stops, prepend=-1) - 1
-        flat = flat[flat != self.mark]
-        if odd:
-            own = [self.tokenizer.encode(words[k], add_special_tokens=False).ids for k in odd]
-            counts[odd] = [len(ids) for ids in own]
-            ends = np.cumsum(counts[plain])
-            pieces = dict(zip(plain, np.split(flat, ends[:-1]))) | {k: np.array(i, np.int32) for k, i in zip(odd, own)}
-            flat = np.concatenate([pieces[k] for k in range(len(words))])
-        return flat, counts
+        counts[letters] = np.diff(ends, prepend=-1)
+        counts[marked] = np.diff(marks, prepend=-1) - 1
+        counts[odd] = [len(ids) for ids in own]
+        # The three kinds end to end, and from there in the order of the words.
+        flat = np.concatenate([one, two[two != self.mark], *[np.array(ids, np.int32) for ids in own]])
+        order = np.concatenate([letters, marked, odd])
+        begin = np.zeros(len(words), np.int64)
+        begin[order] = np.cumsum(counts[order]) - counts[order]
+        stops = np.cumsum(counts)
+        return flat[np.repeat(begin - (stops - counts), counts) + np.arange(len(flat))], counts
+
+    def _trim(self) -> None:
+        """Join the words met lately with the others; of too many, keep those asked for since the last time."""
+        new = self.recent
+        self.known.add(new.hashes, new.first, new.count, new.asked)
+        self.recent = _Index()
+        if len(self.known.hashes) <= REMEMBERED:
+            return
+        old, self.known = self.known, _Index()
+        keep = np.flatnonzero(old.asked)
+        keep = keep if len(keep) <= REMEMBERED // 2 else keep[:0]
+        count = old.count[keep]
+        first = np.cumsum(count) - count
+        self.ids = self.ids[np.repeat(old.first[keep] - first, count) + np.arange(count.sum())]
+        self.known.add(old.hashes[keep], first, count, np.zeros(len(keep), bool))
 
     def look_up(self, raw: bytes, first: np.ndarray, last: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of each word stand in ``ids``, and how many there are. The hashes are distinct and in order."""
-        if len(self.hashes) + len(hashes) > REMEMBERED:
-            self._forget()
-        at = np.searchsorted(self.hashes, hashes)
-        known = np.zeros(len(hashes), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == hashes[inside]
-        new = np.flatnonzero(~known)
-        if len(new):
-            flat, counts = self._encode([raw[a:b].decode() for a, b in zip(first[new].tolist(), last[new].tolist())])
-            starts = len(self.ids) + np.cumsum(counts) - counts
-            place = at[new]
-            self.hashes = np.insert(self.hashes, place, hashes[new])
-            self.first = np.insert(self.first, place, starts)
-            self.count = np.insert(self.count, place, counts)
+        if len(self.recent.hashes) > RECENT:
+            self._trim()
+        begin, many = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        new = np.ones(len(hashes), bool)
+        for index in (self.known, self.recent):
+            held, at = index.find(hashes)
+            begin[held], many[held] = index.first[at], index.count[at]
+            index.asked[at] = True
+            new &= ~held
+        if new.any():
+            spans = zip(first[new].tolist(), last[new].tolist())
+            flat, counts = self._encode([raw[a:b].decode() for a, b in spans])
+            begin[new], many[new] = len(self.ids) + np.cumsum(counts) - counts, counts
+            self.recent.add(hashes[new], begin[new], counts, np.zeros(len(counts), bool))
             self.ids = np.concatenate([self.ids, flat])
-            at = np.searchsorted(self.hashes, hashes)
-        return self.first[at], self.count[at]
-
-
-_KNOWN: dict[str, Words] = {}
+        return begin, many
 
 
 def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of whole texts, each with the end id, end to end, and how many each text has. A null text is empty."""
-    words = _KNOWN.get(path) or _KNOWN.setdefault(path, Words(path))
+    words = kept_by_worker(f"words of {path}", lambda: Words(path))
     data, starts = text_bytes(column)
     n = len(starts) - 1
     first, last, rows = word_spans(data, starts)
@@ -137,7 +186,7 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _rows(path: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, before = TaskContext.get().partitionId(), 0
-        for batch in sized_slices(batches, 1):
+        for batch in sized_slices(batches, 1, size=SLICE):
             flat, counts = encode(path, batch.column(1))
             ends = np.cumsum(counts)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat))
