@@ -14,18 +14,19 @@ That one is cut into sequences whose lengths are powers of two, which need no pa
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from tokenizers import Tokenizer
 
-from reelstat.llm.common import prefix_hashes, sized_slices, span_hashes, table, text_bytes
+from reelstat.llm.common import kept_by_worker, prefix_hashes, sized_slices, span_hashes, table, text_bytes
 
 CAPACITY = 2048
 END_ID = 1
@@ -49,13 +50,24 @@ _ARROW = pa.schema(
 )
 
 
-@functools.cache
-def _codec(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
-    """A byte-level encoder with the vocabulary of a tokenizer file, and which ids end a sentence.
+class _Codec(NamedTuple):
+    # A byte-level encoder with the vocabulary of a tokenizer file, and which ids end a sentence.
+    encoder: tiktoken.Encoding
+    ends: np.ndarray
+    # The file's own tokenizer, and the strings that it turns into ids beside the vocabulary.
+    tokenizer: Tokenizer
+    added: list[str]
 
-    The file's merges in order are the ranks of the encoder, so both give the same ids.
-    """
-    vocabulary = Tokenizer.from_file(path).get_vocab(with_added_tokens=False)
+
+def _codec(path: str) -> _Codec:
+    return kept_by_worker(f"codec of {path}", lambda: _new_codec(path))
+
+
+def _new_codec(path: str) -> _Codec:
+    """The file's merges in order are the ranks of the encoder, so both give the same ids for texts without added strings."""
+    tokenizer = Tokenizer.from_file(path)
+    added = [token.content for token in tokenizer.get_added_tokens_decoder().values()]
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = [b for b in range(256) if b not in printable]
     byte_of = {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(others)}
@@ -67,7 +79,7 @@ def _codec(path: str) -> tuple[tiktoken.Encoding, np.ndarray]:
     ends = np.zeros(max(max(vocabulary.values()), END_ID) + 1, bool)
     for word, number in ranks.items():
         ends[number] = word.rstrip(b" ").endswith((b".", b"!", b"?")) or b"\n" in word
-    return encoder, ends
+    return _Codec(encoder, ends, tokenizer, added)
 
 
 # A character that no entry of the vocabulary joins with others, and a line feed: the mark between words.
@@ -105,13 +117,17 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of whole texts, each with the end id, end to end, and how many each text has.
 
     Every distinct word of the batch, with the blank or line feed before it, is encoded once.
-    Words count as equal when their 64-bit hashes and lengths are.
+    Words count as equal when their 64-bit hashes and lengths are. Texts that hold an added string are encoded whole.
     """
-    encoder = _codec(path)[0]
+    encoder, _, tokenizer, added = _codec(path)
     data, starts = text_bytes(column)
     n_rows = len(starts) - 1
     at_break = (data == 32) | (data == 10)
     simple = _splittable(data, starts, at_break) if len(data) else np.ones(n_rows, bool)
+    special = np.zeros(n_rows, bool)
+    for token in added:
+        special |= pc.match_substring(column, token).fill_null(False).to_numpy(zero_copy_only=False)
+    simple &= ~special
     if not simple.all():
         at_break &= np.repeat(simple, np.diff(starts))
     at_break[starts[:-1][starts[:-1] < len(data)]] = True
@@ -133,7 +149,11 @@ def encode(path: str, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     length[~alone] = stops - begin[~alone]
     parts, used = [joined, _packed([END_ID])], len(joined) + 1
     for k in np.flatnonzero(alone):
-        whole = _packed(encoder.encode_ordinary(raw[first[pick[k]] : last[pick[k]]].decode()))
+        text = raw[first[pick[k]] : last[pick[k]]].decode()
+        if special[row_of[k]]:
+            whole = _packed(tokenizer.encode(text, add_special_tokens=False).ids)
+        else:
+            whole = _packed(encoder.encode_ordinary(text))
         parts.append(whole)
         begin[k], length[k] = used, len(whole)
         used += len(whole)
@@ -205,7 +225,7 @@ def _binary_cuts(start: int, end: int) -> list[int]:
 
 def _packer(path: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = _codec(path)[1]
+        ends = _codec(path).ends
         next_id = TaskContext.get().partitionId() << 40
         # Documents not yet placed: id (and whether it is null), tokens placed before, all tokens, tokens left.
         names, nulls = np.zeros(0, np.int64), np.zeros(0, bool)
