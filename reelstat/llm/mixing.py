@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from reelstat.llm.common import WORD, stored, table
+from reelstat.llm.common import WORD, free_name, scratch, stored, table
 
 # Key buckets of a source.
 BUCKETS = 4096
@@ -32,20 +32,25 @@ def quality_weight(text: Column) -> Column:
     return LEAST_WEIGHT + (1 - LEAST_WEIGHT) * share
 
 
-def keyed(documents: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size in words, sampling key and key bucket of every document."""
+def key_columns(seed: str = SEED) -> dict[str, Column]:
+    """doc_id, source, size in words, sampling key and key bucket of a document."""
     doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     number = F.conv(F.substring(F.md5(F.concat(doc, F.lit(f":{seed}")).cast("binary")), 1, 13), 16, 10)
     uniform = (number.cast("double") + 0.5) / float(1 << 52)
     text = F.col("text").cast("string")
     key = -F.log(uniform) / quality_weight(text)
-    return documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        key.alias("key"),
-        F.least(F.floor((1 - F.exp(-key)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int").alias("bucket"),
-    )
+    return {
+        "doc_id": F.col("doc_id").cast("long"),
+        "source": F.col("source").cast("string"),
+        "size": F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long"),
+        "key": key,
+        "bucket": F.least(F.floor((1 - F.exp(-key)) * BUCKETS), F.lit(BUCKETS - 1)).cast("int"),
+    }
+
+
+def keyed(documents: DataFrame, seed: str = SEED) -> DataFrame:
+    """The :func:`key_columns` of every document."""
+    return documents.select(*[c.alias(name) for name, c in key_columns(seed).items()])
 
 
 def source_targets(sizes: DataFrame) -> DataFrame:
@@ -71,14 +76,11 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return marked.select("source", "source_size", target.alias("target"))
 
 
-def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target and taken words.
+def planned(docs: DataFrame) -> DataFrame:
+    """One row per source of the keyed rows: how many whole epochs it takes, and where the rest of its target ends.
 
-    Needs doc_id, text and source; other columns are ignored. A null text has no words, a null source is a source.
-    Documents with equal keys follow doc_id, then size; repeated rows count each. Empty sources get nothing.
-    The result is a function of the rows alone.
+    The rest ends in ``last_bucket``, of which the buckets ahead hold ``ahead`` words; null if no bucket goes beyond it.
     """
-    docs = stored(keyed(documents, seed), "mix-keys")
     buckets = docs.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
     targets = source_targets(docs.groupBy("source").agg(F.sum("size").alias("source_size")))
     epochs = F.coalesce(F.floor(F.try_divide(F.col("target"), F.col("source_size"))), F.lit(0))
@@ -95,27 +97,36 @@ def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
         .groupBy(summed.source.alias("point_source"))
         .agg(
             F.min("bucket").alias("last_bucket"),
-            F.min_by(F.col("upto") - F.col("words"), "bucket").alias("before"),
+            F.min_by(F.col("upto") - F.col("words"), "bucket").alias("ahead"),
         )
     )
-    plan = stored(
-        targets.join(point, targets.source.eqNullSafe(F.col("point_source")), "left").select(
-            targets.source.alias("plan_source"), "source_size", "target", "epochs", "rest", "last_bucket", "before"
-        ),
-        "mix-plan",
+    return targets.join(point, targets.source.eqNullSafe(F.col("point_source")), "left").select(
+        targets.source.alias("plan_source"), "source_size", "target", "epochs", "rest", "last_bucket", "ahead"
     )
-    planned = docs.join(plan, docs.source.eqNullSafe(plan.plan_source)).drop("plan_source")
-    at_point = planned.filter("bucket = last_bucket")
-    ahead = (
-        Window.partitionBy("source")
-        .orderBy("key", "doc_id", "size")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    room = F.col("rest") - F.col("before") - F.coalesce(F.sum("size").over(ahead), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), room))
+
+
+def _extra_at_border(source: str, rest: str, ahead: str, size: str, *order: str) -> Column:
+    """The words that a row of a source's last bucket adds, of rows in the given order."""
+    before = Window.partitionBy(source).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col(rest) - F.col(ahead) - F.coalesce(F.sum(size).over(before), F.lit(0))
+    return F.greatest(F.lit(0), F.least(F.col(size), room))
+
+
+def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target and taken words.
+
+    Needs doc_id, text and source; other columns are ignored. A null text has no words, a null source is a source.
+    Documents with equal keys follow doc_id, then size; repeated rows count each. Empty sources get nothing.
+    The result is a function of the rows alone.
+    """
+    docs = stored(keyed(documents, seed), "mix-keys")
+    plan = stored(planned(docs), "mix-plan")
+    rows = docs.join(plan, docs.source.eqNullSafe(plan.plan_source)).drop("plan_source")
+    at_border = rows.filter("bucket = last_bucket")
+    extra = _extra_at_border("source", "rest", "ahead", "size", "key", "doc_id", "size")
     sure = F.when(F.col("bucket") < F.col("last_bucket"), F.col("size")).otherwise(F.lit(0))
-    both = at_point.withColumn("extra", part).unionByName(
-        planned.filter("last_bucket is null or bucket <> last_bucket").withColumn("extra", sure)
+    both = at_border.withColumn("extra", extra).unionByName(
+        rows.filter("last_bucket is null or bucket <> last_bucket").withColumn("extra", sure)
     )
     return both.select(
         "doc_id",
@@ -127,35 +138,62 @@ def mix(documents: DataFrame, seed: str = SEED) -> DataFrame:
     )
 
 
-def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: the mix itself. A document stands in it as often as its source's epochs take it.
+def _repeated(rows: DataFrame, columns: list[str], size: Column, epochs: Column, extra: Column, name: str) -> DataFrame:
+    """Each row as often as it is taken whole, and once more with its first words if a part of it is taken."""
+    whole = (epochs + F.when(extra == size, 1).otherwise(0)).cast("int")
+    part = F.when(extra == size, 0).otherwise(extra).cast("int")
+    times = whole + F.when(part > 0, 1).otherwise(0)
+    # An empty list gives no row.
+    listed = F.when((size > 0) & (times > 0), F.sequence(F.lit(1), times)).otherwise(F.array().cast("array<int>"))
+    again = rows.withColumn(name, F.explode(listed))
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), part), " ")
+    text = F.when(F.col(name) > whole, cut).otherwise(F.col("text"))
+    changed = {"text": text, "n_chars": F.length(text).cast("long")}
+    return again.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in columns])
+
 
-    The document at the end of a source's budget adds the words the budget still has room for.
+def mixed_documents(documents: DataFrame, seed: str = SEED) -> DataFrame:
+    """The rows of the mix, with all their columns: a document stands in it as often as its source's epochs take it.
+
+    The document at the end of a source's budget adds the words the budget still has room for. Texts are not shuffled:
+    a row's key tells in the scan what it adds, except in the one bucket of a source where its budget ends. Only the rows
+    of these are written apart and put in order. Rows alike in key, id and size follow the hash of their text.
     """
-    taken = mix(docs).filter("taken > 0").select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("taken").alias("_taken")
+    name = free_name(documents.columns, "mix")
+    keys = keyed(documents, seed)
+    with scratch(documents.sparkSession):
+        plan = stored(planned(stored(keys, "mix-keys")), "mix-plan", outlives=True)
+    mine = plan.select([F.col(c).alias(f"{name}_{c}") for c in plan.columns])
+    of = lambda c: F.col(f"{name}_{c}")
+    # The columns of ``keyed`` beside the row's own.
+    own = documents.select(
+        *[F.col(f"`{c}`") for c in documents.columns],
+        *[c.alias(f"{name}_{k}") for k, c in key_columns(seed).items()],
     )
-    # Rows of equal id, source and size are alike to the mix; each is matched once.
-    order = Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.desc("_taken"))
-    taken = taken.withColumn("_mix_place", F.row_number().over(order))
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    own = Window.partitionBy("doc_id", "source", "_own_size").orderBy(F.md5("text"))
-    placed = docs.withColumn("_own_size", size).withColumn("_own_place", F.row_number().over(own))
-    both = placed.join(
-        taken,
-        placed["doc_id"].eqNullSafe(taken._mix_id)
-        & placed["source"].eqNullSafe(taken._mix_source)
-        & (F.col("_own_size") == F.col("_mix_size"))
-        & (F.col("_own_place") == F.col("_mix_place")),
+    rows = own.join(mine, of("source").eqNullSafe(of("plan_source")))
+    border = F.coalesce(of("bucket") == of("last_bucket"), F.lit(False))
+    extra = F.when(of("bucket") < of("last_bucket"), of("size")).otherwise(F.lit(0))
+    inside = _repeated(rows.filter(~border), documents.columns, of("size"), of("epochs"), extra, f"{name}_time")
+    # Few rows: one bucket of each source.
+    apart = stored(
+        rows.filter(border)
+        .withColumn(f"{name}_row", F.monotonically_increasing_id())
+        .withColumn(f"{name}_hash", F.md5(F.col("text").cast("binary"))),
+        "mix-border",
     )
-    whole = F.floor(F.col("_taken") / F.col("_mix_size")).cast("int")
-    part = (F.col("_taken") % F.col("_mix_size")).cast("int")
-    times = F.sequence(F.lit(1), whole + F.when(part > 0, 1).otherwise(0))
-    repeated = both.withColumn("_mix_time", F.explode(times))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})")), F.lit(1), part), " ")
-    text = F.when(F.col("_mix_time") > whole, cut).otherwise(F.col("text"))
-    columns = {"text": text, "n_chars": F.length(text).cast("long")}
-    return repeated.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+    order = [f"{name}_{c}" for c in ("key", "doc_id", "size", "hash", "row")]
+    part = _extra_at_border(f"{name}_source", f"{name}_rest", f"{name}_ahead", f"{name}_size", *order)
+    added = apart.select(*[F.col(c) for c in apart.columns if c.startswith(f"{name}_")]).select(
+        of("row").alias(f"{name}_of"), part.alias(f"{name}_extra")
+    )
+    placed = apart.join(added, of("row") == of("of"))
+    last = _repeated(placed, documents.columns, of("size"), of("epochs"), of("extra"), f"{name}_time")
+    return inside.unionByName(last)
+
+
+def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pipeline stage: the mix itself."""
+    return mixed_documents(docs)
 
 
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelstat.llm.common import stored, table
+from reelstat.llm.common import free_name, stored, table
 
 SPACE = " \t\n\x0b\f\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
@@ -180,14 +180,6 @@ def judged(documents: DataFrame, name: str) -> DataFrame:
     return joined.select(*[F.col(f"`{c}`") for c in documents.columns])
 
 
-def free_name(columns: list[str], name: str) -> str:
-    """A column name that starts with ``name`` and that no column has, whatever its case."""
-    taken = [c.lower() for c in columns]
-    while any(c.startswith(name.lower()) for c in taken):
-        name += "_"
-    return name
-
-
 def quality_rules(documents: DataFrame) -> tuple[DataFrame, str]:
     """All rows with a struct column of counts, measures, base_failed and kept, and that column's name.
 
