@@ -29,7 +29,18 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.window import Window
 
-from reelstat.llm.common import mix, prefix_hashes, shuffle_width, sized_slices, span_hashes, stored, table, text_bytes
+from reelstat.llm.common import (
+    free_name,
+    mix,
+    prefix_hashes,
+    scratch,
+    shuffle_width,
+    sized_slices,
+    span_hashes,
+    stored,
+    table,
+    text_bytes,
+)
 
 LENGTH = 400
 GRAM = 32
@@ -40,6 +51,8 @@ HOT_BYTES = 1 << 18
 PART = 32
 # Counters of the sketch, and how many of them travel in one row.
 COUNTERS, CHUNK = 1 << 20, 1 << 14
+# Slots that texts are counted by, the share of a slot beyond which it is crowded, and parts of a crowded one.
+SLOTS, CROWD, PARTS = 4096, 8, 32
 # Bytes of text of which the windows are keyed at once.
 SLICE = 1 << 20
 
@@ -483,33 +496,61 @@ def _kept(data: Column, size: Column, runs: Column) -> Column:
     )
 
 
-def remove_repeats(documents: DataFrame, as_text: bool = False) -> DataFrame:
+def _marks(documents: DataFrame) -> DataFrame:
+    """Per text (t1, t2) that has any: its ``runs``, and whether several rows hold it."""
+    spans = repeated_spans(documents)
+    long = documents.select(*text_key()).filter(F.octet_length(F.col("text").cast("string")) >= LENGTH)
+    copies = long.groupBy("t1", "t2").count().filter("count > 1").select("t1", "t2", F.lit(True).alias("copied"))
+    return copies.join(_runs(spans), ["t1", "t2"], "full")
+
+
+def _crowded(documents: DataFrame) -> list[int]:
+    """The slots of texts that hold many times their share of the rows; there are at most SLOTS / CROWD of them."""
+    slot = F.pmod(text_key()[0], F.lit(SLOTS)).alias("slot")
+    sizes = documents.select(slot).groupBy("slot").count()
+    rows = sizes.agg(F.sum("count")).first()[0] or 0
+    return [r["slot"] for r in sizes.filter(F.col("count") > max(CROWD * rows / SLOTS, CROWD)).collect()]
+
+
+def remove_repeats(documents: DataFrame, as_text: bool = False, prefix: str = "_") -> DataFrame:
     """The given rows without text, with ``_n_bytes``, ``_n_removed``, ``_runs`` (start, end) and the ``_kept`` bytes.
 
     Needs text; a null text is empty. Every byte goes that lies in a 400-byte string which starts at another place too,
     of the same text or another; all are judged on the input. Rows that repeat a text of 400 bytes or more lose all of
     it. Texts below 400 bytes stay. With ``as_text`` runs are narrowed to whole characters, so that what is kept is
-    text. Other columns pass through; none may start with an underscore.
+    text. Other columns pass through; none may start with the ``prefix`` of the new ones.
     """
-    spans = repeated_spans(documents)
+    spark = documents.sparkSession
+    with scratch(spark):
+        marks = stored(_marks(documents), "repeat-marks", outlives=True)
+    name = lambda c: f"{prefix}{c}"
+    of = lambda c: F.col(name(c))
+    # The copies of a text are many rows of one key: in crowded slots they are dealt over parts, and the marks repeated.
+    crowded = F.array(*map(F.lit, _crowded(documents))).cast("array<bigint>")
+    in_crowd = lambda key: F.array_contains(crowded, F.pmod(key, F.lit(SLOTS)))
+    parts = F.when(in_crowd(F.col("t1")), F.sequence(F.lit(0), F.lit(PARTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = marks.select(
+        *[F.col(c).alias(name(c)) for c in ("t1", "t2", "copied")],
+        F.col("runs").alias(name("found")),
+        F.explode(parts).alias(name("part")),
+    )
     others = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "text"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    own_part = F.pmod(F.monotonically_increasing_id(), F.lit(PARTS)).cast("int")
     named = documents.select(
-        *others, text.cast("binary").alias("_bytes"), *[k.alias(f"_{n}") for k, n in zip(text_key(), ("t1", "t2"))]
-    ).withColumn("_n_bytes", F.octet_length("_bytes").cast("long"))
-    copies = named.filter(F.col("_n_bytes") >= LENGTH).groupBy("_t1", "_t2").count().filter("count > 1")
-    runs = _runs(spans).toDF("_t1", "_t2", "_found")
-    marks = copies.select("_t1", "_t2", F.lit(True).alias("_copied")).join(runs, ["_t1", "_t2"], "full")
+        *others, text.cast("binary").alias(name("bytes")), *[k.alias(name(n)) for k, n in zip(text_key(), ("t1", "t2"))]
+    ).withColumn(name("part"), F.when(in_crowd(of("t1")), own_part).otherwise(0))
+    named = named.withColumn(name("n_bytes"), F.octet_length(of("bytes")).cast("long"))
     nothing = F.array().cast("array<struct<start: bigint, end: bigint>>")
-    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("_n_bytes").alias("end")))
-    found = F.when(F.col("_copied"), everything).otherwise(F.coalesce("_found", nothing))
-    marked = named.join(marks, ["_t1", "_t2"], "left").withColumn("_runs", found)
+    everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), of("n_bytes").alias("end")))
+    found = F.when(of("copied"), everything).otherwise(F.coalesce(of("found"), nothing))
+    marked = named.join(dealt, [name(c) for c in ("t1", "t2", "part")], "left").withColumn(name("runs"), found)
     if as_text:
-        narrow = F.transform("_runs", lambda r: _whole_characters(F.col("_bytes"), r))
-        marked = marked.withColumn("_runs", F.filter(narrow, lambda r: r["start"] < r["end"]))
-    removed = F.aggregate("_runs", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
-    kept = _kept(F.col("_bytes"), F.col("_n_bytes"), F.col("_runs"))
-    return marked.select(*others, "_n_bytes", removed.alias("_n_removed"), "_runs", kept.alias("_kept"))
+        narrow = F.transform(of("runs"), lambda r: _whole_characters(of("bytes"), r))
+        marked = marked.withColumn(name("runs"), F.filter(narrow, lambda r: r["start"] < r["end"]))
+    removed = F.aggregate(of("runs"), F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["start"])
+    kept = _kept(of("bytes"), of("n_bytes"), of("runs"))
+    return marked.select(*others, of("n_bytes"), removed.alias(name("n_removed")), of("runs"), kept.alias(name("kept")))
 
 
 def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
@@ -521,6 +562,8 @@ def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
         F.col("_n_removed").alias("n_removed"),
         F.size("_runs").cast("long").alias("n_spans"),
         F.sha2("_kept", 256).alias("kept_sha256"),
+        (F.col("_n_bytes") - F.col("_n_removed")).alias("n_kept"),
+        (F.col("_n_removed") > 0).alias("has_repeats"),
     )
 
 
@@ -530,6 +573,8 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     Runs are narrowed to whole characters, so that what is left is text. A document of which nothing is left stays, empty;
     a null text becomes empty.
     """
-    left = remove_repeats(docs, as_text=True).withColumn("_text", F.decode("_kept", "UTF-8"))
-    columns = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    prefix = free_name(docs.columns, "_")
+    left = remove_repeats(docs, as_text=True, prefix=prefix)
+    text = F.decode(F.col(f"{prefix}kept"), "UTF-8")
+    columns = {"text": text, "n_chars": F.length(text).cast("long")}
     return left.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
