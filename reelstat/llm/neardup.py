@@ -23,9 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelstat.llm.common import (
+    free_name,
     lower_ascii,
     mix,
     prefix_hashes,
+    scratch,
     sized_slices,
     span_hashes,
     stored,
@@ -48,10 +50,11 @@ MISS = 1e-5
 BLOCK = 2048
 
 # Of each value of a signature the lower 16 bits are kept to verify; bands are named by all bits.
-SIGNED = "doc_id long, n_shingles long, set_key binary, signature binary, bands binary"
+SIGNED = "doc_id long, text_hash long, n_shingles long, set_key binary, signature binary, bands binary"
 _SIGNED = pa.schema(
     [
         ("doc_id", pa.int64()),
+        ("text_hash", pa.int64()),
         ("n_shingles", pa.int64()),
         ("set_key", pa.binary()),
         ("signature", pa.binary()),
@@ -124,8 +127,8 @@ def _bands(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sized_slices(batches, 1):
-        h, starts = shingle_sets(batch.column(1))
+    for batch in sized_slices(batches, 2):
+        h, starts = shingle_sets(batch.column(2))
         keys: list[bytes | None] = []
         values = np.zeros((batch.num_rows, HASHES), np.uint32)
         for row, (a, b) in enumerate(zip(starts[:-1], starts[1:])):
@@ -139,6 +142,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, bands = values.astype(np.uint16), _bands(values)
         columns = [
             batch.column(0),
+            batch.column(1),
             pa.array(np.diff(starts)),
             pa.array(keys, pa.binary()),
             pa.array([v.tobytes() if k else None for v, k in zip(low, known)], pa.binary()),
@@ -175,8 +179,8 @@ def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             buckets = _matrix(batch.column(1).to_pylist(), np.int64)
-            doc = np.repeat(batch.column(0).to_numpy(), BANDS)
-            yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(doc)], names=["bucket", "doc_id"])
+            node = np.repeat(batch.column(0).to_numpy(), BANDS)
+            yield pa.RecordBatch.from_arrays([pa.array(buckets.ravel()), pa.array(node)], names=["bucket", "node"])
 
 
 def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,7 +222,7 @@ def _block_pairs(table_: pa.Table) -> pa.Table:
     least = least_matches()
     low, high = table_.column("low")[0].as_py(), table_.column("high")[0].as_py()
     chunk = table_.column("chunk").to_numpy()
-    doc, root = table_.column("doc_id").to_numpy(), table_.column("root").to_numpy()
+    doc, root = table_.column("node").to_numpy(), table_.column("root").to_numpy()
     size = table_.column("n_shingles").to_numpy()
     signs = _matrix(table_.column("signature").to_pylist(), np.uint16)
     buckets = _matrix(table_.column("bands").to_pylist(), np.int64)
@@ -245,41 +249,44 @@ def _block_pairs(table_: pa.Table) -> pa.Table:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs (a, b) confirmed on the full sets of their texts."""
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("one"))
-    two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("two"))
+    one, two = texts.toDF("a", "one"), texts.toDF("b", "two")
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "one", "two")
     return both.mapInArrow(_confirm, "a long, b long")
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document.
+def _shared_ids(sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the nodes of the different sets of one id."""
+    several = sets.groupBy("doc_id").agg(F.min("set_key").alias("s0"), F.max("set_key").alias("s1")).filter("s0 <> s1")
+    node = classes.select("set_key", "node")
+    own = sets.select("doc_id", "set_key").join(several, "doc_id").select("set_key", "s0").distinct()
+    ends = own.join(node.withColumnRenamed("node", "a"), "set_key")
+    return ends.join(node.toDF("s0", "b"), "s0").filter("a <> b").select("a", "b")
 
-    Needs doc_id and text; other columns are ignored. Texts without words have no set, are linked with nothing and
-    are kept. Rows that repeat an id are one document for the links; rows with a null id stay by themselves, with a null
-    component, and are kept. An empty table gives no rows.
-    """
-    spark = documents.sparkSession
-    needed = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+def _linked(needed: DataFrame) -> DataFrame:
+    """doc_id, n_shingles and component_id of the rows (doc_id, text_hash, text)."""
     signed = stored(needed.mapInArrow(_sign, SIGNED), "signatures")
     sets = signed.filter("set_key is not null and doc_id is not null")
-    # One representative for all documents of the same set.
+    # One representative text for all documents of the same set, and a number that names the set.
+    first = F.min(F.struct("doc_id", "text_hash")).alias("rep")
     classes = stored(
-        sets.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.min("n_shingles").alias("rep_size")), "classes"
+        sets.groupBy("set_key").agg(first, F.min("n_shingles").alias("n_shingles")).select(
+            "set_key", "rep.doc_id", "rep.text_hash", F.monotonically_increasing_id().alias("node")
+        ),
+        "classes",
     )
-    reps = classes.select(F.col("rep").alias("doc_id"), "set_key")
     rep_signed = stored(
-        sets.join(reps, ["doc_id", "set_key"]).dropDuplicates(["doc_id", "set_key"]).select(
-            "doc_id", "set_key", "n_shingles", "signature", "bands"
-        ),
+        sets.join(classes, ["set_key", "doc_id", "text_hash"])
+        .dropDuplicates(["node"])
+        .select("node", "n_shingles", "signature", "bands"),
         "representatives",
     )
     # Buckets with more than one representative, each with its smallest member.
-    banded = rep_signed.select("doc_id", "bands").mapInArrow(_band_rows, "bucket long, doc_id long")
-    banded = stored(banded, "bands")
-    shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.max("doc_id").alias("top"))
+    banded = stored(rep_signed.select("node", "bands").mapInArrow(_band_rows, "bucket long, node long"), "bands")
+    shared = banded.groupBy("bucket").agg(F.min("node").alias("center"), F.max("node").alias("top"))
     members = stored(banded.join(shared.filter("center < top").drop("top"), "bucket"), "buckets")
-    stars = members.filter("center <> doc_id").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
-    signs = rep_signed.select("doc_id", "n_shingles", "signature")
+    stars = members.filter("center <> node").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+    signs = rep_signed.select("node", "n_shingles", "signature")
     one = signs.toDF("a", "size_a", "sign_a")
     two = signs.toDF("b", "size_b", "sign_b")
     sized = F.lit(WHOLE) * F.least("size_a", "size_b") >= F.lit(PART) * F.greatest("size_a", "size_b")
@@ -288,13 +295,15 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
         .select("a", "b", "sign_a", "sign_b")
         .mapInArrow(_likely, "a long, b long")
     )
-    involved = members.select("doc_id").distinct()
-    texts = stored(needed.join(involved, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
-    links = stored(_verified(likely, texts), "star-links")
+    involved = classes.join(members.select("node").distinct(), "node").select("doc_id", "text_hash", "node")
+    texts = stored(
+        needed.join(involved, ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("node", "text"), "texts"
+    )
+    links = stored(_verified(likely, texts).unionAll(_shared_ids(sets, classes)), "star-links")
     roots = stored(components(links), "star-roots")
     # Buckets that still hold several components: pairs of different components, compared in blocks.
-    labelled = members.join(roots, members.doc_id == roots.node, "left").select(
-        "bucket", members.doc_id, F.coalesce("root", members.doc_id).alias("root")
+    labelled = members.join(roots.withColumnRenamed("node", "of"), members.node == F.col("of"), "left").select(
+        "bucket", members.node, F.coalesce("root", members.node).alias("root")
     )
     mixed = (
         labelled.groupBy("bucket")
@@ -304,25 +313,40 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     )
     chunked = (
         labelled.join(mixed, "bucket")
-        .withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.col("chunks")).cast("int"))
+        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .join(rep_signed.select("doc_id", "n_shingles", "signature", "bands"), "doc_id")
+        .join(rep_signed, "node")
         .select(
             "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"),
-            "chunk", "doc_id", "root", "n_shingles", "signature", "bands",
+            "chunk", "node", "root", "n_shingles", "signature", "bands",
         )
     )
     rest = chunked.groupBy("bucket", "low", "high").applyInArrow(_block_pairs, "a long, b long")
     more = stored(_verified(rest, texts), "block-links")
-    found = components(links.unionAll(more))
-    named = classes.join(found, classes.rep == found.node, "left").select(
-        "set_key", F.coalesce("root", "rep").alias("component")
+    found = components(links.unionAll(more)).withColumnRenamed("node", "of")
+    rooted = classes.join(found, classes.node == found.of, "left").select(
+        "set_key", "doc_id", F.coalesce("root", classes.node).alias("root")
     )
-    # A document may stand in several rows of different texts: its rows share their smallest component.
-    result = signed.join(named, "set_key", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
-    )
-    return result.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component"))
+    named = rooted.join(smallest, "root").select("set_key", "component")
+    # Rows without a set are linked with nothing.
+    result = signed.join(named, "set_key", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
+    return result.select("doc_id", "n_shingles", component.alias("component_id"))
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document.
+
+    Needs doc_id and text; other columns are ignored. Texts without words have no set, are linked with nothing and
+    are kept. Rows that share an id are one document for the links, whatever their texts; rows with a null id take no part,
+    have a null component, and are kept. An empty table gives no rows.
+    """
+    text = F.col("text").cast("string")
+    needed = documents.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    with scratch(documents.sparkSession):
+        found = stored(_linked(needed), "near-duplicates", outlives=True)
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
@@ -331,6 +355,25 @@ def op6_minhash(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pipeline stage: one document of each group stays, that of the smallest id."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == F.col("gone_id"), "left_anti")
+    """Pipeline stage: one row of each group stays, that of the smallest id.
+
+    Of rows that share this id, and of rows with a null id and the same text, the one with the least text hash stays.
+    """
+    name = free_name(docs.columns, "near")
+    found = near_duplicates(docs)
+    per_id = found.filter("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+    # Only ids that go or repeat.
+    fate = per_id.filter("not kept or n > 1").select(
+        F.col("doc_id").alias(f"{name}_id"), F.when(F.col("kept"), "again").otherwise("gone").alias(f"{name}_fate")
+    )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.col("doc_id").cast("long")
+    fated = docs.withColumn(f"{name}_key", key).join(fate, F.col(f"{name}_key") == F.col(f"{name}_id"), "left")
+    fate_of = F.when(F.col(f"{name}_key").isNull(), "again").otherwise(F.coalesce(F.col(f"{name}_fate"), F.lit("stays")))
+    fated = fated.withColumn(f"{name}_fate", fate_of)
+    stay = fated.filter(F.col(f"{name}_fate") == "stays").select(*columns)
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    group = F.when(F.col(f"{name}_key").isNull(), text)
+    again = fated.filter(F.col(f"{name}_fate") == "again").groupBy(F.col(f"{name}_key"), group.alias(f"{name}_text"))
+    one = again.agg(F.min_by(F.struct(*columns), text).alias(f"{name}_row")).select(f"{name}_row.*")
+    return stay.unionAll(one)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -24,7 +25,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def ids_of(texts):
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for t in texts]
 
 
@@ -52,6 +52,17 @@ def test_packing_places_every_id_once(documents):
     assert found == wanted
 
 
+def test_added_tokens_in_texts_are_encoded_as_the_tokenizer_does():
+    import pyarrow as pa
+
+    rng = random.Random(6)
+    parts = ["<|endoftext|>", "a", " word", "\n", "  ", "<|", "endoftext|>", "é."]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 9))) for _ in range(400)]
+    flat, counts = packing.encode(PATH, pa.array(texts))
+    assert [ids.tolist() for ids in np.split(flat, np.cumsum(counts)[:-1])] == ids_of(texts)
+    assert 50256 in flat
+
+
 def test_packing_fills_sequences(documents):
     sequences = collections.defaultdict(list)
     for r in packing.pack(documents, PATH).collect():
@@ -323,5 +334,45 @@ def test_substring_stage_leaves_text(spark):
     assert (rows[1].text, rows[1].n_chars) == ("axy", 3) and rows[2].text == "bz" and rows[3].text == ""
 
 
+CLASHES = ["gone_id", "_t1", "_n_bytes", "_mix_id", "_taken", "_own_size", "mix_row", "near_id", "near_key", "rules_x", "Key"]
+
+
+@pytest.mark.parametrize("stage", [rules.stage, neardup.stage, substrings.stage, mixing.stage])
+def test_stages_keep_columns_whatever_their_names(spark, documents, stage):
+    wide = documents.select("*", *[F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASHES])
+    out = stage(spark, wide, "")
+    assert out.columns == wide.columns
+    rows = out.collect()
+    assert rows and all(r[c] == (None if r.doc_id is None else f"{c} {r.doc_id}") for r in rows for c in CLASHES)
+    plain = stage(spark, documents, "")
+    assert sorted(map(repr, out.select(*documents.columns).collect())) == sorted(map(repr, plain.collect()))
+
+
+def test_scratch_tables_go(spark, documents):
+    import pathlib
+
+    from reelstat.session import shared_dir
+
+    folder = pathlib.Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    assert neardup.near_duplicates(documents).count() == documents.count()
+    assert substrings.remove_repeats(documents).count() == documents.count()
+    kinds = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+    assert kinds == {"near-duplicates", "repeat-marks"}
+
+
+def test_links_of_ids_with_several_texts(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(3)]
+    rows = [(5, texts[0]), (5, texts[1]), (7, texts[0] + " more"), (9, "x " + texts[1]), (11, texts[2]), (11, texts[2])]
+    rows += [(None, texts[2]), (None, texts[2]), (None, "alone")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted(((r.doc_id, r.component_id) for r in neardup.near_duplicates(frame).collect()), key=repr)
+    assert found == sorted([(5, 5), (5, 5), (7, 5), (9, 5), (11, 11), (11, 11)] + [(None, None)] * 3, key=repr)
+    kept = neardup.stage(spark, frame, "").collect()
+    assert sorted([r.doc_id for r in kept], key=repr) == [11, 5, None, None]
+    assert sorted(r.text for r in kept if r.doc_id is None) == sorted([texts[2], "alone"])
+
+
 def test_schema_has_clashing_columns(documents):
     assert documents.columns == [c.split()[0].strip("`") for c in SCHEMA.split(", ")]
