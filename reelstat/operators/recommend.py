@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window, functions as F
 
 from reelstat.functions import ranking, scores, times
-from reelstat.operators import similarity
+from reelstat.operators import neighbour_index
 from reelstat.operators.similarity import DECIMALS
 from reelstat.session import broadcast_if_small, saved
 
@@ -25,8 +27,8 @@ def recent_ratings(history: DataFrame, recent: int, tie: Sequence[str]) -> DataF
     return newest.where(F.col("place") > 1).select("uid", F.col("mid").alias("seen"), "rating")
 
 
-def candidates(requests: DataFrame, rated: DataFrame, vectors: DataFrame, n: int) -> DataFrame:
-    """The ``n`` nearest movies of each rated movie that its user has not rated.
+def candidates(requests: DataFrame, rated: DataFrame, index: str, n: int) -> DataFrame:
+    """The ``n`` nearest movies of each rated movie that its user has not rated, from a stored index of vectors.
 
     A user who rated r movies finds them within the first n + r places of the similarity list, so a list is computed
     just as deep as the users that ask for it need, and is joined in slices. This is exact, and a popular movie is
@@ -35,7 +37,8 @@ def candidates(requests: DataFrame, rated: DataFrame, vectors: DataFrame, n: int
     counts = rated.groupBy("uid").agg(F.count("*").alias("known"))
     deep = requests.join(counts, "uid", "left").withColumn("depth", n + F.coalesce("known", F.lit(0)))
     asked = saved(deep.groupBy("mid").agg(F.max("depth").alias("depth")))
-    lists = similarity.nearest_of(vectors, asked).withColumn("slice", F.floor((F.col("place") - 1) / SLICE))
+    lists = neighbour_index.search(requests.sparkSession, index, asked)
+    lists = lists.withColumn("slice", F.floor((F.col("place") - 1) / SLICE))
     slices = F.sequence(F.lit(0).cast("long"), F.floor((F.col("depth") - 1) / SLICE))
     asks = deep.select("uid", "mid", "depth", F.explode(slices).alias("slice"))
     near = (
@@ -49,14 +52,63 @@ def candidates(requests: DataFrame, rated: DataFrame, vectors: DataFrame, n: int
     return best.select("uid", "mid", F.col("mid2").alias("candidate"))
 
 
-def _dot(one: Column, two: Column) -> Column:
-    return F.aggregate(F.zip_with(one, two, lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
+def _likenesses(hi: float):
+    """From requests (uid, mid, near, recent) to what each candidate's score is made of.
+
+    ``near`` and ``recent`` are lists of structs with a unit vector. A recent movie without a direction is like nothing;
+    recent movies that point away from the candidate do not count.
+    """
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[] for _ in range(4)]
+            requests: list[int] = []
+            for near, seen in zip(batch.column(2), batch.column(3)):
+                near, seen = near.values, seen.values
+                width = len(near.field("unit")[0])
+                mine = near.field("unit").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                known = seen.field("unit").is_valid().to_numpy(zero_copy_only=False)
+                theirs = np.zeros((len(seen), width))
+                directed = seen.field("unit").filter(pa.array(known)).flatten().to_numpy(zero_copy_only=False)
+                theirs[known] = directed.reshape(-1, width)
+                likeness = np.round(mine @ theirs.T, DECIMALS)
+                counts = likeness >= 0
+                rating = seen.field("rating").to_numpy(zero_copy_only=False)
+                parts = (
+                    near.field("candidate").to_numpy(),
+                    np.where(counts, likeness * rating, 0.0).sum(axis=1),
+                    counts.sum(axis=1),
+                    (counts & (rating > hi)).sum(axis=1),
+                )
+                for list_, part in zip(out, parts):
+                    list_.append(part)
+                requests.append(len(mine))
+            if requests:
+                at = pa.array(np.repeat(np.arange(len(requests)), requests))
+                columns = [batch.column(0).take(at), batch.column(1).take(at), *[pa.array(np.concatenate(c)) for c in out]]
+                yield pa.RecordBatch.from_arrays(columns, names=["uid", "mid", "candidate", "total", "n", "high"])
+
+    return compare
+
+
+def _compared(picked: DataFrame, latest: DataFrame, unit: DataFrame, hi: float) -> DataFrame:
+    """(uid, mid, candidate, total, n, high) of every candidate: the sum of likeness by rating over the recent movies that
+    count, how many these are, and how many of them are rated above ``hi``.
+
+    A request has a bounded number of candidates and a user a bounded number of recent movies, so both fit a row.
+    """
+    mine = picked.join(unit.withColumnRenamed("mid", "candidate"), "candidate")
+    near = mine.groupBy("uid", "mid").agg(F.collect_list(F.struct("candidate", "unit")).alias("near"))
+    seen = latest.join(unit.withColumnRenamed("mid", "seen"), "seen", "left")
+    recent = seen.groupBy("uid").agg(F.collect_list(F.struct(F.col("rating").cast("double").alias("rating"), "unit")).alias("recent"))
+    both = near.join(recent, "uid").select("uid", "mid", "near", "recent")
+    return both.mapInArrow(_likenesses(hi), "uid long, mid long, candidate long, total double, n long, high long")
 
 
 def realtime_recommend(
     events: DataFrame,
     ratings: DataFrame,
-    vectors: DataFrame,
+    index: str,
     movies: DataFrame,
     as_of: dt.date | str,
     n: int = 30,
@@ -67,10 +119,10 @@ def realtime_recommend(
 ) -> DataFrame:
     """Ranked recommendations for every rating event (uid, mid).
 
-    ``vectors`` are the features of the movies (mid, vector); similarities are computed for the asked movies only and no
-    table of pairs is kept. ``tie`` orders ratings of the same date. Equal events are computed once and reported as
-    often as they came. The events and the ratings of their users are used several times, so they are saved once
-    instead of reading the whole rating table again.
+    ``index`` is the folder of a stored :mod:`neighbour_index` of the movies' vectors: similarities are computed for the asked
+    movies only, and no table of pairs is kept. ``tie`` orders ratings of the same date. Equal events are computed once and
+    reported as often as they came. The events and the ratings of their users are used several times, so they are saved
+    once instead of reading the whole rating table again.
     """
     requests = saved(events.groupBy("uid", "mid").agg(F.count("*").alias("copies")))
     users = broadcast_if_small(requests).select("uid")
@@ -80,28 +132,16 @@ def realtime_recommend(
     latest = recent_ratings(history, recent, tie)
     rated = history.select("uid", "mid").distinct()
 
-    picked = candidates(requests, rated, vectors, n)
-    # Directions of the candidates and of the few recent movies of a user meet by user.
-    vector = F.col("vector").cast("array<double>")
-    sized = vectors.select("mid", vector.alias("vector"), F.sqrt(_dot(vector, vector)).alias("length"))
-    # A vector of zeros has no direction and is like nothing.
-    unit = sized.where(F.col("length") > 0).select("mid", F.transform("vector", lambda x: x / F.col("length")).alias("unit"))
-    mine = picked.join(unit.withColumnRenamed("mid", "candidate"), "candidate")
-    seen = latest.join(unit.withColumnRenamed("mid", "seen").withColumnRenamed("unit", "seen_unit"), "seen", "left")
-    compared = mine.join(seen, "uid")
-    likeness = F.coalesce(F.round(_dot(F.col("unit"), F.col("seen_unit")), DECIMALS), F.lit(0.0))
-    high = F.count_if(F.col("rating") > hi)
-    low = F.count_if(~(F.col("rating") > hi))
+    picked = candidates(requests, rated, index, n)
+    # A vector of zeros has no direction, stands in no index and is like nothing.
+    unit = events.sparkSession.read.schema(neighbour_index.MEMBER).parquet(f"{index}/members").select("mid", "unit")
+    compared = _compared(picked, latest, unit, hi).where("n > 0")
     level = (
-        F.avg(likeness * F.col("rating"))
-        + scores.log10_count(high)
-        + penalty_sign * scores.log10_count(low)
-    )
-    levels = (
-        compared.where(likeness >= 0)
-        .groupBy("uid", "mid", "candidate")
-        .agg(F.round(level, DECIMALS).alias("level"))
+        F.col("total") / F.col("n")
+        + scores.log10_count(F.col("high"))
+        + penalty_sign * scores.log10_count(F.col("n") - F.col("high"))
     )
+    levels = compared.select("uid", "mid", "candidate", F.round(level, DECIMALS).alias("level"))
     shown = movies.where(F.col("off_shelf") == 0).select(
         F.col("mid").alias("candidate"), "movie_name", F.lit(0.0).alias("hot_degree"),
         "img_urls", "rating_num", "categories",

@@ -15,6 +15,7 @@ from reelstat.operators import (
     hot_movies,
     leaderboards,
     logins,
+    neighbour_index,
     popularity,
     recommend,
     sessions,
@@ -26,6 +27,7 @@ from reelstat.plans.domain import AS_OF, Domain, StreamedDomain
 from reelstat.session import scratch_path
 from reelstat.sinks.tables import write_batch
 from reelstat.sources import lines, streams
+from reelstat.sources.rating_store import RatingStore
 from reelstat.streaming import (
     hot_movies as stream_hot,
     late as stream_late,
@@ -143,11 +145,18 @@ def newest_ratings(d: Domain) -> DataFrame:
     return ratings.groupBy("uid").agg(F.max_by("mid", position).alias("mid"))
 
 
+def _index(d: Domain) -> str:
+    """The stored index of the movies' vectors."""
+    path = scratch_path(d.spark, "neighbour-index")
+    neighbour_index.build(d.vectors, path)
+    return path
+
+
 def realtime_recommend(d: Domain) -> DataFrame:
     found = recommend.realtime_recommend(
         newest_ratings(d),
         d.ratings,
-        d.vectors,
+        _index(d),
         d.movies,
         AS_OF,
         tie=Domain.RATING_TIE,
@@ -385,13 +394,16 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
     fields = [F.col("uid").cast("string"), F.col("mid").cast("string"), F.lit("80"), F.lit(AS_OF)]
     newest_ratings(d).select(F.concat_ws("|", *fields).alias("value")).write.text(arrived)
     events = lines.parse_ratings(streams.file_lines(spark, arrived))
+    schema = "uid long, mid long, rating double, date string, l_orderkey long, l_linenumber int, l_suppkey long"
+    store, index = RatingStore(spark, scratch_path(spark, "ratings"), schema), _index(d)
+    store.create(d.ratings)
     found = _streamed(
         spark,
         "recommend",
         lambda table, state: stream_recommend.start_recommendations(
             events,
-            lambda: d.ratings,
-            lambda: d.vectors,
+            store,
+            index,
             lambda: d.movies,
             table,
             state,

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 
 from reelstat import schemas
-from reelstat.operators import content, recommend, similarity
+from reelstat.operators import content, neighbour_index, recommend, similarity
 
 AS_OF = "2020-06-03"
 
@@ -167,7 +167,66 @@ def directions(pick, movies):
     return vectors, {k: s for k, s in pairs.items() if s}
 
 
-def test_a_user_of_very_many_ratings_finds_the_deep_places(table):
+@pytest.fixture
+def indexed(vectors, tmp_path_factory):
+    """The folder of an index of (mid, vector) rows."""
+
+    def build(values, **options):
+        path = str(tmp_path_factory.mktemp("index") / "i")
+        neighbour_index.build(vectors(dict(values)), path, **options)
+        return path
+
+    return build
+
+
+def clustered(pick, groups=30, each=30, width=6):
+    """Unit-like vectors around a few directions, a crowd of equal ones, and one of zeros."""
+    out = {}
+    for g in range(groups):
+        middle = [pick.gauss(0, 1) for _ in range(width)]
+        for k in range(each):
+            out[g * each + k] = [x + pick.gauss(0, 0.05) for x in middle] if g else list(middle)
+    out[-1] = [0.0] * width
+    return out
+
+
+@pytest.mark.parametrize("part", [neighbour_index.PART, 7])
+def test_the_index_finds_exactly_the_nearest(spark, table, indexed, monkeypatch, part):
+    monkeypatch.setattr(neighbour_index, "PART", part)
+    values = clustered(random.Random(5))
+    path = indexed(values)
+    asked = {m: 3 + m % 50 for m in list(values)[::17]} | {-1: 4, 10**6: 4, 2: 895}
+    found = {}
+    for r in neighbour_index.search(spark, path, table(list(asked.items()), "mid long, depth long")).collect():
+        found.setdefault(r.mid, []).append((r.place, r.mid2, r.score))
+    pairs = brute(values)
+    for mid, depth in asked.items():
+        wanted = sorted((-s, b) for (a, b), s in pairs.items() if a == mid)[:depth]
+        assert sorted(found.get(mid, [])) == [(k + 1, b, pytest.approx(-s, abs=1e-9)) for k, (s, b) in enumerate(wanted)]
+
+
+def test_the_index_leaves_groups_out(spark, table, indexed):
+    values = clustered(random.Random(5))
+    path = indexed(values, centres=60)
+    index = neighbour_index.centres(spark, path)
+    units = spark.read.schema(neighbour_index.MEMBER).parquet(f"{path}/members").select("mid", "unit").where("mid % 9 = 0")
+    asked = units.selectExpr("mid", "10L as depth", "unit", "0.9D as floor")
+    first = neighbour_index.visits(asked, index, again=False).count()
+    second = neighbour_index.visits(asked, index, again=True).count()
+    assert asked.count() <= first and first + second < 0.4 * asked.count() * len(index.group)
+    everything = "Cartesian" not in neighbour_index.search(spark, path, asked.select("mid", "depth"))._jdf.queryExecution().toString()
+    assert everything
+    # Members of one group are read from few row groups: the condition reaches the files.
+    plan = spark.read.schema(neighbour_index.MEMBER).parquet(f"{path}/members").where("group = 3")._jdf.queryExecution().toString()
+    assert "EqualTo(group,3)" in plan
+
+
+def test_an_index_of_nothing(spark, table, indexed):
+    path = indexed({1: [0.0, 0.0]})
+    assert neighbour_index.search(spark, path, table([(1, 3)], "mid long, depth long")).count() == 0
+
+
+def test_a_user_of_very_many_ratings_finds_the_deep_places(table, indexed):
     pick = random.Random(2)
     movies = range(1, 1400)
     vectors = [(m, [1.0, m / 1400]) for m in movies]
@@ -175,7 +234,7 @@ def test_a_user_of_very_many_ratings_finds_the_deep_places(table):
     frame = recommend.realtime_recommend(
         table([(1, 5), (2, 5)], "uid long, mid long"),
         table(history + [(2, 3, 50.0, "2020-01-01"), (2, 4, 50.0, "2020-01-02")], "uid long, mid long, rating double, date string"),
-        table(vectors, "mid long, vector array<double>"),
+        indexed(vectors),
         info(table, *movies),
         AS_OF,
     )
@@ -184,7 +243,7 @@ def test_a_user_of_very_many_ratings_finds_the_deep_places(table):
     assert {m for u, m in found if u == 2} == {1, 2, *range(6, 34)}
 
 
-def test_recommendations_follow_the_specification(table):
+def test_recommendations_follow_the_specification(table, indexed):
     pick = random.Random(11)
     movies = range(1, 120)
     vectors, pairs = directions(pick, movies)
@@ -199,7 +258,7 @@ def test_recommendations_follow_the_specification(table):
     frame = recommend.realtime_recommend(
         table(events, "uid long, mid long"),
         table(history, "uid long, mid long, rating double, date string"),
-        table(vectors, "mid long, vector array<double>"),
+        indexed(vectors),
         info(table, *movies, off=off),
         AS_OF,
     )
@@ -209,14 +268,13 @@ def test_recommendations_follow_the_specification(table):
     assert [f[4] for f in found] == pytest.approx([e[4] for e in expected], abs=1e-9)
 
 
-def test_recommendations_need_history_and_repeat_with_the_event(table):
+def test_recommendations_need_history_and_repeat_with_the_event(table, indexed):
     # Cosines: 1 and 2 0.5, 1 and 3 0.4, 2 and 8 0.6.
-    vectors = table(
+    vectors = indexed(
         [
             (1, [1.0, 0.0, 0.0, 0.0, 0.0]), (2, [0.5, 0.6, 0.39**0.5, 0.0, 0.0]), (3, [0.4, 0.0, 0.0, 0.84**0.5, 0.0]),
             (8, [0.0, 1.0, 0.0, 0.0, 0.0]), (9, [0.0, 0.0, 0.0, 0.0, 1.0]),
-        ],
-        "mid long, vector array<double>",
+        ]
     )
     history = [(10, 9, 80.0, "2020-01-01")] + [(20, m, 90.0, f"2020-01-{m:02d}") for m in (8, 9)]
     frame = recommend.realtime_recommend(

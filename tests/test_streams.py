@@ -1,15 +1,22 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import os
 
 import pytest
 from conftest import rows
 
 from reelstat import schemas
-from reelstat.operators import hot_movies as batch_hot, logins as batch_logins, visitors as batch_visitors
+from reelstat.operators import (
+    hot_movies as batch_hot,
+    logins as batch_logins,
+    neighbour_index,
+    visitors as batch_visitors,
+)
 from reelstat.sinks.tables import write_batch
 from reelstat.sources import lines, streams
+from reelstat.sources.rating_store import RatingStore
 from reelstat.streaming import hot_movies, late, logins, recommend, run, visitors
 
 
@@ -183,17 +190,18 @@ def test_lock_table_keeps_the_latest_lock(spark, table, tmp_path):
     assert rows(spark.read.parquet(path), *schema.replace(" long", "").split(", ")) == [(1, 30), (2, 50), (3, 40)]
 
 
-def test_recommendation_stream(spark, feed, table, tmp_path):
-    feed.add((20, 1, 80, "2017-03-14"), (20, 1, 80, "2017-03-14"))
-    feed.add(("x", 1, 80, "2017-03-14"), (20, 2, 80, "2017-03-14"))
-    history = table(
-        [(20, m, 90.0, f"2020-01-{m:02d}") for m in (8, 9)], "uid long, mid long, rating double, date string"
-    )
+RATING = "uid long, mid long, rating double, date string"
+
+
+def _recommending(spark, feed, table, tmp_path, history, keep):
     # Cosines: 1 and 3 0.4, 3 and 8 0.6, 2 and 3 0.1.
     vectors = table(
         [(1, [1.0, 0.0, 0.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (3, [0.4, 0.1, 0.6, 0.47**0.5]), (8, [0.0, 0.0, 1.0, 0.0])],
         "mid long, vector array<double>",
     )
+    neighbour_index.build(vectors, str(tmp_path / "index"))
+    store = RatingStore(spark, str(tmp_path / "ratings"), RATING, parts=8)
+    store.create(table(history, RATING))
     movies = table(
         [(3, "m", "i", 1.0, "c", 0)],
         "mid long, movie_name string, img_urls string, rating_num double, categories string, off_shelf int",
@@ -201,19 +209,50 @@ def test_recommendation_stream(spark, feed, table, tmp_path):
     finish(
         recommend.start_recommendations(
             lines.parse_ratings(feed.lines()),
-            lambda: history,
-            lambda: vectors,
+            store,
+            str(tmp_path / "index"),
             lambda: movies,
             str(tmp_path / "o"),
             str(tmp_path / "c"),
             "2020-06-03",
             interval=None,
+            keep=keep,
         )
     )
-    found = spark.read.parquet(str(tmp_path / "o"))
-    assert rows(found, "batch_id", "uid", "rated_mid", "copy", "mid", "score") == [
-        (0, 20, 1, 1, 3, 54.0), (0, 20, 1, 2, 3, 54.0), (1, 20, 2, 1, 3, 54.0)
-    ]
+    return store, rows(spark.read.parquet(str(tmp_path / "o")), "batch_id", "uid", "rated_mid", "copy", "mid", "score")
+
+
+def test_recommendation_stream(spark, feed, table, tmp_path):
+    feed.add((20, 1, 80, "2017-03-14"), (20, 1, 80, "2017-03-14"))
+    feed.add(("x", 1, 80, "2017-03-14"), (20, 2, 80, "2017-03-14"))
+    history = [(20, m, 90.0, f"2020-01-{m:02d}") for m in (8, 9)]
+    store, found = _recommending(spark, feed, table, tmp_path, history, keep=False)
+    assert found == [(0, 20, 1, 1, 3, 54.0), (0, 20, 1, 2, 3, 54.0), (1, 20, 2, 1, 3, 54.0)]
+    assert store.table().count() == 2
+
+
+def test_a_stream_keeps_its_ratings(spark, feed, table, tmp_path):
+    feed.add((20, 1, 80, "2020-03-14"))
+    feed.add((20, 2, 80, "2020-03-15"), (21, 1, 10, "2020-03-15"))
+    history = [(20, 8, 90.0, "2020-01-01")]
+    store, found = _recommending(spark, feed, table, tmp_path, history, keep=True)
+    # The newest rating is the event itself; 21 has rated nothing before, 20 movie 8 and then 1 too.
+    assert found == [(0, 20, 1, 1, 3, 54.0), (1, 20, 2, 1, 3, pytest.approx((0.6 * 90 + 0.4 * 80) / 2 + math.log10(2)))]
+    assert rows(store.table(), "uid", "mid") == [(20, 1), (20, 2), (20, 8), (21, 1)]
+    store.append(table([(30, 5, 1.0, "2020-03-16")], RATING), 1)
+    assert rows(store.table(), "uid", "mid") == [(20, 1), (20, 8), (30, 5)]
+
+
+def test_the_rating_store_reads_the_parts_of_its_users(spark, table, tmp_path):
+    store = RatingStore(spark, str(tmp_path / "r"), RATING, parts=16)
+    store.create(table([(u % 100, u, 1.0, "2020-01-01") for u in range(1000)], RATING))
+    few = store.of_users(table([(7,), (8,), (7,), (None,)], "uid long"))
+    assert rows(few, "uid", "mid") == sorted(((u % 100, u) for u in range(1000) if u % 100 in (7, 8)), key=repr)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "part#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    parts = {r[0] for r in store.table().where("uid in (7, 8)").select("part").distinct().collect()}
+    assert len(parts) <= 2 < store.table().select("part").distinct().count()
+    assert store.of_users(table([], "uid long")).count() == 0
 
 
 def test_console(feed, tmp_path):
