@@ -10,7 +10,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from reelstat.operators import area, content, funnel, leaderboards, popularity, sessions, similarity
+from reelstat.functions import times
+from reelstat.operators import area, content, funnel, leaderboards, neighbour_index, popularity, sessions, similarity
 from reelstat.params import JobParams
 from reelstat.session import scratch_path
 from reelstat.sinks.tables import append_table
@@ -58,13 +59,17 @@ def run_leaderboards(
 def run_similarity(
     movies: DataFrame, as_of: dt.date | str, out: str, num_features: int = 500, n: int = 30
 ) -> None:
-    """Append the similarity table and the similar movies of every movie."""
+    """Append the similarities above the threshold, the similar movies of every movie, and an index of the vectors.
+
+    The similarity of any other pair is computed from the index when it is asked for; no matrix is written.
+    """
     features = content.content_features(movies, num_features).select("mid", "vector")
     vectors = _stored(features, "features")
-    pairs = similarity.similarity_matrix(vectors)
+    nearest = _stored(similarity.nearest_movies(vectors, n), "nearest")
+    pairs = nearest.select("mid", "mid2", "score")
     append_table(similarity.nest_similarity(pairs, as_of), f"{out}/mid2_similar_score")
-    similar = similarity.similar_movies_from_vectors(vectors, movies, as_of, n=n)
-    append_table(similarity.as_document(similar), f"{out}/similar_movies")
+    append_table(similarity.as_document(similarity.with_info(nearest, movies, as_of)), f"{out}/similar_movies")
+    neighbour_index.build(vectors, f"{out}/neighbour_index/date={times.as_text(as_of)}")
 
 
 def _chosen(actions: DataFrame, params: JobParams) -> DataFrame:

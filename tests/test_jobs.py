@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 
 import __spark_entry__ as entry
-from reelstat.operators import sessions
+from reelstat.operators import neighbour_index, sessions
 from reelstat.params import JobParams
 from reelstat.plans import jobs
 from reelstat.plans.domain import AS_OF, Domain
@@ -39,7 +39,14 @@ def test_similarity(spark, domain, tmp_path):
     jobs.run_similarity(domain.movies, AS_OF, str(tmp_path), n=5)
     documents = spark.read.parquet(f"{tmp_path}/similar_movies").collect()
     assert documents and all(len(d.simliarMovies) <= 5 for d in documents)
-    assert spark.read.parquet(f"{tmp_path}/mid2_similar_score").select("mid").distinct().count() == 200
+    stored = spark.read.parquet(f"{tmp_path}/mid2_similar_score")
+    assert stored.select("mid").distinct().count() == 200
+    # A movie keeps its nearest movies, not a row of a matrix; the index answers for the rest.
+    assert stored.selectExpr("max(size(mid2Score))").first()[0] == 5
+    one = documents[0]
+    asked = spark.createDataFrame([(one.mid, 5)], "mid long, depth long")
+    found = neighbour_index.search(spark, f"{tmp_path}/neighbour_index/date={AS_OF}", asked).orderBy("place").collect()
+    assert [r.mid2 for r in found] == [m.mid for m in one.simliarMovies]
 
 
 def test_sessions(spark, domain, tmp_path):

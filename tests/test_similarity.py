@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -83,6 +84,49 @@ def test_wide_vectors_get_smaller_blocks(vectors, monkeypatch):
     assert found == pytest.approx(expected, abs=1e-9)
 
 
+def texts(pick, count=3000):
+    """Sparse vectors as of texts: a few words of one topic, and one of many that all share."""
+    out = {}
+    for mid in range(count):
+        topic = pick.randrange(40)
+        vector = [0.0] * 401
+        for _ in range(5):
+            vector[topic * 10 + pick.randrange(10)] = pick.uniform(1, 3)
+        vector[400] = 0.2
+        out[mid] = vector
+    return out
+
+
+def test_pairs_of_blocks_are_left_out_without_a_loss(vectors):
+    values = texts(random.Random(7), 900)
+    placed = similarity.dealt(similarity._sparse(vectors(values)), 60).persist()
+    blocks = placed.select("block").distinct().count()
+    pairs = {(r.low, r.high) for r in similarity.block_pairs(placed, 0.1).collect()}
+    assert 15 <= blocks <= 17 and len(pairs) < 0.5 * blocks * (blocks + 1) / 2
+    # Strips of few blocks give the same pairs; with no threshold the shared feature lets all through.
+    assert {(r.low, r.high) for r in similarity.block_pairs(placed, 0.1, strip_blocks=4).collect()} == pairs
+    assert similarity.block_pairs(placed).count() == blocks * (blocks + 1) // 2
+    of = {r.mid: r.block for r in placed.collect()}
+    wanted = {pair: score for pair, score in brute(values).items() if score > 0.1}
+    assert all((min(of[a], of[b]), max(of[a], of[b])) in pairs for a, b in wanted)
+    found = {(r.mid, r.mid2): r.score for r in similarity.similarity_matrix(vectors(values), 0.1, block_rows=60).collect()}
+    assert found == pytest.approx(wanted, abs=1e-9)
+
+
+def test_a_leading_feature_fills_several_blocks(vectors):
+    values = {m: [1.0, 0.0] for m in range(1000)} | {m: [0.1, 1.0] for m in range(1000, 1100)}
+    sizes = similarity.dealt(similarity._sparse(vectors(values)), 100).groupBy("block").count().collect()
+    assert len(sizes) == 11 and max(r["count"] for r in sizes) < 150
+
+
+def test_rows_that_cannot_reach_the_threshold_take_no_part():
+    block = similarity._Block(np.array([1, 2, 3]), np.array([0, 0, 1, 2]), np.array([0, 5, 5, 9]), np.array([0.6, 0.8, 1.0, 1.0]))
+    other = similarity._Block(np.array([7]), np.array([0, 0]), np.array([5, 8]), np.array([0.3, 0.95]))
+    kept = block.reaching(other, 0.25)
+    assert kept.mids.tolist() == [2] and kept.row.tolist() == [0] and kept.feature.tolist() == [5]
+    assert block.reaching(other, 0.2).mids.tolist() == [1, 2]
+
+
 def info(table, *mids, off=()):
     return table(
         [(m, f"m{m}", f"i{m}", 7.0, "a b|c", int(m in off)) for m in mids],
