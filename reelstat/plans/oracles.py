@@ -350,8 +350,9 @@ line AS (
           CASE event_type WHEN 'purchase' THEN 'play' ELSE event_type END AS event,
           epoch_us(ts) // 1000 AS timestamp, event_id FROM event))"""
 
-# Rows arrive in four stretches of time, every 97th in the last; late ones come after their hour has closed.
-ARRIVED = EVENT + """,
+def arrived(late_ms: int) -> str:
+    """Rows arrive in four stretches of time, every 97th in the last; late ones come after their hour has closed."""
+    return EVENT + f""",
 part AS (
   SELECT user_id AS uid, '10.0.0.' || (user_id % 256) AS ip, k AS mid,
          CASE event_type WHEN 'purchase' THEN 'play' ELSE event_type END AS event,
@@ -361,10 +362,17 @@ numbered AS (
   FROM part, (SELECT min(timestamp) AS lo, max(timestamp) AS hi FROM part)),
 newest AS (SELECT arrival, max(timestamp) AS t FROM numbered GROUP BY 1),
 judged AS (
-  SELECT n.*, coalesce((timestamp // 3600000 + 1) * 3600000 <= (SELECT max(t) FROM newest w WHERE w.arrival < n.arrival) - 120000, false) AS late
+  SELECT n.*, coalesce((timestamp // 3600000 + 1) * 3600000 <= (SELECT max(t) FROM newest w WHERE w.arrival < n.arrival) - {late_ms}, false) AS late
   FROM numbered n)"""
 
 
+ARRIVED = arrived(120_000)
+ON_TIME = f"""
+visit AS (SELECT DISTINCT timestamp // 3600000 AS hour, uid, ip FROM judged WHERE NOT late),
+total AS (SELECT hour, count(*) AS count FROM visit GROUP BY 1)
+{HOUR_COUNT} FROM total"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "movie_activity_counts": f"""
@@ -469,11 +477,11 @@ WHERE date * 1000 BETWEEN epoch_ms(TIMESTAMP '2024-01-05') AND epoch_ms(TIMESTAM
         "uv_approx": f"""
 WITH {LOG}, total AS (SELECT DISTINCT timestamp // 3600000 AS hour FROM log)
 SELECT "startTime", "endTime", true AS close FROM (SELECT * FROM ({HOUR_COUNT.replace(', count', '')} FROM total))""",
-        "uv_on_time_stream": f"""
-WITH {ARRIVED},
-visit AS (SELECT DISTINCT timestamp // 3600000 AS hour, uid, ip FROM judged WHERE NOT late),
-total AS (SELECT hour, count(*) AS count FROM visit GROUP BY 1)
-{HOUR_COUNT} FROM total""",
+        "uv_on_time_stream": f"WITH {ARRIVED}, {ON_TIME}",
+        "uv_running_stream": f"WITH {ARRIVED}, {ON_TIME}",
+        "uv_corrected_stream": f"""
+WITH {arrived(60_000 + 10 * 86_400_000)}, {ON_TIME}
+WHERE (hour + 1) * 3600000 <= (SELECT max(timestamp) FROM judged) - 60000""",
         "uv_late_stream": f"WITH {ARRIVED} SELECT uid, ip, mid, event, timestamp FROM judged WHERE late",
         "uv_exact": UV_EXACT,
         "uv_bitmap": UV_BITMAP,

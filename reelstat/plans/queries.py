@@ -24,8 +24,7 @@ from reelstat.operators import (
 )
 from reelstat.plans import domain
 from reelstat.plans.domain import AS_OF, Domain, StreamedDomain
-from reelstat.session import scratch_path
-from reelstat.sinks.tables import write_batch
+from reelstat.session import saved, scratch_path
 from reelstat.sources import lines, streams
 from reelstat.sources.rating_store import RatingStore
 from reelstat.streaming import (
@@ -326,25 +325,28 @@ def _streamed(spark: SparkSession, name: str, start: Callable[[str, str], Stream
     return spark.read.parquet(table)
 
 
+# Allowed disorder of the streams that hold nothing back.
+DELAY_MS = 120_000
+
+
 def uv_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Exact visitors of the closed hours."""
-    events = streams.event_time(StreamedDomain(spark, folder).log_events, stream_visitors.WATERMARK)
-    counts = stream_visitors.uv_closed(events)
-    return _streamed(spark, "uv", lambda table, state: run.to_table(counts, table, state))
+    """Exact visitors of the closed hours, as they were reported."""
+    place = scratch_path(spark, "uv")
+    events = StreamedDomain(spark, folder).log_events
+    stream_visitors.start_visitor_counts(events, place, f"{place}/checkpoint", DELAY_MS, 0).awaitTermination()
+    return stream_visitors.reported_counts(spark, place)
 
 
 def uv_stream_bitmap(spark: SparkSession, folder: str) -> DataFrame:
-    """Bitmap count of every hour from the running block reports."""
-    events = streams.event_time(StreamedDomain(spark, folder).log_events, stream_visitors.WATERMARK)
-    blocks = stream_visitors.uv_bitmap_blocks(events)
-    reported = _streamed(
-        spark,
-        "uv-bitmap",
-        lambda table, state: run.to_batches(
-            blocks, lambda batch, number: write_batch(batch, number, table), state, mode="update"
-        ),
-    )
-    return stream_visitors.uv_of_blocks(reported)
+    """Bitmap count of every hour, from stored blocks that arrivals are merged into."""
+    place = scratch_path(spark, "uv-bitmap")
+
+    # Nothing is too late here: the batch count has all rows.
+    def start(events: DataFrame) -> StreamingQuery:
+        return stream_visitors.start_visitor_bitmaps(events, place, f"{place}/checkpoint", DELAY_MS, 100 * stream_late.DAY_MS)
+
+    _in_arrivals(spark, folder, "uv-bitmap-arrived", start)
+    return stream_visitors.running_counts(spark, place)
 
 
 def hot_movies_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -415,26 +417,61 @@ def recommend_stream(spark: SparkSession, folder: str) -> DataFrame:
     return found.drop("batch_id").withColumn("score", F.round("score", 4))
 
 
-# Arrivals of the late-row streams.
+# Arrivals of the streams that come in several.
 ARRIVALS = 4
 
 
-def _split_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """On-time and late rows of log events that arrive in four quarters of time.
+def _in_arrivals(
+    spark: SparkSession, folder: str, name: str, start: Callable[[DataFrame], StreamingQuery]
+) -> None:
+    """Run a stream over log events that arrive in four quarters of time, and stop it after each.
 
     Every 97th row is held back until the last quarter, so that it comes late.
     """
-    logged = Domain(spark, folder).arriving_log_events(ARRIVALS)
-    place = scratch_path(spark, "uv-split")
+    logged = saved(Domain(spark, folder).arriving_log_events(ARRIVALS))
+    arrived = scratch_path(spark, name)
     for number in range(ARRIVALS):
         part = logged.where(F.col("arrival") == number).drop("arrival")
-        part.write.mode("append").parquet(f"{place}/arrived")
-        events = spark.readStream.schema(part.schema).parquet(f"{place}/arrived")
-        paths = [f"{place}/{name}" for name in ("on-time", "late", "state", "checkpoint")]
-        stream_late.start_late_split(events, *paths).awaitTermination()
+        part.write.mode("append").parquet(arrived)
+        start(spark.readStream.schema(part.schema).parquet(arrived)).awaitTermination()
+
+
+def _split_stream(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """On-time and late rows of the arriving log events."""
+    place = scratch_path(spark, "uv-split")
+    paths = [f"{place}/{name}" for name in ("on-time", "late", "state", "checkpoint")]
+    _in_arrivals(spark, folder, "uv-split-arrived", lambda events: stream_late.start_late_split(events, *paths))
     return spark.read.parquet(f"{place}/on-time"), spark.read.parquet(f"{place}/late")
 
 
+def uv_running_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The running count of every hour after four arrivals, of which the last brings late rows."""
+    place = scratch_path(spark, "uv-running")
+
+    def start(events: DataFrame) -> StreamingQuery:
+        return stream_visitors.start_visitor_counts(events, place, f"{place}/checkpoint")
+
+    _in_arrivals(spark, folder, "uv-running-arrived", start)
+    return stream_visitors.running_counts(spark, place)
+
+
+# Allowed lateness of the corrected counts.
+CORRECTED_MS = 10 * stream_late.DAY_MS
+
+
+def uv_corrected_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """What was last reported of every closed hour, where rows of the last ten days correct it."""
+    place = scratch_path(spark, "uv-corrected")
+
+    def start(events: DataFrame) -> StreamingQuery:
+        return stream_visitors.start_visitor_counts(
+            events, place, f"{place}/checkpoint", stream_late.DELAY_MS, CORRECTED_MS
+        )
+
+    _in_arrivals(spark, folder, "uv-corrected-arrived", start)
+    return stream_visitors.reported_counts(spark, place)
+
+
 def uv_on_time_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Exact visitors of every hour from the rows that came in time."""
     return stream_late.recount(_split_stream(spark, folder)[0].drop("batch_id"))
@@ -445,7 +482,18 @@ def uv_late_stream(spark: SparkSession, folder: str) -> DataFrame:
     return _split_stream(spark, folder)[1].select("uid", "ip", "mid", "event", "timestamp")
 
 
-_STREAMS = (uv_on_time_stream, uv_late_stream, uv_stream, uv_stream_bitmap, hot_movies_stream, login_fail_stream, lock_table_stream, recommend_stream)
+_STREAMS = (
+    uv_on_time_stream,
+    uv_late_stream,
+    uv_running_stream,
+    uv_corrected_stream,
+    uv_stream,
+    uv_stream_bitmap,
+    hot_movies_stream,
+    login_fail_stream,
+    lock_table_stream,
+    recommend_stream,
+)
 
 
 def _bound(job: Callable[[Domain], DataFrame]) -> Query:

@@ -25,6 +25,6 @@ def write_batch(
     partition is still split between tasks, where one task per partition would not be.
     """
     if cluster_by:
-        frame = frame.repartitionByRange(*cluster_by)
+        frame = frame.repartitionByRange(*cluster_by).sortWithinPartitions(*partition_by, *cluster_by)
     target = f"{path.rstrip('/')}/batch_id={batch_id}"
     frame.write.mode("overwrite").partitionBy(*partition_by).parquet(target)

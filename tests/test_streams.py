@@ -77,7 +77,7 @@ def test_late_rows_go_to_their_own_table(spark, feed, tmp_path, batches, on_time
     expected = {h: hours.count(h) for h in set(hours) if h >= "01"}
     assert {r.startTime[-2:]: r["count"] for r in counts.collect()} == expected
     plan = counts._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(hour" in plan
+    assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(hour" in plan
 
     # A later run continues from the stored event time.
     feed.add((9, "ip", 7, "play", ms("00:30:00")))
@@ -93,38 +93,60 @@ def test_repeated_batch_replaces_its_rows(spark, table, tmp_path):
     assert rows(spark.read.parquet(path), "v") == [(1,), (2,), (3,)]
 
 
-def test_closed_hours_equal_the_batch_count(spark, feed, tmp_path):
-    for hour in ("08", "09", "10", "11"):
-        feed.add(*[(n % 7, f"10.0.0.{n % 3}", 1, "play", ms(f"{hour}:{n:02d}:00")) for n in range(50)])
-    events = streams.event_time(lines.parse_log_events(feed.lines()), visitors.WATERMARK)
-    finish(run.to_table(visitors.uv_closed(events), str(tmp_path / "o"), str(tmp_path / "c")))
-    whole = batch_visitors.uv_count(lines.parse_log_events(feed.stored()))
-    closed = whole.where("endTime <= '2024-01-01-11'")
-    assert rows(spark.read.parquet(str(tmp_path / "o"))) == rows(closed)
-    assert closed.count() == 3
-
-
-def test_running_counts_grow_to_the_batch_count(spark, feed, tmp_path):
-    for start in (0, 10, 20):
-        feed.add(*[(n, "ip", 1, "play", ms(f"09:{n:02d}:00")) for n in range(start, start + 15)])
-    events = streams.event_time(lines.parse_log_events(feed.lines()), visitors.WATERMARK)
-    table_path = str(tmp_path / "running")
-    finish(
-        run.to_batches(
-            visitors.uv_running(events), lambda b, n: write_batch(b, n, table_path), str(tmp_path / "c1"), mode="update"
-        )
-    )
-    seen = spark.read.parquet(table_path).orderBy("batch_id").collect()
-    assert [r["count"] for r in seen] == [15, 25, 35]
-
-    blocks = str(tmp_path / "blocks")
-    finish(
-        run.to_batches(
-            visitors.uv_bitmap_blocks(events), lambda b, n: write_batch(b, n, blocks), str(tmp_path / "c2"), mode="update"
-        )
-    )
-    found = visitors.uv_of_blocks(spark.read.parquet(blocks))
-    assert rows(found) == rows(batch_visitors.uv_count(lines.parse_log_events(feed.stored()), "bitmap"))
+STARTS = {"counts": visitors.start_visitor_counts, "bitmaps": visitors.start_visitor_bitmaps}
+
+
+@pytest.mark.parametrize("kind", STARTS)
+def test_counts_run_close_and_are_corrected(spark, feed, tmp_path, kind):
+    """Delay 1 minute, allowed lateness 2 hours: rows of 08 may come until 11:01."""
+    place, state = str(tmp_path / "uv"), str(tmp_path / "c")
+    start = lambda: finish(STARTS[kind](lines.parse_log_events(feed.lines()), place, state, 60_000, 2 * 3_600_000))
+    running = lambda: {r.startTime[-2:]: r["count"] for r in visitors.running_counts(spark, place).collect()}
+    reports = lambda: [
+        (r.batch_id, r.hour // 3_600_000 % 24, r["count"], r.correction)
+        for r in spark.read.schema(visitors.REPORTS).parquet(f"{place}/reports").orderBy("batch_id", "hour").collect()
+    ]
+    visits = lambda hour, uids: [(uid, f"10.0.0.{uid}", 1, "play", ms(f"{hour}:{uid % 60:02d}:00")) for uid in uids]
+    feed.add(*visits("08", range(10)), *visits("08", range(10)), *visits("09", range(5)))
+    start()
+    assert running() == {"08": 10, "09": 5} and reports() == [(0, 8, 10, False)]
+    # 08 gains two and is reported again; 09 closes; a repeated visitor changes nothing.
+    feed.add(*visits("08", range(8, 12)), *visits("10", range(1, 4)))
+    start()
+    assert running() == {"08": 12, "09": 5, "10": 3}
+    assert reports()[1:] == [(1, 8, 12, True), (1, 9, 5, False)]
+    feed.add(*visits("11", [30]))
+    start()
+    # From now on rows of 08 are too late, those of 09 are not.
+    feed.add(*visits("08", [40]), *visits("09", [50]))
+    start()
+    assert running() == {"08": 12, "09": 6, "10": 3, "11": 1}
+    assert reports()[3:] == [(2, 10, 3, False), (3, 9, 6, True)]
+    assert [r.uid for r in spark.read.parquet(f"{place}/late").collect()] == [40]
+    final = {r.startTime[-2:]: r["count"] for r in visitors.reported_counts(spark, place).collect()}
+    assert final == {"08": 12, "09": 6, "10": 3}
+    if kind == "bitmaps":
+        # Blocks of hours that are over have gone; one row for each hour and block is left.
+        blocks = spark.read.schema(visitors.BLOCKS).parquet(f"{place}/blocks")
+        assert {r.hour // 3_600_000 % 24 for r in blocks.collect()} == {9, 10, 11}
+        assert blocks.groupBy("hour", "block").count().where("count > 1").count() == 0
+
+
+@pytest.mark.parametrize("kind", STARTS)
+def test_a_repeated_batch_counts_once(spark, table, tmp_path, kind, monkeypatch):
+    steps = []
+    monkeypatch.setattr(visitors, "to_batches", lambda events, write, *_, **__: steps.append(write))
+    schema = "uid long, ip string, timestamp long"
+    one = table([(u, "a", ms(f"08:{u:02d}:00")) for u in range(5)] + [(7, "a", ms("10:00:00"))], schema)
+    two = table([(u, "a", ms(f"10:{u:02d}:00")) for u in range(4, 9)] + [(9, "a", ms("12:30:00"))], schema)
+    STARTS[kind](one, str(tmp_path), "")
+    for batch, number in ((one, 0), (one, 0), (two, 1), (two, 1), (two, 1)):
+        steps[0](batch, number)
+    found = {r.startTime[-2:]: r["count"] for r in visitors.running_counts(spark, str(tmp_path)).collect()}
+    assert found == {"08": 5, "10": 5, "12": 1}
+    assert rows(visitors.reported_counts(spark, str(tmp_path)), "startTime", "count") == [
+        ("2024-01-01-08", 5), ("2024-01-01-10", 5)
+    ]
 
 
 def test_hot_movies_equal_the_batch_ranking(spark, feed, tmp_path):
