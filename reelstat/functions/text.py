@@ -20,11 +20,6 @@ def contains_any(column: Column, terms: Sequence[str]) -> Column:
     return F.coalesce(found, F.lit(False))
 
 
-def joined_set(column: Column) -> Column:
-    """Distinct non-null values of a group, sorted and joined with ``-``."""
-    return F.array_join(F.array_sort(F.collect_set(column.cast("string"))), "-")
-
-
 def first_positive(*columns: str) -> Column:
     """First of the columns that is above zero, else null."""
     return F.coalesce(*[F.when(F.col(c) > 0, F.col(c)) for c in columns])

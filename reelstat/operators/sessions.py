@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelstat.functions import buckets as B, ranking, scores, text, times
 from reelstat.session import broadcast_if_small, saved
@@ -41,33 +41,69 @@ def actions_between(
     return actions.where(F.col("date").between(times.epoch_ms(start), last))
 
 
-def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
-    """One row per session of a known user: keywords, categories, length, steps and profile.
+# Values of a session that lie in one part of its list.
+PART_VALUES = 1000
+
+
+def session_values(actions: DataFrame, width: int = PART_VALUES) -> DataFrame:
+    """The different keywords and clicked categories of every session, as (sessionId, kind, part, values).
+
+    ``kind`` is ``keyword`` or ``category``. A part holds at most ``width`` values; parts and values are in order, numbers by
+    size. Values are made unique before they are put in order, so a session costs as much as it has different ones, and
+    none is gathered as a whole.
+    """
+    entry = lambda kind, number, text_: F.struct(F.lit(kind).alias("kind"), number.alias("number"), text_.alias("value"))
+    category = F.col("clickCategoryId").cast("long")
+    nothing = F.lit(None).cast("long")
+    entries = F.array(
+        entry("keyword", nothing, F.col("searchKeyword").cast("string")), entry("category", category, category.cast("string"))
+    )
+    each = actions.select("sessionId", F.explode(entries).alias("e")).select("sessionId", "e.*").where("value is not null")
+    order = Window.partitionBy("sessionId", "kind").orderBy("number", "value")
+    placed = each.distinct().repartition("sessionId").withColumn("place", F.row_number().over(order))
+    part = F.floor((F.col("place") - 1) / width).alias("part")
+    listed = placed.groupBy("sessionId", "kind", part).agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("of"))
+    return listed.select("sessionId", "kind", "part", F.col("of.value").alias("values"))
+
 
-    One shuffle with map-side combining: a task sends one partial row per session, whatever the
-    number of actions in it.
+# Columns of a session beside its values.
+COUNTED = ("visitLength", "stepLength", "startTime", "age", "professional", "city", "sex")
+
+
+def session_counters(actions: DataFrame, users: DataFrame) -> DataFrame:
+    """One row per session of a known user: length, steps and profile, without keywords and categories.
+
+    One hash aggregation, of which a task sends one row per session, whatever the number of actions in it.
     """
-    folded = actions.groupBy("sessionId").agg(
+    counted = actions.groupBy("sessionId").agg(
         F.min("userId").alias("userId"),
-        text.joined_set(F.col("searchKeyword")).alias("searchKeywords"),
-        F.array_sort(F.collect_set("clickCategoryId")).alias("categories"),
         F.min("date").alias("startTime"),
         F.max("date").alias("endTime"),
         F.count("*").alias("stepLength"),
     )
     profile = users.select("userId", "age", "professional", "city", "sex")
-    return folded.join(profile, "userId").select(
+    length = (F.col("endTime") - F.col("startTime")).alias("visitLength")
+    return counted.join(profile, "userId").select("sessionId", length, *COUNTED[1:])
+
+
+def session_aggregate(actions: DataFrame, users: DataFrame) -> DataFrame:
+    """One row per session of a known user: keywords, categories, length, steps and profile.
+
+    The values come from :func:`session_values` in parts, which are strung together last.
+    """
+    parts = F.struct("part", F.col("values"))
+    # Parts are in order, and so are the values in them.
+    strung = lambda kind: F.flatten(F.array_sort(F.collect_list(F.when(F.col("kind") == kind, parts)))["values"])
+    lists = session_values(actions).groupBy("sessionId").agg(
+        strung("keyword").alias("keywords"), strung("category").alias("clicked")
+    )
+    joined = lambda name: F.coalesce(F.array_join(name, "-"), F.lit(""))
+    return session_counters(actions, users).join(lists, "sessionId", "left").select(
         "sessionId",
-        "searchKeywords",
-        F.array_join(F.col("categories").cast("array<string>"), "-").alias("clickCategoryIds"),
-        "categories",
-        (F.col("endTime") - F.col("startTime")).alias("visitLength"),
-        "stepLength",
-        "startTime",
-        "age",
-        "professional",
-        "city",
-        "sex",
+        joined("keywords").alias("searchKeywords"),
+        joined("clicked").alias("clickCategoryIds"),
+        F.coalesce(F.col("clicked").cast("array<bigint>"), F.array().cast("array<bigint>")).alias("categories"),
+        *COUNTED,
     )
 
 
@@ -125,6 +161,28 @@ def filtered_sessions(
     return session_filter(session_aggregate(own, chosen), categories=categories)
 
 
+def filtered_counters(
+    actions: DataFrame,
+    users: DataFrame,
+    age: tuple[int, int] | None = None,
+    cities: Sequence[str] | None = None,
+    professions: Sequence[str] | None = None,
+    sex: int | None = None,
+    categories: Sequence[int] | None = None,
+) -> DataFrame:
+    """The counters of the sessions of :func:`filtered_sessions`, without stringing their values together.
+
+    A session has a wanted category if one of its clicks has it.
+    """
+    chosen = matching_users(users, age, cities, professions, sex)
+    own = actions.join(chosen.select("userId"), "userId", "left_semi")
+    counters = session_counters(own, chosen)
+    if categories is None:
+        return counters
+    clicked = own.where(F.col("clickCategoryId").isin(list(categories))).select("sessionId").distinct()
+    return counters.join(clicked, "sessionId", "left_semi")
+
+
 def actions_of_sessions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Actions of the given sessions."""
     return actions.join(sessions.select("sessionId"), "sessionId", "left_semi")

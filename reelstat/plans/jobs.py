@@ -85,7 +85,7 @@ def run_sessions(
 ) -> None:
     """Filter sessions; append their length statistics, top categories, top sessions, details."""
     chosen = _chosen(actions, params)
-    matching = sessions.filtered_sessions(
+    matching = sessions.filtered_counters(
         chosen,
         users,
         params.age,
@@ -94,7 +94,7 @@ def run_sessions(
         params.sex,
         params.categories,
     )
-    # Without the keyword lists, which nothing below needs, sessions are plain counters.
+    # Nothing below needs the keywords.
     kept = _stored(matching.select("sessionId", "visitLength", "stepLength"), "sessions")
     stats = sessions.session_length_stats(kept, as_of, params.visit_buckets, params.step_buckets)
     append_table(sessions.stats_document(stats), f"{out}/session_stats")

@@ -163,12 +163,8 @@ def realtime_recommend(d: Domain) -> DataFrame:
     return found.withColumn("score", F.round("score", 4))
 
 
-def _sessions(d: Domain) -> DataFrame:
-    return sessions.session_aggregate(d.actions, d.users)
-
-
 def session_aggregate(d: Domain) -> DataFrame:
-    return _sessions(d).drop("categories")
+    return sessions.session_aggregate(d.actions, d.users).drop("categories")
 
 
 # Conditions of the filter query.
@@ -198,7 +194,7 @@ def actions_in_range(d: Domain) -> DataFrame:
 
 
 def session_length_stats(d: Domain) -> DataFrame:
-    stats = sessions.session_length_stats(_sessions(d), AS_OF)
+    stats = sessions.session_length_stats(sessions.session_counters(d.actions, d.users), AS_OF)
     return stats.select("date", "key", shown("value"))
 
 

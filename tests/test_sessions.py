@@ -49,6 +49,23 @@ def test_session_is_folded(actions, users):
     assert (row.age, row.professional, row.city, row.sex) == (30, "teacher", "北京", 1)
 
 
+def test_values_of_a_session_lie_in_bounded_parts(spark, users):
+    n = 1_000_000
+    many = spark.range(n).selectExpr(
+        "1000 + id as date", "1L as userId", "'s' as sessionId", "concat('w', lpad(id % 1000000, 7, '0')) as searchKeyword",
+        "if(id % 3 = 0, id % 12 - 2, null) as clickCategoryId",
+    )
+    parts = sessions.session_values(many.unionByName(many)).cache()
+    assert parts.where("kind = 'keyword'").count() == n // sessions.PART_VALUES
+    assert parts.selectExpr("max(size(values))").first()[0] == sessions.PART_VALUES
+    [categories] = parts.where("kind = 'category'").collect()
+    assert list(categories["values"]) == ["-2", "1", "4", "7"] and categories.part == 0
+    [folded] = sessions.session_aggregate(many, users).collect()
+    words = folded.searchKeywords.split("-")
+    assert len(words) == n and words == sorted(words) and folded.stepLength == n
+    assert folded.clickCategoryIds == "-2-1-4-7" and folded.categories == [-2, 1, 4, 7]
+
+
 def test_filters(actions, users):
     found = sessions.session_aggregate(
         actions(
@@ -70,6 +87,17 @@ def test_filters(actions, users):
     assert kept(categories=[6, 7]) == ["b"]
 
 
+def test_counters_of_filtered_sessions(actions, users):
+    some = actions(
+        action(1, clickCategoryId=3), action(5, clickCategoryId=4), action(7, session="t", clickCategoryId=9),
+        action(2, session="u", user=2, clickCategoryId=3),
+    )
+    for conditions in ({}, {"sex": 1}, {"categories": (3, 8)}, {"age": (35, 50), "categories": (3,)}, {"categories": ()}):
+        whole = sessions.filtered_sessions(some, users, **conditions)
+        found = sessions.filtered_counters(some, users, **conditions)
+        assert rows(found, "sessionId", *sessions.COUNTED) == rows(whole, "sessionId", *sessions.COUNTED)
+
+
 def test_date_range(actions):
     day = 86_400_000
     base = actions(action(0), action(day), action(day + 1), action(2 * day))
