@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -78,9 +80,68 @@ def test_names_in_layout_classes_and_slugs_lose_no_article(html, wanted):
     assert pages.blocks(html) == wanted
 
 
+@pytest.mark.parametrize(
+    "html, wanted",
+    [
+        ("<article><button>Go<p>text</p><p>more</p></article>", (["text", "more"], True)),
+        ("<article>a<select><option>x</select>b<button>c</button>d</article>", (["abd"], True)),
+        ("<article><button>one<p>kept</p><button>two</button></article>", (["kept"], True)),
+        ("<article><svg><text>no</text></svg>a<noscript>turn on</noscript><math><mi>x</mi></math></article>", (["ax"], True)),
+        ("<article><p>" + "long text " * 9 + "</p></article><article><h2>Teaser</h2></article>", (["long text " * 8 + "long text"], True)),
+        ("<main><p>intro</p><article>" + "word " * 20 + "</article><article>teaser</article></main>", (["intro", "word " * 19 + "word"], True)),
+        ("<article><ul class='key-notices'><li>one</li></ul><div class='cookie-notice'>c</div><p>x</p></article>", (["one", "x"], True)),
+    ],
+)
+def test_unclosed_elements_teasers_and_vague_names(html, wanted):
+    assert pages.blocks(html) == wanted
+
+
+def boilerplate(streams, enough=pages.PAGES):
+    """For each page's blocks whether runs of tokens that enough distinct pages hold cover them whole, run by run."""
+    tokens = [[t for block in s for t in (*block.split(), "\n")] for s in streams]
+    enough = min(enough, max(2, len(set(map(tuple, tokens)))))
+    holders = {}
+    for own in tokens:
+        for k in range(len(own) - pages.RUN + 1):
+            holders.setdefault(tuple(own[k : k + pages.RUN]), set()).add(tuple(own))
+    out = []
+    for stream, own in zip(streams, tokens):
+        covered = [False] * len(own)
+        for k in range(len(own) - pages.RUN + 1):
+            if len(holders[tuple(own[k : k + pages.RUN])]) >= enough:
+                covered[k : k + pages.RUN] = [True] * pages.RUN
+        at, flags = 0, []
+        for block in stream:
+            n = len(block.split())
+            flags.append(all(covered[at : at + n]))
+            at += n + 1
+        out.append(flags)
+    return out
+
+
 def test_copies_of_a_page_are_not_boilerplate():
     stream = ["one two three four five six seven eight nine ten", "and so on for some more words here"]
-    assert pages.boilerplate([stream] * 5) == [[False, False]] * 5
+    assert boilerplate([stream] * 5) == [[False, False]] * 5
+
+
+@pytest.mark.parametrize("group", [pages.GROUP, 5])
+def test_extraction_matches_brute_force_runs(spark, monkeypatch, group):
+    monkeypatch.setattr(pages, "GROUP", group)
+    rng = random.Random(14)
+    shared = [" ".join(f"s{k}x{j}" for j in range(rng.randrange(3, 15))) for k in range(12)]
+    html = []
+    for k in range(60):
+        own = [prose(rng, rng.randrange(1, 30), 5000) for _ in range(3)]
+        some = own + rng.sample(shared, 3) + ([own[0] + " " + shared[0]] if k % 5 == 0 else [])
+        rng.shuffle(some)
+        html.append((f"http://h{k % 3}.example/{k}", "".join(f"<div>{b}</div>" for b in some)))
+    html += html[:4]
+    rows = [(k, url, h) for k, (url, h) in enumerate(html)]
+    found = {r.page_id: r.text for r in pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for host in range(3):
+        own = [(k, pages.blocks(h)[0]) for k, url, h in rows if url.startswith(f"http://h{host}.")]
+        for (k, stream), flags in zip(own, boilerplate([s for _, s in own])):
+            assert found[k] == "\n\n".join(b for b, g in zip(stream, flags) if not g)
 
 
 def brute(rows, nearest):
@@ -202,20 +263,62 @@ def by_hand(texts, toxic):
     return {k: {w: len(s) for w, s in words.items()} for k, words in found.items()}
 
 
-def test_toxicity_counts_grow_with_the_vocabulary(spark, monkeypatch):
-    # "common" stands after more different words than a bitmap of a slot tells apart.
+def test_toxicity_counts_grow_with_the_vocabulary(spark):
     many = [" ".join(f"w{k}x{j} common" for j in range(40)) for k in range(30)] + ["copied passage here"] * 50
     toxic = [int(k % 3 == 0) for k in range(80)]
     frame = spark.createDataFrame([(k, t, 1) for k, t in enumerate(many)], "doc_id long, text string, toxic int")
     hashed = lambda w: int(toxicity._tokens(pa.array([w]))[0].view(np.int64)[0])
     wanted = by_hand(many, toxic)
-    pairs = frame.select("text").mapInArrow(toxicity._all_pairs, "word long, before long")
-    got = {r.word: r.n for r in toxicity.different(pairs).collect()}
+    pairs = frame.select("text").mapInArrow(toxicity._all_pairs(), toxicity.PAIR).distinct()
+    got = {r.word: r["count"] for r in pairs.groupBy("word").count().collect()}
     assert got == {hashed(w): n for w, n in wanted[None].items()}
-    parts = frame.select("text", F.col("doc_id").cast("int").alias("toxic")).withColumn("toxic", (F.col("toxic") % 3 == 0).cast("int"))
-    pairs = parts.mapInArrow(toxicity._class_pairs, "word long, before long, toxic int")
-    got = {(r.toxic, r.word): r.n for r in toxicity.different(pairs, "toxic").collect()}
-    assert got == {(k, hashed(w)): n for k in (0, 1) for w, n in wanted[k].items()}
+    some = toxicity.KeySet(spark.createDataFrame([(hashed("common"),), (hashed("here"),)], "word long"))
+    pairs = frame.select("text").mapInArrow(toxicity._all_pairs(some), toxicity.PAIR).distinct()
+    few = {r.word: r["count"] for r in pairs.groupBy("word").count().collect()}
+    assert few.items() <= got.items() and {hashed("common"), hashed("here")} <= few.keys() and len(few) < 100
+    parts = frame.select("text", F.when(F.col("doc_id") % 3 == 0, 1).otherwise(0).alias("toxic"))
+    classes = toxicity.class_counts(parts.mapInArrow(toxicity._class_pairs, toxicity.PAIR))
+    got = {r.word: (r.t, r.o) for r in classes.words.collect()}
+    assert got == {hashed(w): (wanted[1].get(w, 0), wanted[0].get(w, 0)) for w in wanted[None]}
+    assert classes.total == {k: sum(wanted[k].values()) for k in (0, 1)}
+    assert classes.rest == {k: sum(min(n, 2) for n in wanted[k].values()) for k in (0, 1)}
+
+
+def scores_by_hand(texts, labels):
+    """Scores of all texts, learned from the labelled ones outside the held-out fold, word by word."""
+    words = [re.findall(r"[a-z0-9\x80-\U0010ffff]+", "".join(c.lower() if c.isascii() else c for c in t)) for t in texts]
+    taught = {k: y for k, y in labels.items() if zlib.crc32(str(k).encode()) % toxicity.FOLDS}
+    own = by_hand([" ".join(words[k]) for k in taught], list(taught.values()))
+    shared = by_hand([" ".join(w) for w in words], [0] * len(words))[None]
+    everything = sum(shared.values())
+    total = {k: sum(own[k].values()) for k in (0, 1)}
+    rest = {k: sum(min(n, toxicity.DISCOUNT) for n in own[k].values()) for k in (0, 1)}
+
+    def weight(w):
+        n = [own[k].get(w, 0) for k in (0, 1)]
+        if max(n) <= toxicity.DISCOUNT:
+            return 0.0
+        p = [(max(n[k] - toxicity.DISCOUNT, 0) + rest[k] * shared[w] / everything) / total[k] for k in (0, 1)]
+        ratio = math.log(p[1] / p[0])
+        return math.copysign(max(abs(ratio) - toxicity.MARGIN, 0), ratio)
+
+    value = [sum(map(weight, w)) / (len(w) + toxicity.SHORT) for w in words]
+    x, y = np.array([value[k] for k in taught]), np.array([float(v) for v in taught.values()])
+    offset, slope = toxicity._curve((x - x.mean()) / x.std(), y)
+    return [1 / (1 + math.exp(-min(30, max(-30, offset + slope * (v - x.mean()) / x.std())))) for v in value]
+
+
+def test_toxicity_scores_match_brute_force(spark):
+    rng = random.Random(12)
+    texts = [prose(rng, rng.randrange(5, 120), 150) for _ in range(300)] + ["", "!?"]
+    texts = [f"{t} Foul x{k % 7} foul {t[:6]} MUCK" if k % 5 == 0 else t for k, t in enumerate(texts)]
+    labels = {k: int(k % 5 == 0) for k in range(0, 300, 2)}
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = toxicity.fit(frame, spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    wanted = scores_by_hand(texts, labels)
+    for r in toxicity.score(frame, *model).collect():
+        # The number of all pairs is estimated.
+        assert math.isclose(r.score, wanted[r.doc_id], abs_tol=0.02)
 
 
 def test_toxicity_by_join_and_held_words_agree(spark, documents, monkeypatch):
@@ -247,24 +350,22 @@ def test_toxicity_learns_a_rare_class_and_its_share(spark, monkeypatch):
 
 
 def test_toxicity_weighs_ordinary_words_too(spark):
-    shared = spark.createDataFrame([(1, 100), (2, 100), (3, 800)], "word long, n long")
-    classes = spark.createDataFrame([(1, 1, 60), (0, 2, 60), (0, 3, 400), (1, 3, 400)], "toxic int, word long, n long")
-    ratios = {r.word: r.ratio for r in toxicity.log_ratios(shared, classes).collect()}
-    weights = {r.word: r.weight for r in toxicity.Evidence(toxicity.log_ratios(shared, classes)).table.collect()}
-    assert ratios[1] > toxicity.MARGIN and ratios[2] == -ratios[1] and abs(ratios[3]) < 0.01
-    assert weights == {1: ratios[1] - toxicity.MARGIN, 2: toxicity.MARGIN - ratios[1]}
-
-
-def test_tables_count_words_and_previous_words():
+    shared = spark.createDataFrame([(1, 100), (2, 100), (3, 800), (4, 10)], "word long, n long")
+    counted = spark.createDataFrame([(1, 60, 0), (2, 0, 60), (3, 400, 400), (4, 2, 0)], "word long, t long, o long")
+    classes = toxicity.Classes(counted, {0: 460.0, 1: 460.0}, {0: 4.0, 1: 4.0})
+    words = toxicity.telling_words(classes, 1000.0)
+    assert {r.word for r in words.collect()} == {1, 2}
+    ratios = toxicity.log_ratios(shared, classes, words, 1000.0)
+    ratio = {r.word: r.ratio for r in ratios.collect()}
+    weights = {r.word: r.weight for r in toxicity.Evidence(ratios).table.collect()}
+    assert ratio[1] > toxicity.MARGIN and ratio[2] == -ratio[1]
+    assert weights == {1: ratio[1] - toxicity.MARGIN, 2: toxicity.MARGIN - ratio[1]}
+
+
+def test_tokens_and_the_words_before_them():
     words, before, rows, n = toxicity._tokens(pa.array(["A b, a", None, "b-a b"]))
     assert n == 3 and rows.tolist() == [0, 0, 0, 2, 2, 2]
     assert words[0] == words[2] == words[4] and words[1] == words[3] == words[5] and before[0] == before[3] == 0
-    tables = toxicity._Tables(counted=True)
-    tables.add(words, before)
-    for k, slot in enumerate(toxicity._slots(words)):
-        assert tables.counts[k, slot].tolist() == [3] * 6
-        seen = tables.seen[k].reshape(toxicity.SLOTS, toxicity.BEFORE).sum(axis=1)
-        assert set(seen[slot]) == {2}
 
 
 def test_pipeline_runs_on_odd_documents(spark, documents, nothing, tmp_path):
