@@ -254,9 +254,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.mapInArrow(_confirm, "a long, b long")
 
 
-def _shared_ids(sets: DataFrame, classes: DataFrame) -> DataFrame:
+def _shared_ids(sets: DataFrame, several: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) between the nodes of the different sets of one id."""
-    several = sets.groupBy("doc_id").agg(F.min("set_key").alias("s0"), F.max("set_key").alias("s1")).filter("s0 <> s1")
     node = classes.select("set_key", "node")
     own = sets.select("doc_id", "set_key").join(several, "doc_id").select("set_key", "s0").distinct()
     ends = own.join(node.withColumnRenamed("node", "a"), "set_key")
@@ -267,14 +266,15 @@ def _linked(needed: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of the rows (doc_id, text_hash, text)."""
     signed = stored(needed.mapInArrow(_sign, SIGNED), "signatures")
     sets = signed.filter("set_key is not null and doc_id is not null")
-    # One representative text for all documents of the same set, and a number that names the set.
+    # Ids that stand for several sets, with one of these; where ids are unique there are none.
+    several = sets.groupBy("doc_id").agg(F.min("set_key").alias("s0"), F.max("set_key").alias("s1"))
+    several = stored(several.filter("s0 <> s1").select("doc_id", "s0"), "several-sets")
+    # One representative text for all documents of the same set. Its id names the set, or a hash if it has several sets.
     first = F.min(F.struct("doc_id", "text_hash")).alias("rep")
-    classes = stored(
-        sets.groupBy("set_key").agg(first, F.min("n_shingles").alias("n_shingles")).select(
-            "set_key", "rep.doc_id", "rep.text_hash", F.monotonically_increasing_id().alias("node")
-        ),
-        "classes",
-    )
+    reps = sets.groupBy("set_key").agg(first, F.min("n_shingles").alias("n_shingles"))
+    reps = reps.select("set_key", "rep.doc_id", "rep.text_hash").join(several, "doc_id", "left")
+    node = F.when(F.col("s0").isNull(), F.col("doc_id")).otherwise(F.xxhash64("set_key")).alias("node")
+    classes = stored(reps.select("set_key", "doc_id", "text_hash", node), "classes")
     rep_signed = stored(
         sets.join(classes, ["set_key", "doc_id", "text_hash"])
         .dropDuplicates(["node"])
@@ -299,7 +299,7 @@ def _linked(needed: DataFrame) -> DataFrame:
     texts = stored(
         needed.join(involved, ["doc_id", "text_hash"]).dropDuplicates(["node"]).select("node", "text"), "texts"
     )
-    links = stored(_verified(likely, texts).unionAll(_shared_ids(sets, classes)), "star-links")
+    links = stored(_verified(likely, texts).unionAll(_shared_ids(sets, several, classes)), "star-links")
     roots = stored(components(links), "star-roots")
     # Buckets that still hold several components: pairs of different components, compared in blocks.
     labelled = members.join(roots.withColumnRenamed("node", "of"), members.node == F.col("of"), "left").select(
