@@ -34,6 +34,8 @@ SENTENCE_PENALTY = 2
 ANYWHERE_PENALTY = 8
 # Where no sentence ends for so many tokens, a cut is allowed every so many tokens.
 LONG_SENTENCE = 16
+# Bytes of text that are encoded at once.
+SLICE = 2 << 20
 # Tokens that one run of the dynamic program looks at; its last sequence is carried into the next run.
 STRETCH = 1 << 19
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -264,7 +266,7 @@ def _packer(path: str, capacity: int):
             placed, sizes, ids = placed[left] + done, sizes[left] - done, ids[whole:]
             return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
-        for batch in sized_slices(batches, 1):
+        for batch in sized_slices(batches, 1, size=SLICE):
             own, counts = encode(path, batch.column(1))
             names = np.concatenate([names, batch.column(0).fill_null(0).to_numpy()])
             nulls = np.concatenate([nulls, batch.column(0).is_null().to_numpy(zero_copy_only=False)])
