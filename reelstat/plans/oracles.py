@@ -414,6 +414,8 @@ WITH {VECTOR_PAIRS} SELECT mid, mid2, round(score, 4) AS score FROM pair WHERE s
         "similar_movies": f"WITH {MOVIE}, {VECTOR_PAIRS} {_similar('pair')}",
         "similar_movies_from_vectors": f"WITH {MOVIE}, {VECTOR_PAIRS} {_similar('pair')}",
         "content_features": f"""
+WITH {MOVIE}, {HASHED} SELECT mid, idx, round(weight, 6) AS weight FROM feature""",
+        "updated_features": f"""
 WITH {MOVIE}, {HASHED} SELECT mid, idx, round(weight, 6) AS weight FROM feature""",
         "content_similarity": f"WITH {MOVIE}, {HASHED}, {CONTENT_PAIRS} {_similar('pair')}",
         "realtime_recommend": RECOMMEND,

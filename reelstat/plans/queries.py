@@ -22,10 +22,11 @@ from reelstat.operators import (
     similarity,
     visitors,
 )
+from reelstat.operators.feature_store import FeatureStore
 from reelstat.plans import domain
 from reelstat.plans.domain import AS_OF, Domain, StreamedDomain
 from reelstat.session import saved, scratch_path
-from reelstat.sources import lines, streams
+from reelstat.sources import action_table, lines, streams
 from reelstat.sources.rating_store import RatingStore
 from reelstat.streaming import (
     hot_movies as stream_hot,
@@ -137,6 +138,18 @@ def content_similarity(d: Domain) -> DataFrame:
     return _similar(similarity.similar_movies_from_vectors(features, d.movies, AS_OF))
 
 
+def updated_features(d: Domain) -> DataFrame:
+    """The features after movies came, changed and went, of which only these were read as text again."""
+    store = FeatureStore(d.spark, scratch_path(d.spark, "features"))
+    mid = F.col("mid")
+    early = d.movies.where(mid % 3 != 0).withColumn("language", F.when(mid % 5 == 0, "other").otherwise(F.col("language")))
+    gone = d.movies.where(mid % 7 == 0).withColumn("mid", -1 - mid)
+    store.update(early.unionByName(gone))
+    store.update(d.movies)
+    weights = content.feature_weights(store.features())
+    return weights.select("mid", F.col("idx").cast("long").alias("idx"), shown("weight"))
+
+
 def newest_ratings(d: Domain) -> DataFrame:
     """The newest rating of each user, as the event that has just arrived."""
     ratings = d.ratings
@@ -184,12 +197,23 @@ def session_filter(d: Domain) -> DataFrame:
 RANGE = ("2024-01-05", "2024-01-12")
 
 
+# Where the actions of a folder have been stored, by application and folder.
+_stored_actions: dict[tuple[str, str], str] = {}
+
+
+def store_actions(d: Domain) -> str:
+    """The folder of the stored actions, written by the first call."""
+    key = (d.spark.sparkContext.applicationId, d.folder)
+    if key not in _stored_actions:
+        path = scratch_path(d.spark, "actions")
+        action_table.write_actions(d.actions.withColumn("date", F.col("date") * 1000), path)
+        _stored_actions[key] = path
+    return _stored_actions[key]
+
+
 def actions_in_range(d: Domain) -> DataFrame:
-    """Actions of a date range, from a stored action table in which the range prunes row groups."""
-    path = scratch_path(d.spark, "actions")
-    timed = d.actions.withColumn("date", F.col("date") * 1000)
-    timed.sortWithinPartitions("date").write.parquet(path)
-    stored = d.spark.read.parquet(path)
+    """Actions of a date range, from the stored action table, in which the range prunes row groups."""
+    stored = action_table.read_actions(d.spark, store_actions(d))
     return sessions.actions_between(stored, *RANGE).select("event_id", "date", "userId", "sessionId", "pageId")
 
 
@@ -288,6 +312,7 @@ _BATCH = (
     similar_movies,
     similar_movies_from_vectors,
     content_features,
+    updated_features,
     content_similarity,
     realtime_recommend,
     session_aggregate,
