@@ -2,8 +2,8 @@
 
 A record's text hashes to one of a fixed number of slots, so equal texts meet in one slot. Bytes are summed per slot,
 and a versioned map sends slots to shards. To rebalance, the map is edited: a slot stays where it is as long as
-its shard has room. A slot that alone outweighs a shard's fair share (a text copied very often) is cut into
-parts by the hash of the record's id, which are mapped one by one.
+its shard has room. A text that alone outweighs a shard's fair share, because it is copied very often, is cut into
+parts by the hash of the record's id, which are mapped one by one; all other equal texts stay together.
 """
 
 from __future__ import annotations
@@ -21,8 +21,22 @@ SHARDS = 8
 TOLERANCE = 0.001
 
 
-def slotted(records: DataFrame) -> DataFrame:
-    """doc_id, size, text_crc32, slot and part of every record. A null text counts as empty."""
+def heavy_texts(records: DataFrame, shards: int = SHARDS) -> list[int]:
+    """The hashes of texts of which all rows together hold more bytes than a shard's fair share; fewer than ``shards``."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    size = (F.octet_length(text) + 1).cast("long").alias("size")
+    sizes = records.select(F.xxhash64(text).alias("text_hash"), size).groupBy("text_hash").agg(F.sum("size").alias("bytes"))
+    total = sizes.agg(F.sum("bytes").alias("total"))
+    heavy = sizes.join(F.broadcast(total), F.col("bytes") > F.col("total") / shards)
+    return sorted(r["text_hash"] for r in heavy.select("text_hash").collect())
+
+
+def slotted(records: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """doc_id, size, text_crc32, slot, part and whether the text is a heavy one, of every record.
+
+    A null text counts as empty. Equal texts have one slot; only a text that alone outweighs a shard may be parted.
+    """
+    heavy = heavy_texts(records, shards)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc = F.col("doc_id").cast("long")
     return records.select(
@@ -30,35 +44,29 @@ def slotted(records: DataFrame) -> DataFrame:
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.pmod(F.xxhash64(text), F.lit(SLOTS)).cast("int").alias("virtual_slot"),
+        (F.xxhash64(text).isin(heavy) if heavy else F.lit(False)).alias("heavy"),
         F.pmod(F.xxhash64(doc, F.lit("part")), F.lit(PARTS)).cast("int").alias("part"),
     )
 
 
 def slot_sizes(records: DataFrame) -> DataFrame:
-    """Bytes and rows of each part of each slot; combined before the shuffle."""
-    return records.groupBy("virtual_slot", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n_rows"))
+    """Bytes and rows of each part of each slot, those of heavy texts apart; combined before the shuffle."""
+    return records.groupBy("virtual_slot", "heavy", "part").agg(F.sum("size").alias("bytes"), F.count("*").alias("n_rows"))
 
 
-def _units(sizes: DataFrame, shards: int) -> DataFrame:
-    """What the map sends as one: a slot, or a part (else -1) of a slot above the fair share."""
-    whole = sizes.groupBy("virtual_slot").agg(F.sum("bytes").alias("slot_bytes"))
-    total = whole.agg((F.sum("slot_bytes") / shards).alias("fair"))
-    heavy = whole.crossJoin(F.broadcast(total)).select("virtual_slot", (F.col("slot_bytes") > F.col("fair")).alias("heavy"))
+def _units(sizes: DataFrame) -> DataFrame:
+    """What the map sends as one: a slot (-1), or a part of the heavy texts in it."""
     unit = F.when(F.col("heavy"), F.col("part")).otherwise(F.lit(-1))
-    return (
-        sizes.join(heavy, "virtual_slot")
-        .groupBy("virtual_slot", unit.alias("unit"))
-        .agg(F.sum("bytes").alias("bytes"))
-    )
+    return sizes.groupBy("virtual_slot", unit.alias("unit")).agg(F.sum("bytes").alias("bytes"))
 
 
 def slot_map(sizes: DataFrame, shards: int = SHARDS, old: DataFrame | None = None, version: int = 1) -> DataFrame:
     """A map (version, virtual_slot, unit, shard) in which all shards hold nearly the same bytes.
 
     Units go to shards from the largest down: to the shard of the ``old`` map if it has room, else to the lightest.
-    The fold runs over the units, of which there are SLOTS plus PARTS for each of fewer than ``shards`` heavy slots.
+    The fold runs over the units, of which there are SLOTS plus PARTS for each of fewer than ``shards`` heavy texts.
     """
-    units = _units(sizes, shards)
+    units = _units(sizes)
     if old is None:
         units = units.withColumn("held", F.lit(-1))
     else:
@@ -100,22 +108,16 @@ def shard(records: DataFrame, sizes: DataFrame, mapping: DataFrame) -> DataFrame
     Places within a part of a slot follow doc_id; parts of a shard stand end to end. The join and the numbering
     use the same partitioning by slot and part, so records are shuffled once.
     """
-    mapped = sizes.join(mapping.filter("unit >= 0"), (sizes.virtual_slot == mapping.virtual_slot) & (sizes.part == mapping.unit), "left").select(
-        sizes.virtual_slot, "part", "n_rows", F.col("shard").alias("own")
-    )
-    slots = mapping.filter("unit < 0").select("virtual_slot", F.col("shard").alias("shared"))
+    unit = F.when(F.col("heavy"), F.col("part")).otherwise(F.lit(-1))
+    mapped = sizes.withColumn("unit", unit).join(mapping.select("virtual_slot", "unit", "shard"), ["virtual_slot", "unit"])
     version = mapping.agg(F.max("version").alias("map_version"))
-    mapped = mapped.join(slots, "virtual_slot", "left").select(
-        "virtual_slot", "part", "n_rows", F.coalesce("own", "shared").alias("shard")
-    )
-    before = Window.partitionBy("shard").orderBy("virtual_slot", "part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = mapped.select(
-        "virtual_slot", "part", "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("before")
-    )
-    within = Window.partitionBy("virtual_slot", "part").orderBy("doc_id", "text_crc32", "size")
+    order = ["virtual_slot", "heavy", "part"]
+    before = Window.partitionBy("shard").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = mapped.select(*order, "shard", F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("before"))
+    within = Window.partitionBy(*order).orderBy("doc_id", "text_crc32", "size")
     return (
         records.withColumn("place", F.row_number().over(within) - 1)
-        .join(offsets, ["virtual_slot", "part"])
+        .join(offsets, order)
         .crossJoin(F.broadcast(version))
         .withColumn("slot", F.col("before") + F.col("place"))
     )

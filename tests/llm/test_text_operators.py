@@ -240,6 +240,23 @@ def test_a_text_of_a_third_of_all_rows_is_cut_and_edits_move_little(spark):
     assert 0 < moved < 0.3 * first.count()
 
 
+def test_only_a_heavy_text_is_parted(spark):
+    slot = F.pmod(F.xxhash64("text"), F.lit(sharding.SLOTS))
+    many = spark.range(60_000).select(F.concat(F.lit("t"), F.col("id")).alias("text")).withColumn("slot", slot)
+    hot = many.limit(1).collect()[0]
+    # Other texts of the heavy text's slot, five copies of each.
+    near = many.where((F.col("slot") == hot.slot) & (F.col("text") != hot.text)).select("text").collect()
+    texts = [hot.text] * 4000 + [r.text for r in near for _ in range(5)] + [f"other {k}" for k in range(3000)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    records = sharding.slotted(frame)
+    sizes = sharding.slot_sizes(records)
+    placed = sharding.shard(records, sizes, sharding.slot_map(sizes)).join(frame, "doc_id")
+    parted = placed.groupBy("text").agg(F.countDistinct("shard").alias("n")).where("n > 1").collect()
+    assert near and [r.text for r in parted] == [hot.text]
+    places = placed.groupBy("shard").agg(F.max("slot").alias("top"), F.countDistinct("slot").alias("n"), F.count("*").alias("m"))
+    assert all(r.top + 1 == r.n == r.m for r in places.collect())
+
+
 def level(sizes):
     """Targets by the literal rule: share by weight, stop at three times, share the excess anew."""
     order = sorted(sizes, key=lambda s: (s is None, s))
