@@ -24,6 +24,8 @@ FEATURES = CHARACTERS + PAIRS + 2
 HIDDEN, GATE = 24, 16
 # Labelled rows that the network is fitted on, at most.
 SAMPLE = 4000
+# Passages of one text that are learned from, at most; so rows and bytes of the sample are bounded.
+FIT_PASSAGES = 64
 STEPS, BAGS, RATE = 500, 96, 0.01
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.7
@@ -118,6 +120,39 @@ class Model:
         return self
 
 
+def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in sized_slices(batches, 2, size=1 << 20):
+        features, rows = passages(batch.column(2))
+        starts = np.searchsorted(rows, np.arange(batch.num_rows + 1))
+        packed = []
+        for doc, a, b in zip(batch.column(0).to_pylist(), starts[:-1], starts[1:]):
+            own = features[a:b]
+            if len(own) > FIT_PASSAGES:
+                own = own[np.sort(np.random.default_rng(abs(doc)).choice(len(own), FIT_PASSAGES, replace=False))]
+            packed.append(own.tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(packed, pa.binary())], names=["doc_id", "quality", "features"]
+        )
+
+
+def fit(self, x: np.ndarray, starts: np.ndarray, y: np.ndarray, seed: int = 4) -> Model:
+        """Adam over random batches of bags; bag i has the passages from ``starts[i]`` to ``starts[i + 1]``."""
+        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-2
+        rng = np.random.default_rng(seed)
+        first = [np.zeros_like(k) for k in self.weights]
+        second = [np.zeros_like(k) for k in self.weights]
+        for step in range(1, STEPS + 1):
+            pick = rng.integers(0, len(y), min(BAGS, len(y)))
+            sizes = starts[pick + 1] - starts[pick]
+            rows = np.concatenate([np.arange(starts[k], starts[k + 1]) for k in pick])
+            for k, g in enumerate(self.gradient(x[rows], np.repeat(np.arange(len(pick)), sizes), y[pick])):
+                first[k] = 0.9 * first[k] + 0.1 * g
+                second[k] = 0.999 * second[k] + 0.001 * g * g
+                move = RATE * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
+                self.weights[k] = (self.weights[k] - move).astype(np.float32)
+        return self
+
+
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in sized_slices(batches, 2):
         features, rows = passages(batch.column(2))
@@ -131,12 +166,15 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(documents: DataFrame, labels: DataFrame) -> Model | None:
     """A model learned from at most SAMPLE labelled rows outside the held-out fold, or None without two classes.
 
-    The sample is drawn by a hash of the id. The two classes count the same.
+    The sample is drawn by a hash of the id, from rows that have a document. The two classes count the same. Of a very long
+    text FIT_PASSAGES passages, drawn by its id, are learned from; all are scored.
     """
     known = labels.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")
     ).filter(F.col("quality").isin(0, 1) & (learns(F.col("doc_id"), FOLDS) != HELD_OUT))
-    known = known.dropDuplicates(["doc_id"])
+    # Of several labels of an id the least counts.
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    known = known.join(documents.select(F.col("doc_id").cast("long").alias("doc_id")), "doc_id", "left_semi")
     order = F.xxhash64("doc_id", F.lit("sample"))
     half = [known.filter(F.col("quality") == k).orderBy(order, "doc_id").limit(SAMPLE // 2) for k in (0, 1)]
     sample = F.broadcast(half[0].unionAll(half[1]))
