@@ -64,10 +64,10 @@ def measured(documents: DataFrame, name: str) -> DataFrame:
     words = F.col(step["words"])
     places = F.when(F.size(words) >= 3, F.sequence(F.lit(2), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
     window = lambda i: F.struct(F.xxhash64(F.get(words, i - 2), F.get(words, i - 1), F.get(words, i)).alias("h"), i.alias("p"))
-    sorted_windows = split.withColumn(step["windows"], F.array_sort(F.transform(places, window)))
+    sorted_windows = split.withColumn(step["windows"], F.sort_array(F.transform(places, window)))
     windows = F.col(step["windows"])
     twice = lambda w, i: (F.get(windows, i - 1)["h"] == w["h"]) | (F.get(windows, i + 1)["h"] == w["h"])
-    again = F.array_sort(F.transform(F.filter(windows, lambda w, i: F.coalesce(twice(w, i), F.lit(False))), lambda w: w["p"]))
+    again = F.sort_array(F.transform(F.filter(windows, lambda w, i: F.coalesce(twice(w, i), F.lit(False))), lambda w: w["p"]))
     found = sorted_windows.withColumn(step["again"], again)
     covered = F.aggregate(
         F.col(step["again"]),
