@@ -377,3 +377,25 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     again = fated.filter(F.col(f"{name}_fate") == "again").groupBy(F.col(f"{name}_key"), group.alias(f"{name}_text"))
     one = again.agg(F.min_by(F.struct(*columns), text).alias(f"{name}_row")).select(f"{name}_row.*")
     return stay.unionAll(one)
+
+
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5
+    THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+    WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY 1),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id GROUP BY 1, 2),
+e AS (
+  SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 75 * (p.size + q.size - common)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS node, doc_id AS found FROM documents UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.found),
+k AS (SELECT node, min(found) AS component_id FROM r GROUP BY 1)
+SELECT d.doc_id, coalesce(n.size, 0)::BIGINT AS n_shingles, k.component_id, d.doc_id = k.component_id AS kept
+FROM documents d JOIN k ON k.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

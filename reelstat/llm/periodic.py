@@ -317,3 +317,36 @@ def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+OP11_SQL = r"""
+WITH i AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS own,
+    xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+      lambda s, c: list_reduce(list_prepend(xor(s, c), range(8)),
+        lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295::BIGINT) AS h
+  FROM documents),
+a AS (SELECT *, len(own) AS n, CASE WHEN len(own) > 0 THEN (h // 10) % len(own) ELSE 0 END AS begin, h // 10 AS g FROM i),
+b AS (SELECT *, 1 + (n - begin) // (3 + g % 8) AS p FROM a),
+d AS (
+  SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+    THEN list_transform(range(n), lambda k: own[(CASE WHEN k < begin THEN k ELSE begin + (k - begin) % p END) + 1]) ELSE own END AS words
+  FROM b),
+f AS (SELECT doc_id, n, unnest(range(0, n - 3)) AS pos, words FROM d WHERE n >= 6),
+q AS (SELECT doc_id, n, pos, array_to_string(words[pos + 1:pos + 4], ' ') AS head FROM f),
+z AS (SELECT x.doc_id, x.pos, y.pos - x.pos AS period FROM q x JOIN q y ON x.doc_id = y.doc_id AND x.head = y.head AND y.pos > x.pos AND 4 * (y.pos - x.pos) <= x.n),
+j AS (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, period ORDER BY pos) AS island FROM z),
+t AS (SELECT doc_id, period, min(pos) AS start, count(*) + 3 + period AS length FROM j GROUP BY doc_id, period, island),
+r AS (
+  SELECT doc_id, start, length, min(period) AS period FROM t WHERE length >= greatest(6, 4 * period) GROUP BY 1, 2, 3),
+l AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines,
+    first({'s': start, 'n': length, 'p': period} ORDER BY length DESC, start, period) AS top
+  FROM r GROUP BY 1),
+x AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS pos FROM r),
+v AS (SELECT doc_id, unnest(range(0, n)) AS pos, unnest(words) AS word FROM d WHERE n > 0),
+k AS (SELECT v.doc_id, string_agg(word, ' ' ORDER BY v.pos) AS text FROM v ANTI JOIN x ON x.doc_id = v.doc_id AND x.pos = v.pos GROUP BY 1)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.s::BIGINT AS start, top.n::BIGINT AS length, top.p::BIGINT AS period,
+  (1000 * top.n // top.p)::BIGINT AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN l ON l.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
+"""

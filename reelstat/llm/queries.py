@@ -42,4 +42,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": mixing.OP3_SQL, "op9_rotated_codes": neighbours.OP9_SQL}
+    return {
+        "op3_mixing": mixing.OP3_SQL,
+        "op4_suffix_array": substrings.OP4_SQL,
+        "op6_minhash": neardup.OP6_SQL,
+        "op9_rotated_codes": neighbours.OP9_SQL,
+        "op11_periodic": periodic.OP11_SQL,
+    }

@@ -578,3 +578,30 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     text = F.decode(F.col(f"{prefix}kept"), "UTF-8")
     columns = {"text": text, "n_chars": F.length(text).cast("long")}
     return left.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+
+
+OP4_SQL = r"""
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+  SELECT doc_id, piece + pos AS pos, md5_number(substr(h, 2 * pos + 1, 800)) AS content
+  FROM (
+    SELECT doc_id, piece, part AS h, unnest(range(0, len(part) // 2 - 399)) AS pos
+    FROM (
+      SELECT doc_id, piece, substr(h, 2 * piece + 1, 2 * (1024 + 399)) AS part
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 399, 1024)) AS piece FROM t WHERE len(h) >= 800)))),
+g AS (SELECT content FROM w GROUP BY 1 HAVING count(*) > 1),
+m AS (SELECT doc_id, pos FROM w SEMI JOIN g ON w.content = g.content),
+o AS (SELECT doc_id, pos, CASE WHEN pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 400 THEN 1 ELSE 0 END AS opens FROM m),
+u AS (SELECT doc_id, pos, sum(opens) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM o),
+s AS (SELECT doc_id, run, min(pos) AS start, max(pos) + 400 AS stop FROM u GROUP BY 1, 2),
+p AS (
+  SELECT s.doc_id, start, stop, coalesce(lag(stop) OVER (PARTITION BY s.doc_id ORDER BY start), 0) AS since FROM s),
+k AS (
+  SELECT t.doc_id, any_value(h) AS h, coalesce(sum(stop - start), 0)::BIGINT AS n_removed, count(start) AS n_spans,
+    coalesce(string_agg(substr(h, 2 * since + 1, 2 * (start - since)), '' ORDER BY start), '')
+      || substr(any_value(h), 2 * coalesce(max(stop), 0) + 1) AS rest
+  FROM t LEFT JOIN p ON p.doc_id = t.doc_id GROUP BY t.doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, n_removed, n_spans::BIGINT AS n_spans, sha256(unhex(rest)) AS kept_sha256,
+  (len(h) // 2)::BIGINT - n_removed AS n_kept, n_removed > 0 AS has_repeats
+FROM k
+"""
