@@ -33,7 +33,6 @@ from reelstat.streaming import (
     late as stream_late,
     logins as stream_logins,
     recommend as stream_recommend,
-    run,
     visitors as stream_visitors,
 )
 

@@ -7,12 +7,10 @@ import os
 import pytest
 from conftest import rows
 
-from reelstat import schemas
 from reelstat.operators import (
     hot_movies as batch_hot,
     logins as batch_logins,
     neighbour_index,
-    visitors as batch_visitors,
 )
 from reelstat.sinks.tables import write_batch
 from reelstat.sources import lines, streams
