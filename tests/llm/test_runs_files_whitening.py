@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 from reelstat.llm import periodic, token_files, whitening
 from reelstat.session import scratch_path
-from tests.llm.conftest import SCHEMA, corpus
+from tests.llm.conftest import corpus
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 VOCABULARY = public_tokenizers.path(token_files.VOCABULARY)
