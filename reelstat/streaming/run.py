@@ -27,16 +27,6 @@ def _triggered(writer: DataStreamWriter, interval: str | None) -> DataStreamWrit
     return writer.trigger(processingTime=interval)
 
 
-def to_table(
-    frame: DataFrame, path: str, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Append final rows to a parquet table, exactly once."""
-    use_state_store(frame.sparkSession)
-    writer = frame.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", path).option("checkpointLocation", checkpoint)
-    return _triggered(writer, interval).start()
-
-
 def to_batches(
     frame: DataFrame,
     write: Callable[[DataFrame, int], None],
