@@ -48,6 +48,8 @@ PART, WHOLE = 75, 100
 MISS = 1e-5
 # Members of a bucket that meet in one block.
 BLOCK = 2048
+# Bytes of text whose shingles are looked at together.
+SLICE = 1 << 18
 
 # Of each value of a signature the lower 16 bits are kept to verify; bands are named by all bits.
 SIGNED = "doc_id long, text_hash long, n_shingles long, set_key binary, signature binary, bands binary"
@@ -127,7 +129,7 @@ def _bands(signatures: np.ndarray) -> np.ndarray:
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in sized_slices(batches, 2):
+    for batch in sized_slices(batches, 2, size=SLICE):
         h, starts = shingle_sets(batch.column(2))
         keys: list[bytes | None] = []
         values = np.zeros((batch.num_rows, HASHES), np.uint32)
@@ -202,7 +204,7 @@ def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of the pairs (a, b, text of a, text of b) those whose full sets reach the threshold."""
-    for batch in sized_slices(batches, 2, rows=1024):
+    for batch in sized_slices(batches, 2, rows=1024, size=SLICE):
         one, first = shingle_sets(batch.column(2))
         two, second = shingle_sets(batch.column(3))
         good = np.zeros(batch.num_rows, bool)

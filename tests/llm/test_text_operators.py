@@ -11,6 +11,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -139,6 +140,18 @@ def test_pruning_table_follows_the_posterior():
     assert all(m < 0.75 * n for m, n in zip(least, range(neardup.BATCH, neardup.HASHES + 1, neardup.BATCH)))
 
 
+def test_signatures_look_at_few_bytes_at_once(monkeypatch):
+    seen, shingle_sets = [], neardup.shingle_sets
+    monkeypatch.setattr(neardup, "shingle_sets", lambda column: seen.append(column.nbytes) or shingle_sets(column))
+    texts = [f"text {k} " + "of some common words " * 1000 for k in range(100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(100)), pa.array(range(100)), pa.array(texts)], names=["doc_id", "text_hash", "text"])
+    signed = pa.Table.from_batches(neardup._sign(iter([batch])))
+    assert signed.column("doc_id").to_pylist() == list(range(100)) and max(seen) < 1 << 19
+    del seen[:]
+    pairs = pa.RecordBatch.from_arrays([batch[0], batch[0], batch[2], batch[2]], names=["a", "b", "one", "two"])
+    assert sum(b.num_rows for b in neardup._confirm(iter([pairs]))) == 100 and max(seen) < 1 << 19
+
+
 def covered(texts):
     data = [(t or "").encode() for t in texts]
     seen = collections.Counter(d[k : k + 400] for d in data for k in range(len(d) - 399))
