@@ -349,6 +349,46 @@ def test_toxicity_learns_a_rare_class_and_its_share(spark, monkeypatch):
     assert found == bad
 
 
+def test_toxicity_hears_pairs_of_ordinary_words(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = []
+    for k in range(900):
+        words = prose(rng, 80, 3000).split()
+        for _ in range(4):
+            words[rng.randrange(len(words))] = "cold fish" if k % 6 == 0 else "fish cold"
+        texts.append(" ".join(words))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 6 == 0)) for k in range(900)], "doc_id long, toxic int")
+    scored = []
+    for most in (1 << 20, 0):
+        monkeypatch.setattr(toxicity, "HELD", most)
+        scored.append(sorted((r.doc_id, r.score) for r in toxicity.score(frame, *toxicity.fit(frame, labels)).collect()))
+    assert all(math.isclose(a, b, abs_tol=1e-9) for (_, a), (_, b) in zip(*scored))
+    right = [(p >= 0.5) == (k % 6 == 0) for k, p in scored[0] if zlib.crc32(str(k).encode()) % 5 == 0]
+    assert len(right) > 100 and np.mean(right) > 0.95
+
+
+def test_pair_counts_match_brute_force(spark):
+    texts = ["a b a b", "a b c", "b c", "a b", "a c", "", "c a b"] * 4
+    rows = [(t, int(k % 7 < 3)) for k, t in enumerate(texts)]
+    wanted, after = {}, {}
+    for text, kind in rows:
+        words = text.split()
+        for v, w in set(zip([None, *words], words)):
+            for table, key in ((wanted, (w, v)), (after, v)):
+                table.setdefault(key, [0, 0])[kind] += 1
+    def named(pair):
+        words, before, _, _ = toxicity._tokens(pa.array([" ".join(x for x in pair[::-1] if x)]))
+        return int(words.view(np.int64)[-1]), int(toxicity._low(before)[-1])
+    frame = spark.createDataFrame(rows, "text string, toxic int")
+    found = toxicity._by_class(frame.mapInArrow(toxicity._holders(), toxicity.HOLDERS), "word", "before").collect()
+    assert {(r.word, r.before): [r.o, r.t] for r in found} == {named(p): n for p, n in wanted.items()}
+    lows = {named(p)[1]: n for p in wanted for n in [after[p[1]]]}
+    only = toxicity.KeySet(spark.createDataFrame([(v,) for v in lows], "key long"))
+    found = toxicity._by_class(frame.mapInArrow(toxicity._holders(only), toxicity.HOLDERS), "before").collect()
+    assert {r.before: [r.o, r.t] for r in found} == lows
+
+
 def test_toxicity_weighs_ordinary_words_too(spark):
     shared = spark.createDataFrame([(1, 100), (2, 100), (3, 800), (4, 10)], "word long, n long")
     counted = spark.createDataFrame([(1, 60, 0), (2, 0, 60), (3, 400, 400), (4, 2, 0)], "word long, t long, o long")
