@@ -177,6 +177,61 @@ def test_repeated_strings_match_brute_force(spark, documents, monkeypatch, hot):
     assert found == wanted
 
 
+def passages(texts, n):
+    """The bytes of each text that windows of ``n`` words cover which start at two places."""
+    found = [[m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for t in texts]
+    words = [[(t or "").encode()[a:b] for a, b in spans] for t, spans in zip(texts, found)]
+    seen = collections.Counter(tuple(w[k : k + n]) for w in words for k in range(len(w) - n + 1))
+    for t, w, spans in zip(texts, words, found):
+        gone = np.zeros(len((t or "").encode()), bool)
+        for k in range(len(w) - n + 1):
+            if seen[tuple(w[k : k + n])] > 1:
+                gone[spans[k][0] : spans[k + n - 1][1]] = True
+        yield gone
+
+
+@pytest.mark.parametrize("words, hot", [(50, substrings.HOT_BYTES), (20, substrings.HOT_BYTES), (20, 300)])
+def test_repeated_passages_match_brute_force(spark, documents, monkeypatch, words, hot):
+    monkeypatch.setattr(substrings, "HOT_BYTES", hot)
+    rows = corpus()
+    texts = [c[1] for c in rows]
+    spaced = [(1000 + k, re.sub(" ", "  \n" if k % 2 else "\t", t)) for k, t in enumerate(texts[86:90])]
+    texts += [t for _, t in spaced]
+    more = spark.createDataFrame([(k, t, None, None, 0, 0, None) for k, t in spaced], documents.schema)
+    wanted = collections.Counter()
+    ids = [c[0] for c in rows] + [k for k, _ in spaced]
+    for doc, (data, gone), also in zip(ids, covered(texts), passages(texts, words)):
+        gone = gone | also
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        wanted[doc, int(gone.sum()), runs, bytes(np.frombuffer(data, np.uint8)[~gone])] += 1
+    found = substrings.remove_repeats(documents.unionAll(more), words=words).collect()
+    assert collections.Counter((r.doc_id, r._n_removed, len(r._runs), bytes(r._kept)) for r in found) == wanted
+
+
+def test_substring_stage_takes_out_short_passages(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"{rng.randrange(10**4)}" for _ in range(n))
+    passage, short = prose(51), prose(49)
+    assert len(passage) < 400
+    texts = [f"{prose(30)} {passage} é {prose(9)}", f"ü\n{passage.replace(' ', chr(10), 3)}", f"{short} a", f"{short} b", passage, passage]
+    frame = spark.createDataFrame([(k, t, 0) for k, t in enumerate(texts)], "doc_id long, text string, n_chars long")
+    rows = {r.doc_id: r for r in substrings.stage(spark, frame, "").collect()}
+    wanted = [texts[0].replace(passage, ""), "ü\n", texts[2], texts[3], "", ""]
+    assert [rows[k].text for k in range(6)] == wanted and [rows[k].n_chars for k in range(6)] == [len(t) for t in wanted]
+
+
+def test_word_codes_tell_words_apart_in_any_slice(monkeypatch):
+    texts = ["", "a bb", "  ", "bb\ta" + "c" * 60, "a bb " * 30]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    starts = np.cumsum([0, *map(len, texts)])
+    codes, at = substrings.word_codes(data, starts)
+    assert (at // substrings.WORD_BYTES).tolist() == np.cumsum([0, *[len(t.split()) for t in texts]]).tolist()
+    numbers = dict(zip("".join(f"{t} " for t in texts).split(), codes.view("<u4").tolist()))
+    assert [numbers[w] for t in texts for w in t.split()] == codes.view("<u4").tolist() and len(set(numbers.values())) == 3
+    monkeypatch.setattr(substrings, "SLICE", 7)
+    assert substrings.word_codes(data, starts)[0].tolist() == codes.tolist()
+
+
 def test_suffix_order_and_shared_prefixes():
     rng = np.random.default_rng(2)
     text = np.append(rng.integers(1, 4, 300), 0)
