@@ -245,6 +245,48 @@ def test_suffix_order_and_shared_prefixes():
         assert same.tolist() == wanted
 
 
+def test_parts_are_compared_without_their_cores():
+    rng, length = random.Random(5), substrings.LENGTH
+    base = [rng.choice("abcdefgh") for _ in range(9000)]
+    texts = [base]
+    for step in (380, 417, 950):
+        texts.append([("X" if k % step == step - 1 else c) for k, c in enumerate(base)])
+    texts = ["".join(t).encode() for t in texts]
+    starts = np.cumsum([0, *map(len, texts)])
+    row, start, n, key, _, inner = substrings.stretches(np.frombuffer(b"".join(texts), np.uint8), starts, length)
+    assert not inner.any()
+
+    def batch(places):
+        listed = [[dict(zip(("start", "n", "key", "hot", "lead"), p[1:])) for p in places if p[0] == t] for t in range(len(texts))]
+        names = pa.array(range(len(texts)))
+        kind = pa.struct([("start", pa.int64()), ("n", pa.int64()), ("key", pa.int64()), ("hot", pa.bool_()), ("lead", pa.int64())])
+        return pa.RecordBatch.from_arrays([names, names, pa.array(texts), pa.array(listed, pa.list_(kind))], names=["t1", "t2", "text", "places"])
+
+    whole = [(*p, False, None) for p in zip(row.tolist(), start.tolist(), n.tolist(), key.tolist())]
+    parts = pa.Table.from_batches(substrings._parts(length)([batch(whole)])).to_pylist()
+    assert len({p["key"] for p in parts}) > substrings.MARKS
+
+    def found(places):
+        pieces = pa.Table.from_batches(substrings._cut(length)([batch(places)]))
+        gone = set()
+        for s in substrings._compare(pieces, length).to_pylist():
+            gone.update((s["t1"], k) for k in range(s["start"], s["end"] - length + 1))
+        return pieces, gone
+
+    wanted = collections.Counter(t[k : k + length] for t in texts for k in range(len(t) - length + 1))
+    again = {(t, k) for t, x in enumerate(texts) for k in range(len(x) - length + 1) if wanted[x[k : k + length]] > 1}
+    assert 0 < len(again) < sum(wanted.values())
+    for hot in (False, True):
+        pieces, gone = found([(p["t1"], p["start"], p["n"], p["key"], hot, p["lead"]) for p in parts])
+        assert gone == again
+        assert max(map(len, pieces["bytes"].to_pylist())) == (length + 31 if hot else 62)
+    # Whole stretches and parts without cores can share a bucket.
+    half = [(p["t1"], p["start"], p["n"], p["key"], False, p["lead"]) for p in parts]
+    mixed = pa.concat_tables([found(half)[0], found(whole)[0]])
+    both = {(s["t1"], k) for s in substrings._compare(mixed, length).to_pylist() for k in range(s["start"], s["end"] - length + 1)}
+    assert both == again
+
+
 def test_rule_counts_match_brute_force(spark, documents):
     rows, name = rules.quality_rules(documents)
     assert rows.columns[:-1] == documents.columns and rows.count() == documents.count()
