@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from reelstat.session import broadcast_if_small, saved, shuffles_dropped
+
 # Parts that users are hashed into; a read opens the parts of its users only.
 PARTS = 64
 _INITIAL = -1
@@ -24,7 +26,8 @@ class RatingStore:
         placed = ratings.select(*columns).withColumn("part", self._part(F.col("uid")))
         # A part is written by one task or, if a user fills it, by a few.
         dealt = placed.repartitionByRange("part", F.xxhash64(*columns)).sortWithinPartitions("part", "uid")
-        dealt.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/arrival={arrival}")
+        with shuffles_dropped(self.spark):
+            dealt.write.mode("overwrite").partitionBy("part").parquet(f"{self.path}/arrival={arrival}")
 
     def create(self, ratings: DataFrame) -> None:
         """Write what is known so far."""
@@ -43,7 +46,7 @@ class RatingStore:
 
     def of_users(self, users: DataFrame) -> DataFrame:
         """The ratings of the users (uid), read from their parts."""
-        wanted = users.select("uid").where("uid is not null").distinct()
+        wanted = broadcast_if_small(saved(users.select("uid").where("uid is not null").distinct()))
         touched = [row[0] for row in wanted.select(self._part(F.col("uid"))).distinct().collect()]
         kept = self.table().where(F.col("part").isin(touched) if touched else F.lit(False))
         return kept.drop("part").join(wanted, "uid", "left_semi")
