@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from reelstat.operators.recommend import realtime_recommend
+from reelstat.operators.recommend import realtime_recommend, with_candidates
 from reelstat.sinks.tables import write_batch
 from reelstat.sources.rating_store import RatingStore
 from reelstat.streaming.run import to_batches
@@ -42,7 +42,7 @@ def start_recommendations(
         day = as_of or dt.date.today()
         if keep:
             ratings.append(batch, batch_id)
-        known = ratings.of_users(batch)
+        known = ratings.of_users(with_candidates(batch, index))
         found = realtime_recommend(batch, known, index, movies(), day, **options)
         write_batch(found, batch_id, path)
 
