@@ -53,6 +53,29 @@ def test_shared_runs_leave_unmarked_pages(spark, monkeypatch):
     assert {r.page_id: r.text for r in pages.extract(frame).collect()} == found
 
 
+def test_what_a_host_puts_in_its_articles_goes_and_shared_passages_stay(spark):
+    note, passage = "Read our newsletter every week now", "A passage that two or three articles of the host share."
+    html = lambda *blocks: "<article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>"
+    own = lambda k: f"This is what article {k} alone tells, in more characters than the note of its host has."
+    rows, wanted = [], {}
+    for k in range(8):
+        shared = [passage] if k < 4 else []
+        rows.append((k, "http://a.org/x", html(own(k), *shared, note)))
+        wanted[k] = "\n\n".join([own(k), *shared])
+        # Near copies of one article share all but a little, and the note on few articles of a host stays.
+        rows.append((100 + k, "http://b.org/x", html(own(0), passage, f"Edition {k}")))
+        wanted[100 + k] = f"{own(0)}\n\n{passage}\n\nEdition {k}"
+        rows.append((200 + k, "http://c.org/x", html(own(k), *[note] * (k < 3))))
+        wanted[200 + k] = "\n\n".join([own(k), *[note] * (k < 3)])
+    # Equal pages count once: these are two articles of their host.
+    rows += [(300 + k, "http://d.org/x", html(own(k % 2), note)) for k in range(6)]
+    wanted |= {300 + k: f"{own(k % 2)}\n\n{note}" for k in range(6)}
+    rows += [(400 + k, None, html(own(k), note)) for k in range(3)] + [(500, None, "<article></article>")]
+    wanted |= {400 + k: own(k) for k in range(3)} | {500: ""}
+    found = pages.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in found} == wanted
+
+
 def test_rare_boilerplate_is_counted_over_all_groups(spark, monkeypatch):
     monkeypatch.setattr(pages, "GROUP", 4)
     rng = random.Random(4)
