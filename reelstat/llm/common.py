op10_toxicity: shuffle labelled texts once, count their pairs once

Symptom: over 0.51 GB of input the query shuffled 1776 MB, 3.48 x what it reads.
Evidence: the labelled texts (196 MB) went to their labels three times, once for each count over them, and their word pairs were shuffled twice, for the classes and again with the texts that hold them (490 MB).
Fix: the join of texts and labels is stored once and read file by file, as small tasks as before; one count of pairs gives the words of each class and the pairs beyond the discount, rows leave a slice in order of the word.
Effect: at 0.6 GB of input CPU 1046 -> 870 s, shuffle 1.83 -> 0.98 GB, spill 0.00 -> 0.00 GB, read 4.26 -> 3.46 GB, longest task 14 -> 12 s, most memory of a task 370 -> 302 MB; at 6 GB of input CPU 7230 -> 4662 s, shuffle 16.24 -> 8.28 GB, spill 0.00 -> 0.00 GB, read 42.49 -> 34.37 GB, longest task 43 -> 30 s, most memory of a task 807 -> 671 MB; with hot keys, at 0.6 GB of input CPU 707 -> 558 s, shuffle 0.60 -> 0.35 GB, spill 0.00 -> 0.00 GB, read 1.27 -> 1.03 GB, longest task 7 -> 8 s, most memory of a task 169 -> 101 MB.

@@ -75,6 +75,21 @@ def stored(frame: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+# What a file counts for, besides its size, where files are put together for a task.
+_FILE_COST, _TASK_BYTES = "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes"
+
+
+@contextlib.contextmanager
+def file_by_file(spark: SparkSession) -> Iterator[None]:
+    """What is read inside goes to tasks of one file each: a stored table to tasks as small as those that wrote it."""
+    before = spark.conf.get(_FILE_COST)
+    spark.conf.set(_FILE_COST, spark.conf.get(_TASK_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_FILE_COST, before)
+
+
 def free_name(columns: list[str], name: str) -> str:
     """A column name that starts with ``name`` and that no column has or starts with, whatever its case."""
     taken = [c.lower() for c in columns]

@@ -7,8 +7,10 @@ that neither class holds beyond the discount are no evidence.
 
 Different (word, word before) pairs are counted by shuffles combined on the map side, into tables with a row for each
 word, which grow with the vocabulary. Words are told apart by 64-bit hashes, the words before one of them by 32 bits.
-The classes are counted first: only words that could tell them apart, whatever their backoff is, are then counted over all
-documents. How many pairs all words have together is estimated by a mergeable sketch (HyperLogLog).
+The labelled texts are shuffled to their labels once and kept, and their pairs are counted once: the words of the classes
+and the pairs beyond the discount both follow from that count. The classes are counted first: only words that could tell
+them apart, whatever their backoff is, are then counted over all documents. How many pairs all words have together is
+estimated by a mergeable sketch (HyperLogLog).
 
 Both models are of order two. A word after the word before it counts by the texts of the class that hold this pair. Here the
 discount grows with the class, so that it takes the same share of both, and what it takes goes to a backoff that the classes
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelstat.llm.common import (
+    file_by_file,
     lower_ascii,
     mix,
     prefix_hashes,
@@ -168,7 +171,8 @@ def _holders(only: KeySet | None = None):
                 kept = only.holds(low)
                 words, rows, low = words[kept], rows[kept], low[kept]
             low = low | batch.column(1).to_numpy().astype(np.int64)[rows]
-            order = np.lexsort((rows, mix(words ^ mix(low.view(np.uint64)))))
+            # By word, so that rows of a word stand together in the shuffle and compress; rows of a pair stay in the texts' order.
+            order = np.lexsort((low, words))
             words, low, rows = words[order], low[order], rows[order]
             pair = np.ones(len(words), bool)
             pair[1:] = (words[1:] != words[:-1]) | (low[1:] != low[:-1])
@@ -216,11 +220,16 @@ class Classes:
 
 
 def class_counts(pairs: DataFrame) -> Classes | None:
-    """The counts of (word, before) pairs whose lowest bit is the class; none if a class has no pair."""
-    toxic = F.col("before").bitwiseAND(F.lit(1))
-    counted = pairs.distinct().groupBy("word").agg(
-        F.sum(toxic).cast("long").alias("t"), F.sum(1 - toxic).cast("long").alias("o")
-    )
+    """The counts of (word, before) pairs whose lowest bit is the class, or of what :func:`held_pairs` has counted of them;
+    none if a class has no pair.
+    """
+    if "t" in pairs.columns:
+        alone = F.col("before").isNotNull()
+        pairs = pairs.select("word", *[F.when(alone, _once(c)).otherwise(F.col(c)).alias(c) for c in ("t", "o")])
+    else:
+        toxic = F.col("before").bitwiseAND(F.lit(1))
+        pairs = pairs.distinct().select("word", toxic.alias("t"), (1 - toxic).alias("o"))
+    counted = pairs.groupBy("word").agg(F.sum("t").cast("long").alias("t"), F.sum("o").cast("long").alias("o"))
     words = stored(counted, "toxic-classes")
     least = lambda c: F.sum(F.least(F.col(c), F.lit(DISCOUNT)))
     r = words.agg(F.sum("t").alias("t"), F.sum("o").alias("o"), least("t").alias("rt"), least("o").alias("ro")).first()
@@ -265,15 +274,42 @@ def _second_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(weights), pa.array(pairs), *batch.columns], names=["weight_key", "pair_key", *batch.schema.names])
 
 
-def order_two(taught: DataFrame, learned: dict[int, int], ratios: DataFrame) -> DataFrame | None:
-    """(word, weight) of what pairs and backoff weights say beyond the margin and other than their words; none if none does.
+def _over(learned: dict[int, int]) -> dict[int, Column]:
+    """Of each class the texts that hold a pair beyond the discount; ``learned`` is the number of texts in each class."""
+    discount = {k: PAIR_DISCOUNT * learned[k] / min(learned.values()) for k in (0, 1)}
+    return {k: F.greatest(F.col(c) - discount[k], F.lit(0.0)) for k, c in ((1, "t"), (0, "o"))}
+
 
-    Needs text and toxic of the rows to learn from, their number in each class, and the words' (word, ratio).
+def held_pairs(taught: DataFrame, learned: dict[int, int]) -> DataFrame:
+    """(word, before, t, o) of the texts to learn from, in one count of their pairs.
+
+    A pair that a class holds beyond the discount has a row of its own, with the texts of each class that hold it. All other
+    pairs of a word are one row without ``before``, with the number of them in each class, as nothing else of them is needed.
     """
-    discount = {k: PAIR_DISCOUNT * learned[k] / min(learned.values()) for k in (0, 1)}
-    over = {k: F.greatest(F.col(c) - discount[k], F.lit(0.0)) for k, c in ((1, "t"), (0, "o"))}
     counted = _by_class(taught.mapInArrow(_holders(), HOLDERS), "word", "before")
-    held = stored(counted.withColumn("t_over", over[1]).withColumn("o_over", over[0]).filter("t_over > 0 or o_over > 0"), "toxic-pairs")
+    over = _over(learned)
+    own = (over[1] > 0) | (over[0] > 0)
+    rows = counted.select(
+        "word",
+        F.when(own, F.col("before")).alias("before"),
+        *[F.when(own, F.col(c)).otherwise(_once(c)).alias(c) for c in ("t", "o")],
+    )
+    return rows.groupBy("word", "before").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+
+
+def _once(texts: str) -> Column:
+    """1 for a pair that some texts hold."""
+    return F.when(F.col(texts) > 0, 1).otherwise(0)
+
+
+def order_two(taught: DataFrame, pairs: DataFrame, learned: dict[int, int], ratios: DataFrame) -> DataFrame | None:
+    """(word, weight) of what pairs and backoff weights say beyond the margin and other than their words; none if none does.
+
+    Needs text and toxic of the rows to learn from, their :func:`held_pairs`, their number in each class, and the words'
+    (word, ratio).
+    """
+    over = _over(learned)
+    held = pairs.filter("before is not null").select("word", "before", "t", "o", over[1].alias("t_over"), over[0].alias("o_over"))
     befores = held.groupBy("before").agg(F.sum("t_over").alias("t_taken"), F.sum("o_over").alias("o_taken"))
     befores = stored(befores, "toxic-befores")
     if befores.isEmpty():
@@ -411,16 +447,20 @@ def _fit(documents: DataFrame, labels: DataFrame) -> tuple[Evidence | None, tupl
     ).filter(F.col("toxic").isin(0, 1) & (learns(F.col("doc_id"), FOLDS) != 0))
     # Of several labels of an id the least counts.
     known = stored(known.groupBy("doc_id").agg(F.min("toxic").alias("toxic")), "toxic-known")
-    ids = stored(docs.select("doc_id").join(known, "doc_id"), "toxic-taught")
-    learned = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
-    if not learned.get(0) or not learned.get(1):
-        return None, (0.0, 0.0)
     # Few texts without a label are shuffled. The join is the same at every size, as labels grow with the documents.
     key = F.xxhash64("doc_id")
     labelled = KeySet(known.select(key.alias("key")))
     likely = docs.filter(F.col("doc_id").isNotNull()).withColumn("key", key)
     taught = likely.mapInArrow(_let_through(labelled), "doc_id long, text string").join(known.hint("merge"), "doc_id")
-    classes = class_counts(taught.select("text", "toxic").mapInArrow(_class_pairs, PAIR))
+    # Read several times, so the texts are shuffled to their labels once and kept.
+    taught = stored(taught, "toxic-taught")
+    ids = taught.select("doc_id", "toxic")
+    learned = {r["toxic"]: r["count"] for r in ids.groupBy("toxic").count().collect()}
+    if not learned.get(0) or not learned.get(1):
+        return None, (0.0, 0.0)
+    with file_by_file(documents.sparkSession):
+        counted = stored(held_pairs(taught.select("text", "toxic"), learned), "toxic-pairs")
+    classes = class_counts(counted)
     if classes is None:
         return None, (0.0, 0.0)
     pairs = docs.select("text").mapInArrow(_all_pairs(), PAIR)
@@ -429,7 +469,7 @@ def _fit(documents: DataFrame, labels: DataFrame) -> tuple[Evidence | None, tupl
     pairs = docs.select("text").mapInArrow(_all_pairs(KeySet(words.select("word"))), PAIR)
     shared = pairs.distinct().groupBy("word").agg(F.count("*").alias("n"))
     ratios = stored(log_ratios(shared, classes, words, everything), "toxic-ratios")
-    evidence = Evidence(ratios, order_two(taught.select("text", "toxic"), learned, ratios))
+    evidence = Evidence(ratios, order_two(taught.select("text", "toxic"), counted, learned, ratios))
     return evidence, _fitted_curve(docs, ids, learned, evidence)
 
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from reelstat.llm import neighbours, pages, quality, toxicity
+from reelstat.llm import common, neighbours, pages, quality, toxicity
 from tests.llm.conftest import SCHEMA, corpus, prose
 
 
@@ -412,6 +412,79 @@ def test_pair_counts_match_brute_force(spark):
     assert {r.before: [r.o, r.t] for r in found} == lows
 
 
+def test_toxicity_counts_the_pairs_of_repeated_and_odd_rows_once(spark, monkeypatch):
+    texts = {k: f"w{k % 7} x{k % 5} w{k % 3} x{k % 2}" for k in range(60)}
+    rows = [*texts.items(), (None, "lost words"), *[(3, "again w3 x3"), (3, None), (6, ""), (200, "no label here")]]
+    labels = [(k, int(k % 3 == 0)) for k in range(60)] + [(3, 0), (6, None), (9, 2), (None, 1), (999, 1)]
+    plans, counted = {}, []
+    keep, count = toxicity.stored, toxicity.class_counts
+
+    def stored(frame, name, **more):
+        plans[name] = frame._jdf.queryExecution().optimizedPlan().toString()
+        return keep(frame, name, **more)
+
+    def class_counts(*given, **more):
+        classes = count(*given, **more)
+        counted.extend((r.word, r.t, r.o) for r in classes.words.collect())
+        return classes
+
+    monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", 1.0)
+    monkeypatch.setattr(toxicity, "stored", stored)
+    monkeypatch.setattr(toxicity, "class_counts", class_counts)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    model = toxicity.fit(frame, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    # Of several labels of an id the least counts; repeated rows of an id teach each, rows without an id nothing.
+    least = {}
+    for k, toxic in labels:
+        if k is not None and toxic in (0, 1) and zlib.crc32(str(k).encode()) % toxicity.FOLDS:
+            least[k] = min(toxic, least.get(k, 1))
+    taught = [(t or "", least[k]) for k, t in rows if k in least]
+    wanted = by_hand(*zip(*taught))
+    hashed = lambda w: int(toxicity._tokens(pa.array([w]))[0].view(np.int64)[0])
+    assert sorted(counted) == sorted((hashed(w), wanted[1].get(w, 0), wanted[0].get(w, 0)) for w in {*wanted[0], *wanted[1]})
+    assert len(toxicity.score(frame, *model).collect()) == len(rows)
+    assert [name for name, plan in plans.items() if "MapInArrow through" in plan] == ["toxic-taught"]
+    # Counted once for the words of the classes and for their pairs; the weights of words before are counted apart.
+    assert [name for name, plan in plans.items() if "MapInArrow holders" in plan] == ["toxic-pairs", "toxic-second"]
+    assert "MapInArrow" not in plans["toxic-classes"]
+
+
+def test_toxicity_counts_the_pairs_of_a_class_once(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "PAIR_DISCOUNT", 2.0)
+    texts = ["a b a b", "a b c", "b c", "a b", "a c", "", None, "c a b"] * 4 + ["d a", "c d b"]
+    rows = [(t, int(k % 7 < 3)) for k, t in enumerate(texts)]
+    learned = {y: sum(kind == y for _, kind in rows) for y in (0, 1)}
+    hashed = lambda w: int(toxicity._tokens(pa.array([w]))[0].view(np.int64)[0])
+    low = lambda v: int(toxicity._low(np.array([hashed(v) if v else 0]).view(np.uint64))[0])
+    holders = {}
+    for text, kind in rows:
+        words = (text or "").split()
+        for v, w in set(zip([None, *words], words)):
+            holders.setdefault((w, v), [0, 0])[kind] += 1
+    most = [2.0 * learned[y] / min(learned.values()) for y in (0, 1)]
+    wanted = {}
+    for (w, v), (o, t) in holders.items():
+        own = o > most[0] or t > most[1]
+        row = wanted.setdefault((hashed(w), low(v) if own else None), [0, 0])
+        row[0], row[1] = (t, o) if own else (row[0] + (t > 0), row[1] + (o > 0))
+    frame = spark.createDataFrame(rows, "text string, toxic int")
+    counted = toxicity.held_pairs(frame, learned)
+    assert {(r.word, r.before): [r.t, r.o] for r in counted.collect()} == wanted
+    assert {v is None for _, v in wanted} == {True, False}
+    classes, apart = (toxicity.class_counts(p) for p in (counted, frame.mapInArrow(toxicity._class_pairs, toxicity.PAIR)))
+    assert sorted(classes.words.collect()) == sorted(apart.words.collect())
+    assert (classes.total, classes.rest) == (apart.total, apart.rest)
+
+
+def test_tasks_read_one_stored_file_each(spark, tmp_path):
+    spark.range(0, 1000, 1, 40).write.parquet(str(tmp_path / "t"))
+    read = lambda: spark.read.parquet(str(tmp_path / "t")).rdd.getNumPartitions()
+    before, cost = read(), spark.conf.get("spark.sql.files.openCostInBytes")
+    with common.file_by_file(spark):
+        assert read() == 40
+    assert read() == before < 40 and spark.conf.get("spark.sql.files.openCostInBytes") == cost
+
+
 def test_toxicity_weighs_ordinary_words_too(spark):
     shared = spark.createDataFrame([(1, 100), (2, 100), (3, 800), (4, 10)], "word long, n long")
     counted = spark.createDataFrame([(1, 60, 0), (2, 0, 60), (3, 400, 400), (4, 2, 0)], "word long, t long, o long")
